@@ -43,8 +43,8 @@ def with_source(texts: DataFrame) -> DataFrame:
     base = F.regexp_extract(F.col("graph_dir"), r"([^/]*)/?$", 1)
     return (
         texts.withColumn("graph_dir", source)
-        .withColumn("graph", F.regexp_extract(base, r"^(.*?)(?:_v[^/]*)?$", 1))
-        .withColumn("version", F.regexp_extract(base, r"^.*?_v([^/]*)$", 1))
+        .withColumn("graph", F.regexp_extract(base, r"^(.*?)(?:_v(?!.*_v).*)?$", 1))
+        .withColumn("version", F.regexp_extract(base, r"^.*_v([^/]*)$", 1))
     )
 
 
