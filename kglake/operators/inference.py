@@ -2,7 +2,8 @@
 
 Rules follow the W3C RDF Semantics and ter Horst (2005). Schema tables (class and property
 hierarchies, domains, ranges, property kinds) are stored before use, so the
-optimizer knows their exact size and broadcasts them only below its threshold.
+optimizer knows their exact size and broadcasts them only below its threshold. A rule
+gives a bag: the closures, and `as_set`, remove repeats once, after a map-side pass.
 """
 
 from __future__ import annotations
@@ -83,21 +84,21 @@ def superproperty_triples(triples: DataFrame, subproperties: DataFrame) -> DataF
 
 def domain_types(triples: DataFrame, domains: DataFrame) -> DataFrame:
     """rdfs2: subjects typed by the domain of their predicate."""
-    typed = triples.join(domains, triples.p == domains.src).select("s", "dst").distinct()
+    typed = triples.join(domains, triples.p == domains.src).select("s", "dst")
     return t.resource_triples(typed, "s", F.lit(V.RDF_TYPE), "dst")
 
 
 def range_types(triples: DataFrame, ranges: DataFrame) -> DataFrame:
     """rdfs3: resource objects typed by the range of their predicate."""
     resources = triples.where(~t.is_literal("o"))
-    typed = resources.join(ranges, resources.p == ranges.src).select("o", "dst").distinct()
+    typed = resources.join(ranges, resources.p == ranges.src).select("o", "dst")
     return t.resource_triples(typed, "o", F.lit(V.RDF_TYPE), "dst")
 
 
 def superclass_types(triples: DataFrame, subclasses: DataFrame) -> DataFrame:
     """rdfs9: instances typed by the superclasses of their class."""
     types = triples.where(t.predicate_matches(V.RDF_TYPE) & ~t.is_literal("o")).select("s", "o")
-    wider = types.join(subclasses, types.o == subclasses.src).select("s", "dst").distinct()
+    wider = types.join(subclasses, types.o == subclasses.src).select("s", "dst")
     return t.resource_triples(wider, "s", F.lit(V.RDF_TYPE), "dst")
 
 
@@ -109,8 +110,51 @@ def property_domains(triples: DataFrame) -> DataFrame:
     return pairs(triples, DOMAIN_PREDICATES, "property", "domain")
 
 
+def _widened(pairs_of: DataFrame, subclasses: DataFrame, subproperties: DataFrame) -> DataFrame:
+    """Domains or ranges with those of superproperties, and the superclasses of each."""
+    inherited = subproperties.join(
+        pairs_of.select(F.col("src").alias("via"), F.col("dst").alias("class")), F.col("dst") == F.col("via")
+    ).select("src", F.col("class").alias("dst"))
+    own = pairs_of.unionByName(inherited)
+    wider = own.join(
+        subclasses.select(F.col("src").alias("class"), F.col("dst").alias("super")), F.col("dst") == F.col("class")
+    ).select("src", F.col("super").alias("dst"))
+    return own.unionByName(wider)
+
+
+def _effects(schema: DataFrame, subclasses: DataFrame, subproperties: DataFrame) -> DataFrame:
+    """`(predicate, role, target)`: all that a triple entails through its predicate.
+
+    The rules are composed on the schema, which is small, so the facts need one join.
+    """
+    wider = subproperties.where(~F.col("dst").startswith("_:"))
+    domains = _widened(pairs(schema, V.RDFS_DOMAIN), subclasses, subproperties)
+    ranges = _widened(pairs(schema, V.RDFS_RANGE), subclasses, subproperties)
+    parts = [("super", wider), ("domain", domains), ("range", ranges)]
+    return _union([
+        frame.select(F.col("src").alias("predicate"), F.lit(role).alias("role"), F.col("dst").alias("target"))
+        for role, frame in parts
+    ]).distinct()
+
+
+def _apply_effects(triples: DataFrame, effects: DataFrame) -> DataFrame:
+    """rdfs7, rdfs2 and rdfs3 in one scan of the triples."""
+    rows = triples.join(effects, triples.p == effects.predicate)
+    rows = rows.where((F.col("role") != "range") | ~t.is_literal("o"))
+    is_super = F.col("role") == "super"
+    subject = F.when(F.col("role") == "range", F.col("o")).otherwise(F.col("s"))
+    subject_kind = F.when(F.col("role") == "range", F.col("o_kind")).otherwise(F.col("s_kind"))
+    return rows.select(
+        subject.alias("s"), subject_kind.alias("s_kind"),
+        F.when(is_super, F.col("target")).otherwise(F.lit(V.RDF_TYPE)).alias("p"),
+        F.when(is_super, F.col("o")).otherwise(F.col("target")).alias("o"),
+        F.when(is_super, F.col("o_kind")).otherwise(t.kind_of(F.col("target"))).alias("o_kind"),
+        F.when(is_super, F.col("o_datatype")).alias("o_datatype"), F.when(is_super, F.col("o_lang")).alias("o_lang"),
+    )
+
+
 def _rdfs_round(triples: DataFrame, folder: str) -> DataFrame:
-    """One application of rdfs5/11, 7, 2/3 and 9, each over the output of those before it."""
+    """One application of rdfs5 and 11, then 7, 2, 3 and 9 with those closures."""
     subproperties = subproperty_closure(triples)
     schema = triples
     extends_schema = subproperties.where(F.col("dst").isin(SCHEMA_PREDICATES) & ~F.col("src").isin(SCHEMA_PREDICATES))
@@ -118,13 +162,11 @@ def _rdfs_round(triples: DataFrame, folder: str) -> DataFrame:
         schema = triples.unionByName(superproperty_triples(triples, extends_schema))
         subproperties = subproperty_closure(schema)
     subclasses = subclass_closure(schema)
-    domains = storage.materialize(pairs(schema, V.RDFS_DOMAIN), folder, "domains")
-    ranges = storage.materialize(pairs(schema, V.RDFS_RANGE), folder, "ranges")
-    widened = triples.unionByName(superproperty_triples(triples, subproperties))
-    typed = _union([widened, domain_types(widened, domains), range_types(widened, ranges)])
+    effects = storage.materialize(_effects(schema, subclasses, subproperties), folder, "effects")
     return as_set(_union([
-        typed,
-        superclass_types(typed, subclasses),
+        triples,
+        _apply_effects(triples, effects),
+        superclass_types(triples, subclasses),
         closure_as_triples(subproperties, V.RDFS_SUBPROPERTY),
         closure_as_triples(subclasses, V.RDFS_SUBCLASS),
     ]))
@@ -145,14 +187,20 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
     rounds repeat until one adds nothing.
     """
     folder = storage.shared_folder(triples.sparkSession)
-    current = storage.materialize(as_set(triples), folder, "round-0")
-    size, step = current.count(), 0
-    repeat = _needs_another_round(current)
+    return _rdfs_rounds(storage.materialize(as_set(triples), folder, "given"), folder)
+
+
+def _rdfs_rounds(stored: DataFrame, folder: str) -> DataFrame:
+    """RDFS rounds over a stored set of triples."""
+    current, size, step = stored, None, 0
+    repeat = _needs_another_round(stored)
     while True:
         step += 1
-        current = storage.materialize(_rdfs_round(current, f"{folder}/{step}"), folder, f"round-{step}")
+        current = storage.materialize(_rdfs_round(current, f"{folder}/{step}"), folder, f"rdfs-{step}")
+        if not repeat:
+            return current
         grown = current.count()
-        if not repeat or grown == size:
+        if grown == size:
             return current
         size = grown
 
@@ -167,7 +215,7 @@ def inverse_triples(triples: DataFrame) -> DataFrame:
     declared = pairs(triples, V.OWL_INVERSE_OF, "property", "inverse")
     both = declared.unionByName(declared.select(F.col("inverse").alias("property"), F.col("property").alias("inverse")))
     resources = triples.where(~t.is_literal("o"))
-    rows = resources.join(both.distinct(), resources.p == F.col("property")).select("o", "inverse", "s").distinct()
+    rows = resources.join(both.distinct(), resources.p == F.col("property")).select("o", "inverse", "s")
     return t.resource_triples(rows, "o", "inverse", "s")
 
 
@@ -175,7 +223,7 @@ def symmetric_triples(triples: DataFrame) -> DataFrame:
     """rdfp3."""
     resources = triples.where(~t.is_literal("o"))
     symmetric = _typed_properties(triples, V.OWL_SYMMETRIC)
-    rows = resources.join(symmetric, resources.p == symmetric.property, "left_semi").select("s", "p", "o").distinct()
+    rows = resources.join(symmetric, resources.p == symmetric.property, "left_semi").select("s", "p", "o")
     return t.resource_triples(rows, "o", "p", "s")
 
 
@@ -280,12 +328,12 @@ def equivalence_triples(triples: DataFrame) -> DataFrame:
 
     classes = equal.join(declared([V.OWL_CLASS, V.RDFS_CLASS]), "src", "left_semi")
     properties = equal.join(declared([V.OWL_OBJECT_PROPERTY, V.RDF_PROPERTY]), "src", "left_semi")
-    return as_set(_union(
+    return _union(
         _both_ways(triples, V.OWL_EQUIVALENT_CLASS, V.RDFS_SUBCLASS)
         + _both_ways(triples, V.OWL_EQUIVALENT_PROPERTY, V.RDFS_SUBPROPERTY)
         + [t.resource_triples(classes, "src", F.lit(V.RDFS_SUBCLASS), "dst"),
            t.resource_triples(properties, "src", F.lit(V.RDFS_SUBPROPERTY), "dst")]
-    ))
+    )
 
 
 _TERM = ["value", "value_kind", "value_datatype", "value_lang"]
@@ -329,12 +377,12 @@ def restriction_triples(triples: DataFrame) -> DataFrame:
     by_every = every_rows.join(
         types, (F.col("s") == F.col("instance")) & (F.col("restriction") == F.col("class")), "left_semi"
     ).select("o", "filler")
-    return as_set(_union([
-        t.resource_triples(by_value.distinct(), "s", F.lit(V.RDF_TYPE), "restriction"),
+    return _union([
+        t.resource_triples(by_value, "s", F.lit(V.RDF_TYPE), "restriction"),
         given,
-        t.resource_triples(by_some.distinct(), "s", F.lit(V.RDF_TYPE), "restriction"),
-        t.resource_triples(by_every.distinct(), "o", F.lit(V.RDF_TYPE), "filler"),
-    ]))
+        t.resource_triples(by_some, "s", F.lit(V.RDF_TYPE), "restriction"),
+        t.resource_triples(by_every, "o", F.lit(V.RDF_TYPE), "filler"),
+    ])
 
 
 def owl_horst_closure(triples: DataFrame, max_rounds: int | None = None) -> DataFrame:
@@ -344,19 +392,19 @@ def owl_horst_closure(triples: DataFrame, max_rounds: int | None = None) -> Data
     has one sameAs link per replaced node. No rule invents a node, so the rounds end.
     """
     folder = storage.shared_folder(triples.sparkSession)
-    current = storage.materialize(as_set(triples), folder, "round-0")
+    current = storage.materialize(as_set(triples), folder, "given")
     step = 0
     while max_rounds is None or step < max_rounds:
         step += 1
-        inferred = rdfs_closure(current)
+        inferred = _rdfs_rounds(current, f"{folder}/{step}")
         added = _union([
             inverse_triples(inferred), symmetric_triples(inferred), transitive_triples(inferred),
             functional_same_as(inferred), equivalence_triples(inferred), restriction_triples(inferred),
         ])
-        widened = storage.materialize(as_set(inferred.unionByName(added)), folder, f"widened-{step}")
-        merged = substitute_same_as(widened, same_as_components(widened))
-        previous, current = current, storage.materialize(merged, folder, f"round-{step}")
-        unchanged = current.count() == previous.count()
-        if unchanged and current.exceptAll(previous).isEmpty():
-            break
+        new = storage.materialize(added.subtract(inferred), folder, f"new-{step}")
+        if step > 1 and new.isEmpty() and inferred.count() == current.count():
+            return inferred
+        widened = inferred.unionByName(new)
+        components = storage.materialize(same_as_components(widened), folder, f"components-{step}")
+        current = storage.materialize(substitute_same_as(widened, components), folder, f"round-{step}")
     return current

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kglake.functions import terms as t
@@ -16,8 +16,8 @@ from kglake.functions import vocab as V
 class Rule:
     """One triple made from each row; SQL expressions over the row's columns.
 
-    `obj` is an IRI or blank node expression unless a datatype or language is given.
-    A null subject or object makes no triple.
+    `obj` is a resource unless a datatype or language is given. A null subject or
+    object makes no triple. Blank subjects and objects are declared.
     """
 
     predicate: str
@@ -25,42 +25,64 @@ class Rule:
     obj: str
     datatype: str | None = None
     lang: str | None = None
+    subject_kind: str = t.IRI
+    object_kind: str = t.IRI
 
     @property
     def is_literal(self) -> bool:
         return self.datatype is not None or self.lang is not None
 
 
+def _text(value: str | None) -> str:
+    return "null" if value is None else "'" + value.replace("'", "\\'") + "'"
+
+
+def _columns_of(rule: Rule) -> dict[str, str]:
+    """The triple's columns as SQL."""
+    datatype = V.RDF_LANG_STRING if rule.lang is not None else rule.datatype
+    return {
+        "s": rule.subject,
+        "s_kind": _text(rule.subject_kind),
+        "p": _text(rule.predicate),
+        "o": f"cast({rule.obj} as string)",
+        "o_kind": _text(t.LITERAL if rule.is_literal else rule.object_kind),
+        "o_datatype": _text(datatype),
+        "o_lang": rule.lang or "null",
+    }
+
+
 def tables_to_triples(df: DataFrame, rules: Iterable[Rule], predicates: Iterable[str] | None = None) -> DataFrame:
     """Every row of `df` through every rule, in one scan.
 
-    Rules name their predicate as a constant, so a reader who wants only some
-    `predicates` leaves the other rules, and the columns they need, out of the plan.
+    A row is repeated by the numbers of the rules that apply to it, and each triple column is
+    a choice by that number. A query that uses few triple columns then computes, and
+    reads from the table, only what those need. Rules name their predicate as a constant, so a
+    reader who wants only some `predicates` leaves the other rules out of the plan.
     """
     wanted = None if predicates is None else set(predicates)
     rules = [rule for rule in rules if wanted is None or rule.predicate in wanted]
     if not rules:
         return t.empty_triples(df.sparkSession)
+    applies = [f"{rule.subject} is not null and {rule.obj} is not null" for rule in rules]
+    made = [_columns_of(rule) for rule in rules]
     if len(rules) == 1:
-        rows = df.select(_triple(rules[0]).alias("triple"))
-    else:
-        rows = df.select(F.explode(F.array(*(_triple(rule) for rule in rules))).alias("triple"))
-    return rows.select("triple.*").where("s is not null and o is not null")
-
-
-def _triple(rule: Rule) -> Column:
-    null = F.lit(None).cast("string")
-    subject, obj = F.expr(rule.subject), F.expr(rule.obj).cast("string")
-    if not rule.is_literal:
-        kind, datatype, lang = t.kind_of(obj), null, null
-    elif rule.lang is not None:
-        kind, datatype, lang = F.lit(t.LITERAL), F.lit(V.RDF_LANG_STRING), F.expr(rule.lang)
-    else:
-        kind, datatype, lang = F.lit(t.LITERAL), F.lit(rule.datatype), null
-    return F.struct(
-        subject.alias("s"), t.kind_of(subject).alias("s_kind"), F.lit(rule.predicate).alias("p"),
-        obj.alias("o"), kind.alias("o_kind"), datatype.alias("o_datatype"), lang.alias("o_lang"),
-    )
+        return df.where(applies[0]).selectExpr(
+            *(f"cast({made[0][name]} as string) as {name}" for name in t.TRIPLE_COLUMNS)
+        )
+    numbers = ", ".join(f"case when {condition} then {i} end" for i, condition in enumerate(applies))
+    rows = df.selectExpr("*", f"explode(array({numbers})) as rule").where("rule is not null")
+    return rows.selectExpr(*(f"{_choice([m[name] for m in made])} as {name}" for name in t.TRIPLE_COLUMNS))
+
+
+def _choice(values: list[str]) -> str:
+    """The value for the row's rule; one branch per different value."""
+    branches: dict[str, list[str]] = {}
+    for number, value in enumerate(values):
+        branches.setdefault(value, []).append(str(number))
+    if len(branches) == 1:
+        return f"cast({values[0]} as string)"
+    cases = " ".join(f"when rule in ({', '.join(ns)}) then {value}" for value, ns in branches.items())
+    return f"cast(case {cases} end as string)"
 
 
 _CELL = "struct<text:string, href:string, children:array<struct<text:string, href:string>>>"

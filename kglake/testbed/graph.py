@@ -102,11 +102,11 @@ RULES: dict[str, list[Rule]] = {
         Rule(V.OWL_SAME_AS, DOCUMENT, iri("document", "D", "first_id")),
     ],
     "events": [
-        Rule(V.RDF_TYPE, EVENT, iri("event", "", "event_type")),
-        Rule(USER, EVENT, "concat('_:u', user_id)"),
-        Rule(VALUE, EVENT, _money("value"), V.XSD + "decimal"),
+        Rule(V.RDF_TYPE, EVENT, iri("event", "", "event_type"), subject_kind=t.BNODE),
+        Rule(USER, EVENT, "concat('_:u', user_id)", subject_kind=t.BNODE, object_kind=t.BNODE),
+        Rule(VALUE, EVENT, _money("value"), V.XSD + "decimal", subject_kind=t.BNODE),
         Rule(AT, EVENT, "concat(substr(cast(ts as string), 1, 10), 'T', substr(cast(ts as string), 12, 8))",
-             V.XSD + "dateTime"),
+             V.XSD + "dateTime", subject_kind=t.BNODE),
     ],
 }
 
@@ -158,8 +158,26 @@ SAME_DOCUMENTS_SQL = (
 )
 
 
+# The supplied tables' columns, stated so that no job has to look them up.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _same_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

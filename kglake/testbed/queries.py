@@ -460,18 +460,18 @@ on_graph(
     _SP + "select s, s_kind, sp.dst as p, o, o_kind, o_datatype, o_lang from triples join sp on p = sp.src",
 )
 on_graph(
-    "domain_types", None, lambda T: inference.domain_types(T, inference.pairs(T, V.RDFS_DOMAIN)),
+    "domain_types", None, lambda T: inference.as_set(inference.domain_types(T, inference.pairs(T, V.RDFS_DOMAIN))),
     f"select distinct {_resource('t.s', _A, 'd.o')} from triples t join triples d on d.s = t.p"
     f" and d.p = '{V.RDFS_DOMAIN}'",
 )
 on_graph(
-    "range_types", None, lambda T: inference.range_types(T, inference.pairs(T, V.RDFS_RANGE)),
+    "range_types", None, lambda T: inference.as_set(inference.range_types(T, inference.pairs(T, V.RDFS_RANGE))),
     f"select distinct {_resource('t.o', _A, 'd.o')} from triples t join triples d on d.s = t.p"
     f" and d.p = '{V.RDFS_RANGE}' where t.o_kind <> 'literal'",
 )
 on_graph(
     "superclass_types", TYPE + SUBCLASS,
-    lambda T: inference.superclass_types(T, inference.subclass_closure(T)),
+    lambda T: inference.as_set(inference.superclass_types(T, inference.subclass_closure(T))),
     _SC + f"select distinct {_resource('t.s', _A, 'sc.dst')} from triples t join sc on sc.src = t.o"
     f" where t.p = '{V.RDF_TYPE}'",
 )
@@ -505,14 +505,15 @@ on_graph(
     + _TYPE_COUNTS + " from closed group by all",
 )
 on_graph(
-    "inverse_triples", [g.CONTAINS, g.CONTAINED_IN, V.OWL_INVERSE_OF], inference.inverse_triples,
+    "inverse_triples", [g.CONTAINS, g.CONTAINED_IN, V.OWL_INVERSE_OF],
+    lambda T: inference.as_set(inference.inverse_triples(T)),
     f", inv as (select s as a, o as b from triples where p = '{V.OWL_INVERSE_OF}'"
     f" union select o, s from triples where p = '{V.OWL_INVERSE_OF}')"
     f"select distinct {_resource('t.o', 'inv.b', 't.s')} from triples t join inv on inv.a = t.p"
     " where t.o_kind <> 'literal'",
 )
 on_graph(
-    "symmetric_triples", [g.PARTNER, V.RDF_TYPE], inference.symmetric_triples,
+    "symmetric_triples", [g.PARTNER, V.RDF_TYPE], lambda T: inference.as_set(inference.symmetric_triples(T)),
     f"select distinct {_resource('t.o', 't.p', 't.s')} from triples t join triples k on k.s = t.p and k.p = {_A}"
     f" and k.o = '{V.OWL_SYMMETRIC}' where t.o_kind <> 'literal'",
 )
@@ -559,12 +560,14 @@ def _both_ways_sql(equivalence: str, sub: str) -> str:
 
 
 on_graph(
-    "equivalence_triples", None, inference.equivalence_triples,
+    "equivalence_triples",
+    [V.OWL_EQUIVALENT_CLASS, V.OWL_EQUIVALENT_PROPERTY, V.RDFS_SUBCLASS, V.RDFS_SUBPROPERTY, V.OWL_SAME_AS, V.RDF_TYPE],
+    lambda T: inference.as_set(inference.equivalence_triples(T)),
     _both_ways_sql(V.OWL_EQUIVALENT_CLASS, V.RDFS_SUBCLASS) + " union "
     + _both_ways_sql(V.OWL_EQUIVALENT_PROPERTY, V.RDFS_SUBPROPERTY),
 )
 on_graph(
-    "restriction_triples", None, lambda T: _type_counts(inference.restriction_triples(T)),
+    "restriction_triples", None, lambda T: _type_counts(inference.as_set(inference.restriction_triples(storage.materialize(T)))),
     f", r as (select a.s as r, a.o as prop, b.p as kind, b.o as v from triples a join triples b on b.s = a.s"
     f" where a.p = '{V.OWL_ON_PROPERTY}' and b.p in ('{V.OWL_HAS_VALUE}', '{V.OWL_SOME_VALUES}',"
     f" '{V.OWL_ALL_VALUES}')), ty as (select s, o from triples where p = {_A}), added as ("
@@ -588,7 +591,7 @@ on_graph(
 
 
 def _enhanced(spark, d):
-    graph = g.triples(spark, d)
+    graph = storage.materialize(g.triples(spark, d))
     partition = void_stats(graph, "testbed", "1").partition
     return enhance.enhance_void(partition, graph)
 
