@@ -70,7 +70,7 @@ def _join_order(patterns: Sequence[Pattern]) -> list[Pattern]:
 
 
 def bgp(triples: DataFrame, patterns: Sequence[Pattern], select: Sequence[str] | None = None,
-        distinct: bool = True, typed: bool = False) -> DataFrame:
+        distinct: bool = True, typed: bool = False, repeats: bool = True) -> DataFrame:
     """Solutions of triple patterns, one column per selected variable.
 
     Variables start with `?`; other strings are IRIs or blank nodes; literals are `Literal`.
@@ -79,7 +79,10 @@ def bgp(triples: DataFrame, patterns: Sequence[Pattern], select: Sequence[str] |
 
     With `distinct` a pattern that binds nothing new is a semi join, and a variable nobody
     needs any more is dropped, with its duplicates, before the next join, so a
-    label shared by many nodes does not multiply through the rest of the query.
+    label shared by many nodes does not multiply through the rest of the query. A graph is
+    a set, so each pattern's matches are made one first: a triple stored a thousand
+    times must not multiply either. For triples known to hold few repeats,
+    `repeats=False` leaves that out, and with it a shuffle per pattern.
     """
     resources = {term[1:] for p in patterns for term in p[:2] if is_variable(term)}
     everything = set().union(*(variables(p) for p in patterns))
@@ -92,6 +95,8 @@ def bgp(triples: DataFrame, patterns: Sequence[Pattern], select: Sequence[str] |
     for step, pattern in enumerate(ordered):
         names = variables(pattern)
         matches = _matches(triples, pattern, resources)
+        if distinct and repeats and not names <= bound:
+            matches = matches.distinct()
         later = set(selected).union(*(variables(p) for p in ordered[step + 1:]))
         if result is None:
             result = matches

@@ -343,7 +343,7 @@ def _(spark, d):
     return patterns.bgp(graph, [
         ("?ord", g.WITHIN, "?customer"), ("?customer", g.IN_NATION, "?nation"), ("?nation", g.WITHIN, "?region"),
         ("?region", V.RDFS_LABEL, "?region_name"), ("?ord", g.STATUS, g.BASE + "status/F"),
-    ], ["ord", "customer", "nation", "region_name"])
+    ], ["ord", "customer", "nation", "region_name"], repeats=False)
 
 
 @query(
@@ -1254,5 +1254,5 @@ def regional_part_ranking(spark, d):
     graph = g.triples(spark, d, [g.CONTAINS, V.RDFS_LABEL]).unionByName(walked)
     rows = patterns.bgp(graph, [
         ("?ord", V.WALK_MEMBER, g.REGION_0), ("?ord", g.CONTAINS, "?part"), ("?part", V.RDFS_LABEL, "?label"),
-    ], ["ord", "label"])
-    return rows.groupBy("label").agg(F.count("*").alias("orders")).orderBy(F.desc("orders"), "label")
+    ], ["ord", "part", "label"], repeats=False)
+    return rows.groupBy("label").agg(F.countDistinct("ord").alias("orders")).orderBy(F.desc("orders"), "label")
