@@ -153,13 +153,14 @@ def _apply_effects(triples: DataFrame, effects: DataFrame) -> DataFrame:
     )
 
 
-def _rdfs_round(triples: DataFrame, folder: str) -> DataFrame:
+def _rdfs_round(triples: DataFrame, schema: DataFrame, folder: str) -> DataFrame:
     """One application of rdfs5 and 11, then 7, 2, 3 and 9 with those closures."""
-    subproperties = subproperty_closure(triples)
-    schema = triples
+    subproperties = subproperty_closure(schema)
     extends_schema = subproperties.where(F.col("dst").isin(SCHEMA_PREDICATES) & ~F.col("src").isin(SCHEMA_PREDICATES))
     if not extends_schema.isEmpty():
-        schema = triples.unionByName(superproperty_triples(triples, extends_schema))
+        schema = storage.materialize(
+            schema.unionByName(superproperty_triples(triples, extends_schema)), folder, "extended-schema"
+        )
         subproperties = subproperty_closure(schema)
     subclasses = subclass_closure(schema)
     effects = storage.materialize(_effects(schema, subclasses, subproperties), folder, "effects")
@@ -172,32 +173,34 @@ def _rdfs_round(triples: DataFrame, folder: str) -> DataFrame:
     ]))
 
 
-def _needs_another_round(triples: DataFrame) -> bool:
+def _needs_another_round(schema: DataFrame) -> bool:
     """Whether rdf:type or the schema predicates are themselves given a superproperty, domain or range."""
     watched = SCHEMA_PREDICATES + [V.RDF_TYPE]
-    about_schema = F.col("s").isin(watched) & F.col("p").isin(SCHEMA_PREDICATES)
+    about_schema = F.col("s").isin(watched)
     widened_into = F.col("o").isin(watched) & t.predicate_matches(V.RDFS_SUBPROPERTY)
-    return not triples.where((about_schema | widened_into) & (F.col("s") != F.col("o"))).isEmpty()
+    return not schema.where((about_schema | widened_into) & (F.col("s") != F.col("o"))).isEmpty()
 
 
 def rdfs_closure(triples: DataFrame) -> DataFrame:
     """The triples with everything the RDFS rules add, as a set.
 
+    The schema rows are stored apart once, so that the hierarchies never scan the facts.
     One round is complete unless the schema vocabulary itself is extended; then
     rounds repeat until one adds nothing.
     """
     folder = storage.shared_folder(triples.sparkSession)
-    return _rdfs_rounds(storage.materialize(as_set(triples), folder, "given"), folder)
+    return _rdfs_rounds(storage.materialize(triples.select(*t.TRIPLE_COLUMNS), folder, "given"), folder)
 
 
 def _rdfs_rounds(stored: DataFrame, folder: str) -> DataFrame:
-    """RDFS rounds over a stored set of triples."""
+    """RDFS rounds over stored triples."""
     current, size, step = stored, None, 0
-    repeat = _needs_another_round(stored)
     while True:
         step += 1
-        current = storage.materialize(_rdfs_round(current, f"{folder}/{step}"), folder, f"rdfs-{step}")
-        if not repeat:
+        at = f"{folder}/{step}"
+        schema = storage.materialize(current.where(F.col("p").isin(SCHEMA_PREDICATES)), at, "schema")
+        current = storage.materialize(_rdfs_round(current, schema, at), folder, f"rdfs-{step}")
+        if not _needs_another_round(schema):
             return current
         grown = current.count()
         if grown == size:
@@ -392,7 +395,7 @@ def owl_horst_closure(triples: DataFrame, max_rounds: int | None = None) -> Data
     has one sameAs link per replaced node. No rule invents a node, so the rounds end.
     """
     folder = storage.shared_folder(triples.sparkSession)
-    current = storage.materialize(as_set(triples), folder, "given")
+    current = storage.materialize(triples.select(*t.TRIPLE_COLUMNS), folder, "given")
     step = 0
     while max_rounds is None or step < max_rounds:
         step += 1
