@@ -116,7 +116,7 @@ def expired_versions(catalog: DataFrame, n_kept: int = 2) -> DataFrame:
     The kept versions are ranked first: their filter runs in every task before the
     shuffle, so a graph with very many versions is never gathered in one task.
     """
-    graphs = all_graphs(catalog).select(*KEY, "date_importation", "graph_dir")
+    graphs = catalog.groupBy(*KEY, "graph_dir").agg(F.max("date_importation").alias("date_importation"))
     newest = Window.partitionBy("dir_name").orderBy(F.desc("date_importation"), F.desc("version"))
     kept = graphs.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= n_kept)
     return graphs.join(kept.select(*KEY), KEY, "left_anti")

@@ -17,10 +17,12 @@ def latest_two(results: DataFrame) -> DataFrame:
 
 
 def new_results(results: DataFrame) -> DataFrame:
-    """Results of the newest run that the run before lacks; all of them when it is the first."""
+    """Results of the newest run that the run before lacks; all of them when it is the first.
+
+    One aggregate over both runs: a result is new when its oldest occurrence is in the newest.
+    """
     aged = results.join(F.broadcast(latest_two(results)), "run_id")
-    newest = aged.where("age = 1").select(*RESULT).distinct()
-    return newest.join(aged.where("age = 2").select(*RESULT), RESULT, "left_anti")
+    return aged.groupBy(*RESULT).agg(F.max("age").alias("oldest")).where("oldest = 1").select(*RESULT)
 
 
 def has_news(results: DataFrame) -> bool:
