@@ -29,7 +29,8 @@ def void_stats(triples: DataFrame, graph: str | None = None, version: str = "")
 
     The first groups terms; its result is stored once, because counters, partitions and
     vocabularies all read it. The second counts distinct triples. Triples with `graph` and
-    `version` columns are summarised per graph; otherwise pass the graph's name.
+    `version` columns are summarised per graph; otherwise pass the graph's name, and an
+    empty graph still gets its row of zeros.
     """
     if graph is not None:
         triples = triples.withColumn("graph", F.lit(graph)).withColumn("version", F.lit(version))
@@ -45,6 +46,9 @@ def void_stats(triples: DataFrame, graph: str | None = None, version: str = "")
     dataset = stats.usage_totals(usage, BY).join(counted, BY).join(listed, BY, "left").withColumn(
         "is_valid", F.lit(True)
     )
+    if graph is not None:
+        named = triples.sparkSession.range(1).select(F.lit(graph).alias("graph"), F.lit(version).alias("version"))
+        dataset = named.join(dataset, BY, "left").fillna(0).fillna(True, ["is_valid"])
     return VoidStats(dataset, stats.usage_partition(usage, BY), vocabularies)
 
 

@@ -416,7 +416,7 @@ on_graph(
 )
 on_graph(
     "reachable_backward", None, lambda T: paths.reachable_any(T, g.REGION_0, paths.BACKWARD, 10),
-    _walk_sql(g.REGION_0, True, "true", 6) + "select * from found",
+    _walk_sql(g.REGION_0, True, "true", 10) + "select * from found",
 )
 on_graph(
     "find_node", None, lambda T: paths.find_node(T, g.BASE + "nation/N3"),
@@ -1226,7 +1226,9 @@ def _(spark, d):
 
 @query(
     "raw_void",
-    "select 'building_5' as graph, true as found, false as found_absent",
+    LAKE + "select 'building_5' as graph,"
+    " exists (select 1 from void_dataset where graph = 'building_5' and version = '1998-04') as found,"
+    " exists (select 1 from void_dataset where graph = 'building_5' and version = '1900-01') as found_absent",
 )
 def _(spark, d):
     texts = _void_texts(spark, d)

@@ -70,6 +70,14 @@ def test_void_text(spark, tmp_path):
     assert [(r.kind, r.item, r.triples) for r in part] == [("property", "http://e.org/predicate", 3)]
 
 
+def test_void_of_an_empty_graph(spark):
+    summary = void_stats(t.empty_triples(spark), "g", "1")
+    row = summary.dataset.first()
+    assert (row.graph, row.triples, row.entities, row.is_valid) == ("g", 0, 0, True)
+    text = void_sink.void_to_turtle(summary.dataset, summary.partition, F.lit("/data/g_v1")).first().value
+    assert "Partition" not in text and "vocabulary" not in text and "void:triples 0;" in text
+
+
 def test_malformed_void_is_flagged(spark, tmp_path):
     good = "@prefix void: <http://x#> .\n<http://s/void/?source=/d/a_v1>\n\nvoid:classes 0;\na void:Dataset ."
     (tmp_path / "a").write_text(good)
