@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kglake.llm import shared, token_files
+from kglake.llm import packing, shared, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -15,7 +16,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            shared.ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -28,3 +34,9 @@ def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_folder(spark, "op9") + "/tokens"
     token_files.write_tokens(shared.table(spark, sf_dir, "documents"), path)
     return token_files.with_checksums(token_files.read_tokens(spark, path))
+
+
+@query("op8_nnls_packing")
+def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 ids."""
+    return packing.pack(shared.table(spark, sf_dir, "documents"), 1024)
