@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kglake.llm import packing, shared, token_files
+from kglake.llm import mixing, packing, shared, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,3 +40,9 @@ def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
     return packing.pack(shared.table(spark, sf_dir, "documents"), 1024)
+
+
+@query("op1_sainte_lague_mixing", mixing.mixture_sql())
+def op1_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mixture of all sources takes."""
+    return mixing.mix(shared.table(spark, sf_dir, "documents"))
