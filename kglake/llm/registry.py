@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kglake.llm import mixing, packing, shared, token_files
+from kglake.llm import mixing, packing, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,3 +46,11 @@ def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document a mixture of all sources takes."""
     return mixing.mix(shared.table(spark, sf_dir, "documents"))
+
+
+@query("op10_warc_index")
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, then read back by the index."""
+    folder = shared.new_folder(spark, "op10")
+    warc.write_warc(shared.table(spark, sf_dir, "pages"), folder)
+    return warc.archive_summary(spark, folder)
