@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kglake.llm import mixing, packing, shared, token_files, warc
+from kglake.llm import mixing, packing, quality, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +54,12 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared.new_folder(spark, "op10")
     warc.write_warc(shared.table(spark, sf_dir, "pages"), folder)
     return warc.archive_summary(spark, folder)
+
+
+@query("op2_weak_supervision_quality")
+def op2_weak_supervision_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base measures and the verdict of the rules together."""
+    docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "p_quality")
