@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kglake.llm import mixing, packing, quality, shared, token_files, warc
+from kglake.llm import mixing, packing, private, quality, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,3 +63,10 @@ def op2_weak_supervision_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "p_quality")
+
+
+@query("op7_pii_surrogates")
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data and secrets replaced."""
+    docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return private.replace_private(docs)
