@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kglake.llm import mixing, packing, private, quality, shared, token_files, warc
+from kglake.llm import mixing, packing, private, quality, setjoin, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,9 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data and secrets replaced."""
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
     return private.replace_private(docs)
+
+
+@query("op4_partition_jaccard")
+def op4_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles reach a Jaccard similarity of 0.75."""
+    return setjoin.near_duplicates(shared.table(spark, sf_dir, "documents"))
