@@ -6,8 +6,9 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kglake.llm import mixing, packing, private, quality, setjoin, shared, token_files, warc
+from kglake.llm import mixing, neighbours, packing, private, quality, setjoin, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +77,9 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 5-word shingles reach a Jaccard similarity of 0.75."""
     return setjoin.near_duplicates(shared.table(spark, sf_dir, "documents"))
+
+
+@query("op6_posting_lists")
+def op6_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all others."""
+    return neighbours.nearest(shared.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
