@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kglake.llm import mixing, neighbours, packing, private, quality, setjoin, shared, token_files, warc
+from kglake.llm import mixing, neighbours, packing, private, quality, separators, setjoin, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +83,10 @@ def op4_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20, among all others."""
     return neighbours.nearest(shared.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op5_separator_scan")
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document with its end id, counted in flat files by the separators."""
+    folder = shared.new_folder(spark, "op5")
+    return separators.token_counts(shared.table(spark, sf_dir, "documents"), folder).select("doc_id", "n_tokens")
