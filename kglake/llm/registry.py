@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kglake.llm import mixing, neighbours, packing, private, quality, separators, setjoin, shared, token_files, warc
+from kglake.llm import mixing, neighbours, packing, pages, private, quality, separators, setjoin, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,9 @@ def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document with its end id, counted in flat files by the separators."""
     folder = shared.new_folder(spark, "op5")
     return separators.token_counts(shared.table(spark, sf_dir, "documents"), folder).select("doc_id", "n_tokens")
+
+
+@query("op3_boosted_main_text")
+def op3_boosted_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.main_texts(shared.table(spark, sf_dir, "pages"))
