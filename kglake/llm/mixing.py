@@ -180,7 +180,7 @@ select doc_id, source, size, source_size, target, (passes * size + to1 - from1 +
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """`docs` as the mixture reads them: a row for each whole reading and one for each part, with `docs`'s columns.
 
-    A part keeps its words and the white space after them. `n_chars`, where present, is the new text's.
+    Rows without words are not read. A part keeps its words and the white space after them. `n_chars`, where present, is the new text's.
     """
     taken = mix(docs, **options).select(
         "doc_id", "source", "size", "passes", F.array(
@@ -196,6 +196,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     reads = F.concat(
         F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("t.size").alias("b")), F.col("t.passes").cast("int")),
         F.filter("t.parts", lambda p: p["a"] < p["b"]))
+    reads = F.when(F.col("t.size") > 0, reads)
     rows = joined.select(*[F.col(f"d.{c}") for c in docs.columns], F.col("t.size").alias("__size"), F.explode(reads).alias("__read"))
     words = F.regexp_extract_all(F.col("text"), F.lit(shared.WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     part = F.array_join(F.slice(
