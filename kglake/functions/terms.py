@@ -99,8 +99,24 @@ def escape_literal(text: Column) -> Column:
     return text
 
 
+# Fixed value: what an IRI holds only as an escape.
+_NOT_IN_IRI = r"[\x00-\x20<>\"{}|^`\\]"
+
+
+def escape_iri(term: Column) -> Column:
+    """The term with characters outside the IRI set as `\\uXXXX`; all of them are ASCII."""
+    characters = F.regexp_extract_all(term, F.lit("(?s)."), F.lit(0))
+    escaped = F.array_join(F.transform(characters, lambda c: F.when(
+        c.rlike(_NOT_IN_IRI), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(c)), 4, "0"))).otherwise(c)), "")
+    return F.when(term.rlike(_NOT_IN_IRI), escaped).otherwise(term)
+
+
+def _iri_reference(term: Column) -> Column:
+    return F.concat(F.lit("<"), escape_iri(term), F.lit(">"))
+
+
 def format_resource(term: Column, kind: Column) -> Column:
-    return F.when(kind == BNODE, term).otherwise(F.concat(F.lit("<"), term, F.lit(">")))
+    return F.when(kind == BNODE, term).otherwise(_iri_reference(term))
 
 
 def format_object() -> Column:
@@ -108,20 +124,19 @@ def format_object() -> Column:
     suffix = (
         F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), F.col("o_lang")))
         .when(F.col("o_datatype") == V.XSD_STRING, F.lit(""))
-        .otherwise(F.concat(F.lit("^^<"), F.col("o_datatype"), F.lit(">")))
+        .otherwise(F.concat(F.lit("^^"), _iri_reference(F.col("o_datatype"))))
     )
     literal = F.concat(F.lit('"'), escape_literal(F.col("o")), F.lit('"'), suffix)
     return F.when(is_literal("o"), literal).otherwise(format_resource(F.col("o"), F.col("o_kind")))
 
 
 def format_line() -> Column:
-    return F.concat_ws(
-        " ",
-        format_resource(F.col("s"), F.col("s_kind")),
-        F.concat(F.lit("<"), F.col("p"), F.lit(">")),
-        format_object(),
-        F.lit("."),
+    """The statement as an N-Triples line; a triple that lacks a term fails instead of becoming a broken line."""
+    line = F.concat(
+        format_resource(F.col("s"), F.col("s_kind")), F.lit(" "), _iri_reference(F.col("p")), F.lit(" "),
+        format_object(), F.lit(" ."),
     )
+    return F.when(line.isNull(), F.raise_error(F.lit("a triple without subject, predicate or object"))).otherwise(line)
 
 
 def term_to_string() -> Column:
@@ -183,6 +198,10 @@ def try_long(text: Column) -> Column:
     return text.try_cast("bigint")
 
 
+def empty_results(spark):
+    return spark.createDataFrame([], "run_id bigint, s string, p string, o string")
+
+
 RESULT_LINE = r"^<([^>]+)> <([^>]+)> <([^>]+)>(?:\s*\.)?$"
 
 

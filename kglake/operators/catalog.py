@@ -33,9 +33,11 @@ def ontologies(catalog: DataFrame, latest: bool = True) -> DataFrame:
 
 
 def select_graph(catalog: DataFrame, name: str, version: str = "") -> DataFrame:
-    """The catalog row of a graph; no version means the latest."""
+    """The catalog row of a graph; no version means the latest, by import date, then version."""
     if version == "":
-        return latest_graphs(catalog).where(F.col("dir_name") == name).limit(1)
+        newest = Window.orderBy(F.desc("date_importation"), F.desc("version"))
+        found = latest_graphs(catalog).where(F.col("dir_name") == name)
+        return found.withColumn("rank", F.row_number().over(newest)).where("rank = 1").drop("rank")
     return all_graphs(catalog.where((F.col("dir_name") == name) & (F.col("version") == version)))
 
 
@@ -139,7 +141,9 @@ def available_together(catalog: DataFrame, names: Sequence[str]) -> DataFrame:
 def register_version(catalog: DataFrame, added: DataFrame, imported_at=None) -> DataFrame:
     """The catalog with new versions, stamped with the import time and flagged latest."""
     stamp = F.current_timestamp() if imported_at is None else F.lit(imported_at).cast("timestamp")
-    new = added.withColumn("date_importation", stamp).withColumn("is_latest", F.lit(True))
+    # Of several new versions of a graph the last one is the latest.
+    last = Window.partitionBy("dir_name").orderBy(F.desc("version"))
+    new = added.withColumn("date_importation", stamp).withColumn("is_latest", F.row_number().over(last) == 1)
     older = catalog.join(new.select(*KEY), KEY, "left_anti")
     renewed = new.select("dir_name").distinct().withColumn("renewed", F.lit(True))
     older = older.join(renewed, "dir_name", "left").withColumn(

@@ -84,12 +84,14 @@ def superproperty_triples(triples: DataFrame, subproperties: DataFrame) -> DataF
 
 def domain_types(triples: DataFrame, domains: DataFrame) -> DataFrame:
     """rdfs2: subjects typed by the domain of their predicate."""
+    domains = storage.materialize(domains, name="domains")
     typed = triples.join(domains, triples.p == domains.src).select("s", "dst")
     return t.resource_triples(typed, "s", F.lit(V.RDF_TYPE), "dst")
 
 
 def range_types(triples: DataFrame, ranges: DataFrame) -> DataFrame:
     """rdfs3: resource objects typed by the range of their predicate."""
+    ranges = storage.materialize(ranges, name="ranges")
     resources = triples.where(~t.is_literal("o"))
     typed = resources.join(ranges, resources.p == ranges.src).select("o", "dst")
     return t.resource_triples(typed, "o", F.lit(V.RDF_TYPE), "dst")
@@ -209,16 +211,18 @@ def _rdfs_rounds(stored: DataFrame, folder: str) -> DataFrame:
 
 
 def _typed_properties(triples: DataFrame, kind: str) -> DataFrame:
+    """The declared properties, stored: a schema table is broadcast by its real size instead of shuffling facts by predicate."""
     rows = triples.where(t.predicate_matches(V.RDF_TYPE) & t.object_matches(kind))
-    return rows.select(F.col("s").alias("property")).distinct()
+    return storage.materialize(rows.select(F.col("s").alias("property")).distinct(), name="properties")
 
 
 def inverse_triples(triples: DataFrame) -> DataFrame:
     """rdfp8: (s p o) and p inverse of q give (o q s), in both directions."""
     declared = pairs(triples, V.OWL_INVERSE_OF, "property", "inverse")
     both = declared.unionByName(declared.select(F.col("inverse").alias("property"), F.col("property").alias("inverse")))
+    both = storage.materialize(both.distinct(), name="inverses")
     resources = triples.where(~t.is_literal("o"))
-    rows = resources.join(both.distinct(), resources.p == F.col("property")).select("o", "inverse", "s")
+    rows = resources.join(both, resources.p == F.col("property")).select("o", "inverse", "s")
     return t.resource_triples(rows, "o", "inverse", "s")
 
 
@@ -251,7 +255,7 @@ def functional_same_as(triples: DataFrame) -> DataFrame:
     def links(kind: str, key: str, value: str) -> DataFrame:
         properties = _typed_properties(triples, kind)
         rows = resources.join(properties, resources.p == properties.property, "left_semi").select("p", "s", "o")
-        rows = rows.distinct()
+        rows = storage.materialize(rows.distinct(), name=f"{key}-values")
         least = rows.groupBy("p", key).agg(F.min(value).alias("least"))
         linked = rows.join(least, ["p", key]).where(F.col(value) != F.col("least"))
         return linked.select(F.col(value).alias("node"), "least").distinct()
@@ -348,7 +352,7 @@ def _restrictions(triples: DataFrame, filler: str) -> DataFrame:
     fillers = triples.where(t.predicate_matches(filler)).select(
         F.col("s").alias("restriction"), *(F.col(o).alias(v) for o, v in zip(t.OBJECT_COLUMNS, _TERM))
     )
-    return on.join(fillers, "restriction").distinct()
+    return storage.materialize(on.join(fillers, "restriction").distinct(), name="restrictions")
 
 
 def _instances(triples: DataFrame) -> DataFrame:
@@ -388,7 +392,7 @@ def restriction_triples(triples: DataFrame) -> DataFrame:
     ])
 
 
-def owl_horst_closure(triples: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def owl_horst_closure(triples: DataFrame) -> DataFrame:
     """RDFS and OWL Horst rules until a round adds nothing.
 
     Equality is kept as representatives: each round rewrites to them, so the result
@@ -397,7 +401,7 @@ def owl_horst_closure(triples: DataFrame, max_rounds: int | None = None) -> Data
     folder = storage.shared_folder(triples.sparkSession)
     current = storage.materialize(triples.select(*t.TRIPLE_COLUMNS), folder, "given")
     step = 0
-    while max_rounds is None or step < max_rounds:
+    while True:
         step += 1
         inferred = _rdfs_rounds(current, f"{folder}/{step}")
         added = _union([
@@ -410,4 +414,3 @@ def owl_horst_closure(triples: DataFrame, max_rounds: int | None = None) -> Data
         widened = inferred.unionByName(new)
         components = storage.materialize(same_as_components(widened), folder, f"components-{step}")
         current = storage.materialize(substitute_same_as(widened, components), folder, f"round-{step}")
-    return current

@@ -62,18 +62,21 @@ def _walk(edges: DataFrame, start: str, direction: str, max_iterations: int | No
 
 
 def property_path(triples: DataFrame, predicate: str, start: str, direction: str = FORWARD,
-                  max_iterations: int | None = 10) -> DataFrame:
-    """Nodes within `max_iterations` hops of one predicate: ancestors forward, descendants backward."""
+                  max_iterations: int | None = None) -> DataFrame:
+    """Nodes reached over one predicate: ancestors forward, descendants backward.
+
+    All of them, or, where `max_iterations` is given, those within that many hops.
+    """
     return _walk(edges_of(triples, predicate), start, direction, max_iterations)
 
 
 def property_path_as_triples(triples: DataFrame, predicate: str, start: str, direction: str = FORWARD,
-                             max_iterations: int | None = 10) -> DataFrame:
+                             max_iterations: int | None = None) -> DataFrame:
     return walk_as_triples(property_path(triples, predicate, start, direction, max_iterations), start)
 
 
 def reachable_any(triples: DataFrame, start: str, direction: str = FORWARD,
-                  max_iterations: int | None = 10) -> DataFrame:
+                  max_iterations: int | None = None) -> DataFrame:
     """As `property_path`, over the edges of all predicates."""
     return _walk(edges_of(triples), start, direction, max_iterations)
 

@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 from kglake.functions import terms as t
 from kglake.functions import vocab as V
 
-REPORT_SIZE = 100
-
-
-def top(counts: DataFrame, item: str, size: int = REPORT_SIZE) -> DataFrame:
-    """The `size` largest counts, ties by item."""
+def top(counts: DataFrame, item: str, size: int) -> DataFrame:
+    """The `size` largest counts, ties by item, for reports that ask for that many."""
     return counts.orderBy(F.desc("n"), item).limit(size)
 
 
@@ -126,15 +123,32 @@ def links(triples: DataFrame) -> DataFrame:
 _SPACE_TEXT, _SPACE_LANG, _SPACE_TIME, _SPACE_NUMBER = 0, 1, 2, 3
 
 
+def _digits() -> Column:
+    """The exact order of plain decimal numerals: places before the point, then digits; null for others.
+
+    A negative number has fewer places and the complement of its digits, closed by a sign above nine.
+    """
+    plain = r"^([+-]?)0*(\d*)(?:\.(\d*?)0*)?$"
+    places = F.length(F.regexp_extract("o", plain, 2))
+    digits = F.concat(F.regexp_extract("o", plain, 2), F.regexp_extract("o", plain, 3))
+    negative = F.col("o").startswith("-")
+    return F.when(F.col("o").rlike(plain) & F.col("o").rlike(r"\d"), F.struct(
+        F.when(negative, -places).otherwise(places).alias("places"),
+        F.when(negative, F.concat(F.translate(digits, "0123456789", "9876543210"), F.lit(":"))).otherwise(digits).alias("digits")))
+
+
 def value_order() -> Column:
     """A sortable key for literals: value space, then value, then lexical form and type.
 
-    Numbers compare as numbers and dates as instants; a malformed one falls back to
-    text. NaN sorts above every number, as Spark orders doubles.
+    Numbers compare as numbers of any length: first as doubles, which never swap two of them, then those that share
+    a double by their digits. NaN sorts above every number. Dates compare as instants, in UTC where
+    they name no zone. A malformed one falls back to text.
     """
     datatype = F.col("o_datatype")
     number = F.when(datatype.isin(V.ALL_NUMERIC_DATATYPES), F.col("o").try_cast("double"))
-    moment = F.when(datatype.isin(V.TEMPORAL_DATATYPES), F.col("o").try_cast("timestamp"))
+    zoned = F.when(F.col("o").rlike(r"(?:[zZ]|[+-]\d\d:\d\d)$"), F.col("o")).when(
+        F.col("o").contains("T"), F.concat("o", F.lit("Z"))).otherwise(F.concat("o", F.lit("T00:00:00Z")))
+    moment = F.when(datatype.isin(V.TEMPORAL_DATATYPES), zoned.try_cast("timestamp"))
     space = (
         F.when(number.isNotNull(), _SPACE_NUMBER)
         .when(moment.isNotNull(), _SPACE_TIME)
@@ -142,7 +156,7 @@ def value_order() -> Column:
         .otherwise(_SPACE_TEXT)
     )
     return F.struct(
-        space.alias("space"), number.alias("number"), moment.alias("moment"),
+        space.alias("space"), number.alias("number"), _digits().alias("digits"), moment.alias("moment"),
         F.col("o").alias("o"), datatype.alias("o_datatype"), F.col("o_lang").alias("o_lang"),
     )
 

@@ -10,11 +10,15 @@ from kglake.operators import catalog as cat
 from kglake.operators import inference
 
 
-def select_ontologies(catalog: DataFrame, void_dataset: DataFrame, max_size: int = 5000) -> DataFrame:
-    """Latest ontologies of at most `max_size` triples; one without a summary counts as empty and is kept."""
+def select_ontologies(catalog: DataFrame, void_dataset: DataFrame, max_size: int | None = None) -> DataFrame:
+    """Latest ontologies, all or those of at most `max_size` triples, each with its size as `triples`.
+
+    One without a valid summary has a null size and is kept: the caller sees that its size is not known.
+    """
     sizes = void_dataset.where("is_valid").select(F.col("graph").alias("dir_name"), "version", "triples")
     graphs = cat.ontologies(catalog).join(sizes, cat.KEY, "left")
-    return graphs.where(F.coalesce("triples", F.lit(0)) <= max_size).select(*catalog.columns)
+    chosen = graphs.select(*catalog.columns, "triples")
+    return chosen if max_size is None else chosen.where(F.coalesce("triples", F.lit(0)) <= max_size)
 
 
 def schema_triples(triples: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ SIO = "http://semanticscience.org/resource/"
 MESHV = "http://id.nlm.nih.gov/mesh/vocab#"
 DCT_TITLE = "http://purl.org/dc/terms/title"
 SUBJECT_TERMS = [FABIO + "hasSubjectTerm", FABIO + "hasPrimarySubjectTerm"]
-MAX_HOPS = 15
 
 
 def article_patterns(subject_term: str) -> list[patterns.Pattern]:
@@ -40,7 +39,7 @@ def explore(taxonomy: DataFrame, others: DataFrame, super_taxon: str, minimum: i
 
     `minimum` fails the run when the walk finds too few taxa, which means a broken taxonomy.
     """
-    taxa = paths.property_path(taxonomy, V.RDFS_SUBCLASS, super_taxon, paths.BACKWARD, MAX_HOPS)
+    taxa = paths.property_path(taxonomy, V.RDFS_SUBCLASS, super_taxon, paths.BACKWARD)
     if minimum:
         paths.require_at_least(taxa, minimum)
     graph = taxonomy.unionByName(others).unionByName(walk_as_triples(taxa, super_taxon))

@@ -54,3 +54,25 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def replace_path(spark: SparkSession, new: str, target: str) -> None:
+    """Put the file or folder `new` at `target`. What was there is moved aside first, comes back if that fails,
+    and is deleted only when the new one is in place."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, goal, aside = (hadoop.Path(p) for p in (new, target, f"{target.rstrip('/')}.{uuid.uuid4().hex}.old"))
+    fs = goal.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaces = fs.exists(goal)
+    if replaces and not fs.rename(goal, aside):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(source, goal):
+        if replaces:
+            fs.rename(aside, goal)
+        raise OSError(f"cannot write {target}; it is in {new}")
+    if replaces:
+        fs.delete(aside, True)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kglake.functions import terms as t
@@ -36,12 +36,7 @@ def void_stats(triples: DataFrame, graph: str | None = None, version: str = "")
         triples = triples.withColumn("graph", F.lit(graph)).withColumn("version", F.lit(version))
     usage = storage.materialize(stats.term_usage(triples, BY), name="term_usage")
     vocabularies = usage.select(*BY, t.namespace(F.col("term")).alias("ns")).distinct()
-    first = Window.partitionBy(*BY).orderBy("ns")
-    listed = (
-        vocabularies.withColumn("rank", F.row_number().over(first))
-        .where(F.col("rank") <= void_sink.VOCABULARY_REPORT_SIZE)
-        .groupBy(*BY).agg(F.array_sort(F.collect_list("ns")).alias("vocabularies"))
-    )
+    listed = vocabularies.groupBy(*BY).agg(F.array_sort(F.collect_list("ns")).alias("vocabularies"))
     counted = triples.select(*BY, *t.TRIPLE_COLUMNS).distinct().groupBy(*BY).agg(F.count("*").alias("triples"))
     dataset = stats.usage_totals(usage, BY).join(counted, BY).join(listed, BY, "left").withColumn(
         "is_valid", F.lit(True)
@@ -53,7 +48,10 @@ def void_stats(triples: DataFrame, graph: str | None = None, version: str = "")
 
 
 def write_graph_void(catalog: DataFrame, name: str, version: str = "", output_dir: str = "") -> str | None:
-    """Summarise a graph of the catalog and write the Turtle text; graphs that are not RDF are skipped."""
+    """Summarise a graph of the catalog and write the Turtle text; graphs that are not RDF are skipped.
+
+    May be run again: the new text is checked, then takes the old one's place.
+    """
     from kglake.functions import vocab as V
     from kglake.operators.catalog import find_graph
     from kglake.sources.triples import read_graph

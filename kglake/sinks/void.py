@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kglake.functions import vocab as V
+from kglake.plans import storage
 
 # The prefix block of a summary.
 PREFIXES = {
@@ -22,25 +25,23 @@ PREFIXES = {
     "foaf": "http://xmlns.com/foaf/0.1/",
     "rdfs": "http://www.w3.org/2000/01/rdf-schema#",
 }
-REPORT_SIZE = 100
-VOCABULARY_REPORT_SIZE = 15
 
 
 GRAPH_KEY = ["graph", "version"]
 
 
-def top_partitions(partition: DataFrame, size: int = REPORT_SIZE) -> DataFrame:
-    """The `size` largest entries of each graph and kind, ranked, ties by item.
+def ranked_partitions(partition: DataFrame, size: int | None = None) -> DataFrame:
+    """The entries of each graph and kind, ranked by count, ties by item; only the `size` largest where one is given.
 
-    The rank filter is applied by each task before the shuffle, so a graph with
-    millions of classes sends on at most `size` rows per task.
+    Such a limit is applied by each task before the shuffle.
     """
     order = Window.partitionBy(*GRAPH_KEY, "kind").orderBy(F.desc("triples"), "item")
-    return partition.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    ranked = partition.withColumn("rank", F.row_number().over(order))
+    return ranked if size is None else ranked.where(F.col("rank") <= size)
 
 
-def _blocks(partition: DataFrame) -> DataFrame:
-    """The class and property text of each graph; a group holds at most `REPORT_SIZE` rows per kind."""
+def _blocks(partition: DataFrame, size: int | None) -> DataFrame:
+    """The class and property text of each graph: one row per graph, as long as its summary."""
     entry = F.concat(
         F.lit("[ \nvoid:"), F.col("kind"), F.lit(" <"), F.col("item"), F.lit(">; \nvoid:triples "),
         F.col("triples"), F.lit(";\n]"),
@@ -51,25 +52,32 @@ def _blocks(partition: DataFrame) -> DataFrame:
         text = F.array_join(F.transform(F.array_sort(entries), lambda e: e["entry"]), ",")
         return F.when(text != "", F.concat(F.lit(f"\nvoid:{kind}Partition "), text, F.lit(";"))).otherwise(F.lit(""))
 
-    return top_partitions(partition).groupBy(*GRAPH_KEY).agg(
+    return ranked_partitions(partition, size).groupBy(*GRAPH_KEY).agg(
         block("class").alias("class_block"), block("property").alias("property_block")
     )
 
 
-def void_to_turtle(dataset: DataFrame, partition: DataFrame, source: Column) -> DataFrame:
-    """`(graph, version, value)`: the summary text of each graph; `source` is its directory."""
+def void_to_turtle(dataset: DataFrame, partition: DataFrame, source: Column, report_size: int | None = None,
+                   vocabulary_size: int | None = None) -> DataFrame:
+    """`(graph, version, value)`: the summary text of each graph; `source` is its directory.
+
+    Everything is listed; a short text lists only so many partitions of a kind and vocabularies (100 and 15 where
+    the text must equal that of the established reports).
+    """
     prefixes = "\n".join(f"@prefix {name}: <{iri}> ." for name, iri in PREFIXES.items())
 
     def counter(turtle: str, name: str) -> Column:
         return F.concat(F.lit(f"\nvoid:{turtle} "), F.coalesce(F.col(name), F.lit(0)), F.lit(";"))
 
-    listed = F.slice(F.array_sort("vocabularies"), 1, VOCABULARY_REPORT_SIZE)
+    listed = F.array_sort("vocabularies")
+    if vocabulary_size is not None:
+        listed = F.slice(listed, 1, vocabulary_size)
     vocabulary = F.when(
         F.size(listed) > 0,
         F.concat(F.lit("\nvoid:vocabulary  <"), F.array_join(listed, ">, <"), F.lit(">;")),
     ).otherwise(F.lit(""))
     class_block, property_block = (F.coalesce(f"{kind}_block", F.lit("")) for kind in ("class", "property"))
-    return dataset.join(_blocks(partition), GRAPH_KEY, "left").select(
+    return dataset.join(_blocks(partition, report_size), GRAPH_KEY, "left").select(
         *GRAPH_KEY,
         F.concat(
             F.lit(f"{prefixes}\n<{V.VOID_SOURCE}"), source, F.lit(">\n"),
@@ -84,4 +92,10 @@ def void_to_turtle(dataset: DataFrame, partition: DataFrame, source: Column) ->
 
 
 def write_void(turtle: DataFrame, path: str) -> None:
-    turtle.select("value").coalesce(1).write.text(path)
+    """The summary text under `path`, one file; an older summary there is replaced once the new one is written whole."""
+    temporary = f"{path.rstrip('/')}.{uuid.uuid4().hex}.temp"
+    turtle.select("value").coalesce(1).write.text(temporary)
+    if turtle.sparkSession.read.text(temporary, wholetext=True).where(
+            F.col("value").rlike(r"a void:Dataset \.\s*$")).isEmpty():
+        raise ValueError(f"the summary in {temporary} is not complete")
+    storage.replace_path(turtle.sparkSession, temporary, path)

@@ -88,16 +88,25 @@ def _choice(values: list[str]) -> str:
 _CELL = "struct<text:string, href:string, children:array<struct<text:string, href:string>>>"
 
 
+_LINK = "try_element_at(try_element_at(children, 1).children, 1)"
+
+
+def json_row_rejects(spark: SparkSession, paths: str | list[str], multiline: bool = False) -> DataFrame:
+    """The cells' texts of the rows without a link: the header, and data rows a caller should look at."""
+    rows = spark.read.schema(f"children array<{_CELL}>").json(paths, multiLine=multiline)
+    return rows.where(F.expr(f"{_LINK}.href is null")).select(F.expr("transform(children, c -> c.text)").alias("cells"))
+
+
 def read_json_rows(spark: SparkSession, paths: str | list[str], columns: list[str], url_base: str,
                    multiline: bool = False) -> DataFrame:
     """Rows of an HTML table dumped as nested JSON.
 
     The first cell holds a link: its target, after `url_base`, becomes `uri` and its text the
-    first column. Cells are taken by position, a missing one is the empty string, and
-    the header row, which has no link, is dropped.
+    first column. Cells are taken by position and a missing one is the empty string. Rows
+    without a link, the header among them, are those of `json_row_rejects`.
     """
     rows = spark.read.schema(f"children array<{_CELL}>").json(paths, multiLine=multiline)
-    link = F.expr("try_element_at(try_element_at(children, 1).children, 1)")
+    link = F.expr(_LINK)
     rest = [
         F.coalesce(F.expr(f"try_element_at(children, {i}).text"), F.lit("")).alias(name)
         for i, name in enumerate(columns[1:], start=2)

@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kglake.functions import terms as t
 from kglake.functions import vocab as V
 from kglake.plans import storage
 
+# The characters an IRI may hold as they are, and the escapes of IRIs and of literals.
+IRI = r"<[^\x00-\x20<>\"{}|^`\\]*+(?:\\[uU][^\x00-\x20<>\"{}|^`\\]*+)*+>"
+LITERAL = r"[^\"\\]*+(?:\\[tbnrf\"'\\uU][^\"\\]*+)*+"
 # One N-Triples statement. Possessive and unrolled, so long literals need no backtracking stack.
 NTRIPLES_LINE = (
-    r"^\s*+(<[^>]*+>|_:\S++)\s*+(<[^>]*+>)\s*+"
-    r'(?:(<[^>]*+>)|(_:[^\s]*[^\s.])|"([^"\\]*+(?:\\.[^"\\]*+)*+)"(?:@([A-Za-z0-9-]++)|\^\^<([^>]*+)>)?)'
+    rf"^\s*+({IRI}|_:\S++)\s*+({IRI})\s*+"
+    rf'(?:({IRI})|(_:[^\s]*[^\s.])|"({LITERAL})"(?:@([A-Za-z]++(?:-[A-Za-z0-9]++)*+)|\^\^({IRI}))?)'
     r"\s*+\.\s*+(?:#.*)?$"
 )
+# A numeric escape without its digits, above the last code point, or of half a surrogate pair.
+BAD_ESCAPE = (
+    r"(?<!\\)(?:\\\\)*+\\(?:u(?![0-9A-Fa-f]{4})|u[dD][89A-Fa-f]|U(?!(?:000[0-9A-Fa-f]|0010)[0-9A-Fa-f]{4})"
+    r"|U0000[dD][89A-Fa-f])"
+)
 BLANK_LINE = r"^\s*(?:#.*)?$"
 
 
@@ -26,17 +34,25 @@ def _lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     return lines.where(~F.col("value").rlike(BLANK_LINE))
 
 
+def _fields(line: Column) -> Column:
+    """The seven fields of a statement, or null where the line is none.
+
+    A line is matched once: the match is rewritten to its fields with line feeds between them, which
+    no line can contain. Readers of statements and of rejects share this one condition.
+    """
+    rewritten = F.regexp_replace(line, NTRIPLES_LINE, "$1\n$2\n$3\n$4\n$5\n$6\n$7")
+    statement = (F.instr(rewritten, "\n") > 0) & ~rewritten.rlike(BAD_ESCAPE)
+    return F.when(statement, F.split(rewritten, "\n"))
+
+
 def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes: str = "file") -> DataFrame:
     """N-Triples files as triples; see `ntriples_rejects` for the lines that are none.
 
-    A line is matched once: the match is rewritten to its seven fields with line feeds
-    between them, which no line can contain. Blank node labels are local to a
+    Every line that is not blank and no comment is in exactly one of the two. Blank node labels are local to a
     file, so `blank_nodes="file"` qualifies them; "shared" keeps them as
     they are, for part files of one graph.
     """
-    lines = _lines(spark, paths)
-    fields = F.split(F.regexp_replace("value", NTRIPLES_LINE, "$1\n$2\n$3\n$4\n$5\n$6\n$7"), "\n")
-    rows = lines.select("file_path", fields.alias("f")).where(F.size("f") == 7)
+    rows = _lines(spark, paths).select("file_path", _fields(F.col("value")).alias("f")).where("f is not null")
     f = [F.col("f")[i] for i in range(7)]
 
     def iri(token):
@@ -50,7 +66,7 @@ def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes:
     s_is_iri = f[0].startswith("<")
     o_kind = F.when(f[2] != "", t.IRI).when(f[3] != "", t.BNODE).otherwise(t.LITERAL)
     literal = o_kind == t.LITERAL
-    datatype = F.when(f[5] != "", V.RDF_LANG_STRING).when(f[6] != "", f[6]).otherwise(V.XSD_STRING)
+    datatype = F.when(f[5] != "", V.RDF_LANG_STRING).when(f[6] != "", iri(f[6])).otherwise(V.XSD_STRING)
     return rows.select(
         F.when(s_is_iri, iri(f[0])).otherwise(bnode(f[0])).alias("s"),
         F.when(s_is_iri, t.IRI).otherwise(t.BNODE).alias("s_kind"),
@@ -64,7 +80,7 @@ def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes:
 
 def ntriples_rejects(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Lines that are neither a statement, nor blank, nor a comment, with their file."""
-    return _lines(spark, paths).where(~F.col("value").rlike(NTRIPLES_LINE))
+    return _lines(spark, paths).where(_fields(F.col("value")).isNull())
 
 
 def read_triples_parquet(spark: SparkSession, *paths: str) -> DataFrame:

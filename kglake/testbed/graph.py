@@ -377,3 +377,8 @@ RESULTS_SQL = (
     f" concat('http://ex.org/user/U', user_id) as s, '{V.SKOS_RELATED}' as p,"
     " concat('http://ex.org/event/', event_type) as o from events where event_id % 11 <> 0 and event_id % 7 <> 0)"
 )
+# Every file is a run, also one whose lines are all comments.
+RUNS_SQL = (
+    "select distinct cast(replace(substr(cast(ts as varchar), 1, 10), '-', '') as bigint) as run_id from events"
+    " where event_id % 11 <> 0"
+)

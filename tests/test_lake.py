@@ -143,19 +143,37 @@ def test_results_of_successive_runs(spark, tmp_path):
         return results_src.read_results(spark, str(tmp_path), "out-")
 
     run(1716875255957, ["a", "b", "c"])
-    assert res.new_results(read()).count() == 3
+    assert res.new_results(*reversed(read())).count() == 3
     run(1716884614734, ["a", "b", "c", "d"])
-    results = read()
-    assert [r.s for r in res.new_results(results).collect()] == ["http://c/d"] and res.has_news(results)
-    report = res.diff_report(results, "http://r/new", "http://r/out-")
+    runs, results = read()
+    assert [r.s for r in res.new_results(results, runs).collect()] == ["http://c/d"] and res.has_news(results, runs)
+    report = res.diff_report(results, runs, "http://r/new", "http://r/out-")
     lines = [r.line for r in report.orderBy("section").collect()]
     assert lines == [f"<http://r/new> <{V.PROV_DERIVED}> <http://r/out-1716884614734>",
                      f"<http://c/d> <{V.SKOS_RELATED}> <http://t/1>"]
     single_file.write_single_file(report.orderBy("section").select("line"), str(tmp_path / "report"))
     assert (tmp_path / "report").read_text().splitlines() == lines
     run(1716888767913, ["a"])
-    same = res.diff_report(read(), "http://r/new", "http://r/out-").collect()
-    assert [r.line for r in same] == ["# NO newer results"] and not res.has_news(read())
+    runs, results = read()
+    same = res.diff_report(results, runs, "http://r/new", "http://r/out-").collect()
+    assert [r.line for r in same] == ["# NO newer results"] and not res.has_news(results, runs)
+    assert {r.s for r in res.newest_run(results, runs).collect()} == {"http://c/a"}
+    single_file.write_single_file(report.orderBy("section").select("line"), str(tmp_path / "report"))  # a second time
+    assert (tmp_path / "report").read_text().splitlines() == lines
+    (tmp_path / "out-1716888767914").write_text("# nothing found\n")  # the newest run is empty
+    runs, results = read()
+    assert not res.has_news(results, runs) and res.newest_run(results, runs).isEmpty()
+    run(1716888767915, ["b"])  # the run before was empty
+    runs, results = read()
+    assert [r.s for r in res.new_results(results, runs).collect()] == ["http://c/b"]
+
+
+def test_no_run_and_one_run_without_lines(spark, tmp_path):
+    runs, results = results_src.read_results(spark, str(tmp_path), "out-")
+    assert runs.isEmpty() and not res.has_news(results, runs)
+    (tmp_path / "out-5").write_text("")
+    runs, results = results_src.read_results(spark, str(tmp_path), "out-")
+    assert [r.run_id for r in runs.collect()] == [5] and not res.has_news(results, runs)
 
 
 def test_enhanced_void(spark, tmp_path):
