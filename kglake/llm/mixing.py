@@ -59,7 +59,7 @@ def apportion(votes: DataFrame, group: list[str], key: str, seats: str) -> DataF
     total = W.partitionBy(*group)
     shared_out = votes.withColumn("all_votes", F.sum("votes").over(total)).withColumn(
         "base", F.when(F.col("all_votes") > 0, F.floor(
-            F.col("votes") * F.col(seats) / F.col("all_votes") + F.lit(0.5))).otherwise(0).cast("long")
+            F.try_divide(F.col("votes") * F.col(seats), F.col("all_votes")) + F.lit(0.5))).otherwise(0).cast("long")
     ).withColumn("short", F.col(seats) - F.sum("base").over(total))
     steps = shared_out.where("short <> 0 and votes > 0").select(
         *group, key, "short", "votes", "base", F.explode(F.sequence(F.lit(1), F.abs("short"))).alias("step"))
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
                 F.greatest(F.lit(1), F.ceil(F.col("votes") / block_words)).cast("long")) * block_words).alias("begin"))
     order = W.partitionBy("sid", "shard").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
     at = placed.withColumn("at", F.coalesce(F.sum("size").over(order), F.lit(0))).join(arcs, ["sid", "shard"])
-    passes = F.when(F.col("line") > 0, F.floor(F.col("arc") / F.col("line"))).otherwise(0).cast("long")
+    passes = F.when(F.col("line") > 0, F.floor(F.try_divide("arc", "line"))).otherwise(0).cast("long")
     at = at.withColumn("passes", passes).withColumn("rest", F.col("arc") - F.col("passes") * F.col("line"))
 
     def within(value: Column) -> Column:

@@ -95,17 +95,18 @@ def votes() -> dict[str, Column]:
     """The rules over `MEASURES`: good, bad or no vote.
 
     A rule against one kind of junk says nothing of other documents, for lacking one fault proves nothing; the
-    two rules for prose ask for several signs at once and say nothing where one is missing.
+    two rules for prose ask for several signs at once and say nothing where one is missing. A share of nothing
+    is null, on which rules say nothing.
     """
     words = F.col("n_words").cast("double")
-    length = F.col("word_chars") / words
-    symbols = F.col("n_symbols") / words
+    length = F.try_divide(F.col("word_chars"), words)
+    symbols = F.try_divide(F.col("n_symbols"), words)
     # A text of many words repeats its words: the bar falls with the length.
-    variety = F.col("n_distinct_words") / F.pow(words, 0.85)
-    again = F.col("n_dup_lines") / F.col("n_lines")
-    upper = F.col("n_upper") / F.col("n_letters")
-    letters = F.col("n_letters") / F.col("word_chars")
-    ended = F.col("n_ended") / F.col("n_lines")
+    variety = F.try_divide(F.col("n_distinct_words"), F.pow(words, F.lit(0.85)))
+    again = F.try_divide("n_dup_lines", "n_lines")
+    upper = F.try_divide("n_upper", "n_letters")
+    letters = F.try_divide("n_letters", "word_chars")
+    ended = F.try_divide("n_ended", "n_lines")
 
     def against(fault: Column) -> Column:
         return F.when(fault, BAD).otherwise(NONE)

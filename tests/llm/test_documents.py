@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import Counter
@@ -9,6 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from kglake.llm import mixing, packing, private, quality, separators, setjoin, shared, token_files, tokens
+from tests.llm.conftest import words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -129,9 +131,13 @@ def test_quality_measures_equal_brute_force():
 
 
 def test_quality_verdicts_and_edge_tables(spark, docs, texts, empty_docs, repeated_docs):
-    good = "\n".join(t for _, t, _ in texts[150:160] if t).capitalize() + "."
+    r = random.Random(5)
+
+    def good():
+        return "\n".join(" ".join(words(r, 12)).capitalize() + "." for _ in range(6))
+
     junk = " ".join(f"w{k}###" for k in range(60))
-    rows = [(k, f"{good} {k}.") for k in range(40)] + [(100 + k, f"{junk} {k}") for k in range(8)] + [(200, None), (201, "short one.")]
+    rows = [(k, good()) for k in range(40)] + [(100 + k, f"{junk} {k}") for k in range(8)] + [(200, None), (201, "short one.")]
     judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(judged[k].kept for k in range(40)) and not any(judged[100 + k].kept for k in range(8))
     assert judged[200].base_failed and not judged[200].kept and not judged[201].kept
@@ -292,7 +298,7 @@ def test_scan_reports_an_unfinished_document(spark):
     fs, root = shared.file_system(folder)
     fs.create_dir(f"{root}/flat", recursive=True)
     with fs.open_output_stream(f"{root}/flat/x") as out:
-        out.write(np.array([5, 9, 9, 4, 4, 4], "<u4").tobytes())
+        out.write(np.array([5, 9, 9, 4, 4, 4], separators.ID).tobytes())
     rows = separators.scan(spark, folder, spark.createDataFrame([("x",)], "file string"), end_id=9, block_ids=2).collect()
     assert sorted((r.ordinal, r.start, r.n_tokens, r.complete) for r in rows) == [(0, 0, 2, True), (1, 2, 1, True), (2, 3, 3, False)]
 
