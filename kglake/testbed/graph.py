@@ -41,6 +41,7 @@ def _money(column: str) -> str:
 
 ORDER, CUSTOMER = iri("order", "O", "o_orderkey"), iri("customer", "C", "c_custkey")
 SUPPLIER, PART = iri("supplier", "S", "s_suppkey"), iri("part", "P", "p_partkey")
+SUPPLIES = iri("supplies", "S", "s_suppkey")
 BRAND = iri("brand", "", "replace(p_brand, '#', '')")
 KIND = iri("kind", "", "p_type")
 CONCEPT = iri("concept", "", "replace(p_name, ' ', '-')")
@@ -57,6 +58,7 @@ RULES: dict[str, list[Rule]] = {
         Rule(WITHIN, iri("nation", "N", "n_nationkey"), iri("region", "R", "n_regionkey")),
         Rule(PARTNER, iri("nation", "N", "n_nationkey"), iri("nation", "N", "(n_nationkey * 7 + 3) % 25")),
         Rule(V.RDFS_LABEL, iri("nation", "N", "n_nationkey"), "n_name", V.XSD_STRING),
+        Rule(V.RDFS_SUBPROPERTY, iri("supplies", "N", "n_nationkey"), iri("supplies", "R", "n_regionkey")),
     ],
     "customer": [
         Rule(V.RDF_TYPE, CUSTOMER, _class("Customer")),
@@ -71,6 +73,12 @@ RULES: dict[str, list[Rule]] = {
         Rule(WITHIN, SUPPLIER, iri("nation", "N", "s_nationkey")),
         Rule(V.RDFS_LABEL, SUPPLIER, "s_name", V.XSD_STRING),
         Rule(BALANCE, SUPPLIER, _money("s_acctbal"), V.XSD + "double"),
+        # A property per supplier, below one per nation and region: schema rows that grow with the tables.
+        Rule(V.RDF_TYPE, SUPPLIES, f"'{V.RDF_PROPERTY}'"),
+        Rule(V.RDFS_SUBPROPERTY, SUPPLIES, iri("supplies", "N", "s_nationkey")),
+        Rule(V.RDFS_DOMAIN, SUPPLIES, _class("Supplier")),
+        Rule(V.RDFS_RANGE, SUPPLIES, f"case when s_acctbal < 0 then {_class('Order')} else {_class('Part')} end"),
+        Rule(V.OWL_EQUIVALENT_PROPERTY, SUPPLIES, iri("delivers", "S", "s_suppkey")),
     ],
     "part": [
         Rule(V.RDF_TYPE, PART, _class("Part")),
@@ -80,6 +88,7 @@ RULES: dict[str, list[Rule]] = {
         Rule(PRICE, PART, _money("p_retailprice"), V.XSD + "double"),
         Rule(PICK, BRAND, iri("size", "Z", "p_size")),
         Rule(V.RDFS_SUBCLASS, BRAND, KIND),
+        Rule(V.RDF_TYPE, BRAND, f"'{V.RDFS_CLASS}'"),
         Rule(V.RDFS_SUBCLASS, KIND, _class("Product")),
         Rule(V.RDF_TYPE, CONCEPT, _class("Concept")),
         Rule(V.RDFS_LABEL, CONCEPT, "p_name", V.XSD_STRING),
