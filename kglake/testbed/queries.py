@@ -1021,6 +1021,34 @@ def _(spark, d):
     return triples_src.read_triples_parquet(spark, path)
 
 
+# One line per document: a literal with valid escapes, an escape that does not exist, a short numeric one, a space in
+# an IRI, an escaped character in an IRI, half a surrogate pair, a slash escape.
+_LINE_ENDS = [r'"say \"\u00e9\U0001F600\""', r'"C:\qdir"', r'"bad \u12G4"', "<http://ex.org/not an iri>",
+              r"<http://ex.org/c\u003Ed>", r'"\uD800"', r'"a\/b"']
+
+
+@query(
+    "ntriples_strictness",
+    "select doc_id % 7 as kind, doc_id % 7 in (0, 4) as is_statement, count(*) as n, case doc_id % 7"
+    " when 0 then 'say \"é😀\"' when 4 then 'http://ex.org/c>d' end as o from documents group by all",
+)
+def _(spark, d):
+    path = storage.shared_folder(spark) + "-strict"
+    docs = g.read_table(spark, d, "documents").select("doc_id")
+    ends = F.element_at(F.array(*[F.lit(end) for end in _LINE_ENDS]), (F.col("doc_id") % 7 + 1).cast("int"))
+    line = F.concat(F.lit("<http://ex.org/document/D"), "doc_id", F.lit("> <http://ex.org/p> "), ends, F.lit(" ."))
+    docs.select(line.alias("value")).write.text(path)
+    number = r"document/D(\d+)"
+    read = triples_src.read_ntriples(spark, path)
+    again = path + "-again"
+    triples_sink.write_ntriples(read, again)  # what was read is written and read again
+    good = triples_src.read_ntriples(spark, again).select("s", "o", F.lit(True).alias("is_statement"))
+    bad = triples_src.ntriples_rejects(spark, path).select(
+        F.col("value").alias("s"), F.lit(None).cast("string").alias("o"), F.lit(False).alias("is_statement"))
+    rows = good.unionByName(bad).withColumn("kind", F.regexp_extract("s", number, 1).cast("bigint") % 7)
+    return rows.groupBy("kind", "is_statement", "o").agg(F.count("*").alias("n"))
+
+
 @query("ntriples_rejects", "select concat('page ', url) as value from pages")
 def _(spark, d):
     path = storage.shared_folder(spark)

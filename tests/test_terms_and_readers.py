@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from kglake.functions import terms as t
 from kglake.functions import vocab as V
+from kglake.operators import stats
 from kglake.sinks import triples as sink
 from kglake.sources import triples as src
 from tests.graphs import write
@@ -83,3 +85,39 @@ def test_result_line(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     parsed = [r[0] for r in df.select(t.parse_result_line(F.col("line"))).collect()]
     assert parsed[0] == parsed[1] == ("a", "b", "c") and parsed[2] is None and parsed[3] is None
+
+
+def test_statements_and_rejects_share_the_lines(spark, tmp_path):
+    good = [r'<http://e/a> <http://e/p> "C:\\dir \u00e9 \U0001F600 \t\"q\"" .', r"<http://e/c\u003Ed> <http://e/p> <http://e/o> . # \q",
+            '_:b <http://e/p> "x"@en-GB .', '<http://e/a> <http://e/p> "1"^^<http://e/t\\u0020y> .']
+    bad = [r'<http://e/a> <http://e/p> "C:\qdir" .', r'<http://e/a> <http://e/p> "bad \u12G4" .', r'<http://e/a> <http://e/p> "a\/b" .',
+           r'<http://e/a> <http://e/p> "\uD800" .', "<http://e/a b> <http://e/p> <http://e/o> .", r'<http://e/a> <http://e/p> "\U00110000" .',
+           "<http://e/a> <http://e/p> <http://e/{o}> .", '<http://e/a> <http://e/p> "x"@9 .']
+    path = tmp_path / "g.nt"
+    path.write_text("\n".join([*good, "", "# comment", *bad]) + "\n")
+    read = src.read_ntriples(spark, str(path))
+    assert read.count() == len(good) and read.where("o is null or s is null").isEmpty()
+    assert sorted(r.value for r in src.ntriples_rejects(spark, str(path)).collect()) == sorted(bad)
+    sink.write_ntriples(read, str(tmp_path / "out"))
+    again = src.read_ntriples(spark, str(tmp_path / "out"), "shared")
+    assert again.exceptAll(read).isEmpty() and again.count() == len(good)
+    with pytest.raises(Exception, match="without subject"):
+        sink.write_ntriples(read.withColumn("o", F.lit(None).cast("string")), str(tmp_path / "broken"))
+
+
+def test_greatest_value_is_exact(spark):
+    big = ["9999999999999999999", "10000000000000000001", "-3", "10000000000000000000.5", "010000000000000000000"]
+    rows = [("http://e/s", t.IRI, "http://e/p", o, t.LITERAL, V.XSD + "decimal", None) for o in big]
+    rows += [("http://e/s", t.IRI, "http://e/n", o, t.LITERAL, V.XSD + "decimal", None) for o in ("-1.51", "-1.5", "-10000000000000000001")]
+    found = stats.max_per_property(spark.createDataFrame(rows, t.TRIPLE_SCHEMA)).collect()
+    assert {r.property: r.o for r in found} == {"http://e/p": "10000000000000000001", "http://e/n": "-1.5"}
+
+
+def test_one_latest_version_of_each_graph(spark):
+    from kglake.operators import catalog as cat
+    from kglake.testbed import graph as g
+
+    catalog = cat.all_graphs(g.catalog(spark, "/root/testdata/sf0.001")).limit(1)
+    added = catalog.withColumn("version", F.explode(F.array(F.lit("2099-01"), F.lit("2099-02"))))
+    registered = cat.register_version(catalog, added, "2099-03-01 00:00:00")
+    assert [r.version for r in cat.latest_graphs(registered).collect()] == ["2099-02"]
