@@ -79,15 +79,27 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01).orc(path))
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """`doc_id, start, n_tokens, ids`: `start` counts the ids of all documents before."""
-    rows = spark.read.schema(SCHEMA).orc(path).withColumn("file", F.input_file_name())
-    # One row per file: the prefix sum runs over as many rows as there are files.
-    files = rows.groupBy("file").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("n"))
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The files' rows with the file of each."""
+    return spark.read.schema(SCHEMA).orc(path).withColumn("file", F.input_file_name())
+
+
+def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Replace `file, part_start` of `rows` by `start`, the ids of all documents before; `files` are all rows written.
+
+    The prefix sum runs over one row per file.
+    """
+    sizes = files.groupBy("file").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("n"))
     before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
-    base = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return rows.join(base, "file").select(
-        "doc_id", (F.col("base") + F.col("part_start")).alias("start"), "n_tokens", "ids")
+    base = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    others = [c for c in rows.columns if c not in ("doc_id", "file", "part_start")]
+    return rows.join(base, "file").select("doc_id", (F.col("base") + F.col("part_start")).alias("start"), *others)
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """`doc_id, start, n_tokens, ids` of every document written."""
+    rows = read_rows(spark, path)
+    return with_starts(rows, rows)
 
 
 def lookup_tokens(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
@@ -95,17 +107,19 @@ def lookup_tokens(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFra
     return spark.read.schema(SCHEMA).orc(path).where(F.col("doc_id").isin(doc_ids)).select("doc_id", "n_tokens", "ids")
 
 
-def with_checksums(rows: DataFrame) -> DataFrame:
-    """`doc_id, start, n_tokens, ids_crc32` of rows that `read_tokens` returns."""
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """`doc_id, start, n_tokens, ids_crc32` of every document written; the ids stay in the task that reads them."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(3)
-            flat = np.asarray(ids.flatten(), np.uint32)
-            ends = np.asarray(ids.offsets, np.int64) - ids.offsets[0].as_py()
-            crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return rows.select("doc_id", "start", "n_tokens", "ids").mapInArrow(
-        check, "doc_id long, start long, n_tokens long, ids_crc32 long")
+            ids = batch.column(4)
+            flat = np.asarray(ids.flatten()).view(np.uint32)
+            ends = np.asarray(ids.offsets, np.int64)
+            ends = ends - ends[0]
+            crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())],
+                                             names=["doc_id", "file", "part_start", "n_tokens", "ids_crc32"])
+
+    rows = read_rows(spark, path)
+    checked = rows.select("doc_id", "file", "part_start", "n_tokens", "ids").mapInArrow(
+        check, "doc_id long, file string, part_start long, n_tokens long, ids_crc32 long")
+    return with_starts(checked, rows)
