@@ -34,7 +34,7 @@ def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written as ORC and read back."""
     path = shared.new_folder(spark, "op9") + "/tokens"
     token_files.write_tokens(shared.table(spark, sf_dir, "documents"), path)
-    return token_files.with_checksums(token_files.read_tokens(spark, path))
+    return token_files.checksums(spark, path)
 
 
 @query("op8_nnls_packing")
