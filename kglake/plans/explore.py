@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,23 @@ def compounds(articles: DataFrame, taxon: str) -> DataFrame:
     return t.resource_triples(found, "compound", F.lit(V.SKOS_RELATED), F.lit(taxon))
 
 
+def explore_run(catalog: DataFrame, taxonomy: str, others: list[str], super_taxon: str, taxon: str, directory: str,
+                basis: str, minimum: int = 0, run_id: int | None = None) -> str:
+    """Explore the latest graphs of a catalog and write the compounds as a run that `read_results` reads.
+
+    The run is the file `basis` and its number, the time in milliseconds unless given. A run that finds nothing is an empty file,
+    so that the next comparison knows of it. Returns the path.
+    """
+    from kglake.sinks.single_file import write_single_file
+    from kglake.sources.triples import read_graph, read_graphs
+
+    articles = explore(read_graph(catalog, taxonomy), read_graphs(catalog, [(name, "") for name in others]), super_taxon, minimum)
+    number = run_id if run_id is not None else time.time_ns() // 1_000_000
+    path = f"{directory.rstrip('/')}/{basis}{number}"
+    write_single_file(compounds(articles, taxon).select(t.format_line().alias("value")), path)
+    return path
+
+
 def article_listing(articles: DataFrame) -> DataFrame:
     """The detailed rows, sorted by compound."""
     return articles.orderBy("compound", "pmid", "cousinId")

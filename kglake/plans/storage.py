@@ -8,19 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_base: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the session's checkpoint directory.
+    """A new folder under `spark.checkpoint.dir`, or the context's own checkpoint directory.
 
-    A local session without one gets a temporary directory; on a cluster the
-    setting is required, because a machine-local folder would be lost with its machine.
+    A local session without either gets one temporary directory of this process; on a cluster the
+    setting is required, because a machine-local folder would be lost with its machine. The session's own settings
+    stay as they are.
     """
     sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or "cluster" in sc.master:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="kglake-"))
-        base = sc.getCheckpointDir()
+        if not _local_base:
+            _local_base.append(tempfile.mkdtemp(prefix="kglake-"))
+        base = _local_base[0]
     return f"{base.rstrip('/')}/kglake-{uuid.uuid4().hex}"
 
 

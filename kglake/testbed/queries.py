@@ -982,6 +982,26 @@ def _articles(spark, d):
     return explore.explore(parts["taxonomy"], others, _TOP, minimum=5)
 
 
+@query(
+    "explore_run",
+    _ARTICLES_SQL + f" select distinct 7 as run_id, compound as s, '{V.SKOS_RELATED}' as p, '{_TOP}' as o from articles",
+)
+def _(spark, d):
+    """The graphs stored in a lake, explored from the catalog's names, and the run read back."""
+    lake = storage.shared_folder(spark)
+    rows = []
+    for name, (source, rules) in LITERATURE.items():
+        triples_sink.write_triples_parquet(
+            tables_src.tables_to_triples(g.read_table(spark, d, source), rules), f"{lake}/{name}_v1.parquet/run-1")
+        rows.append((name, "1", "NT", f"{lake}/{name}_v1"))
+    given = spark.createDataFrame(rows, "dir_name string, version string, format string, graph_dir string").selectExpr(
+        "dir_name", "version", "format", "graph_dir", "array('none.nt') as actual_file_list", "'' as ontology_namespace",
+        "timestamp '2024-01-01' as date_importation", "true as is_latest")
+    explore.explore_run(given, "taxonomy", ["headings", "references", "substances"], _TOP, _TOP, lake, "found-", 5, 7)
+    runs, results = results_src.read_results(spark, lake, "found-")
+    return results.join(runs, "run_id")
+
+
 @query("explore_articles", _ARTICLES_SQL + ' select pmid, "pmidTitle", compound, "cousinId" from articles')
 def _(spark, d):
     return explore.article_listing(_articles(spark, d))
