@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,3 +101,57 @@ def enhanced_as_triples(enhanced: DataFrame) -> DataFrame:
     )
     rows = enhanced.select(node.alias("s"), F.explode(values).alias("v"))
     return rows.select("s", F.lit(t.BNODE).alias("s_kind"), "v.*").select(*t.TRIPLE_COLUMNS)
+
+
+def summary_as_triples(dataset: DataFrame, source) -> DataFrame:
+    """The counters and vocabularies of summaries as triples about `source`, the IRI column of each."""
+    from kglake.functions import terms as t
+
+    null = F.lit(None).cast("string")
+    counters = {"classes": "classes", "entities": "entities", "distinctSubjects": "distinct_subjects",
+                "distinctObjects": "distinct_objects", "properties": "properties", "triples": "triples"}
+
+    def value(p, o, literal):
+        return F.struct(
+            F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(t.LITERAL if literal else t.IRI).alias("o_kind"),
+            (F.lit(V.XSD + "integer") if literal else null).alias("o_datatype"), null.alias("o_lang"))
+
+    values = F.concat(
+        F.array(value(V.RDF_TYPE, F.lit(V.VOID + "Dataset"), False),
+                *[value(V.VOID + name, F.coalesce(F.col(column), F.lit(0)), True) for name, column in counters.items()]),
+        F.transform(F.coalesce("vocabularies", F.array().cast("array<string>")),
+                    lambda v: value(V.VOID + "vocabulary", v, False)))
+    rows = dataset.select(source.alias("s"), F.explode(values).alias("v"))
+    return rows.select("s", F.lit(t.IRI).alias("s_kind"), "v.*").select(*t.TRIPLE_COLUMNS)
+
+
+def write_enhanced_void(catalog: DataFrame, name: str, version: str = "", void_dataset: DataFrame | None = None,
+                        max_size: int | None = None, horst: bool = False, output_dir: str = "") -> str:
+    """Summarise a graph, add the ranges and domains that the lake's ontologies give its properties, and write all of it as N-Triples.
+
+    The ontologies are the latest ones, or those of at most `max_size` triples by `void_dataset`. May be run again:
+    the new text is read back, then takes the old one's place. Returns the path.
+    """
+    from kglake.operators.catalog import find_graph
+    from kglake.plans import storage
+    from kglake.plans.void_job import void_stats
+    from kglake.sinks.triples import write_ntriples
+    from kglake.sources.triples import ntriples_rejects, read_graph, read_graphs
+
+    spark = catalog.sparkSession
+    row = find_graph(catalog, name, version)
+    graph = read_graph(catalog, name, version)
+    if void_dataset is None:
+        void_dataset = spark.createDataFrame([], "graph string, version string, triples bigint, is_valid boolean")
+    chosen = select_ontologies(catalog, void_dataset, max_size).select(*cat.KEY).collect()  # rows of the catalog
+    ontologies = read_graphs(catalog, [(r["dir_name"], r["version"]) for r in chosen])
+    summary = void_stats(graph, row["dir_name"], row["version"])
+    enhanced = enhance_void(summary.partition, graph.unionByName(ontologies), horst)
+    source = F.lit(V.VOID_SOURCE + row["graph_dir"])
+    path = output_dir or f"{row['graph_dir']}_analysis/enhanced_void"
+    temporary = f"{path}.{uuid.uuid4().hex}.temp"
+    write_ntriples(enhanced_as_triples(enhanced).unionByName(summary_as_triples(summary.dataset, source)), temporary)
+    if not ntriples_rejects(spark, temporary).isEmpty():
+        raise ValueError(f"the summary in {temporary} has lines that are no statements")
+    storage.replace_path(spark, temporary, path)
+    return path

@@ -218,3 +218,22 @@ def test_nested_json_table(spark, tmp_path):
     columns = ["id", "cas_id", "name", "formula", "mass", "taxon"]
     rows = tables.read_json_rows(spark, str(path), columns, "http://base/", multiline=True).collect()
     assert [tuple(r) for r in rows] == [("http://base/i?w=C1", "C1", "50-00-0", "Name", "", "", "")]
+
+
+def test_enhancement_and_summary_jobs_may_run_again(spark, tmp_path):
+    lake(tmp_path)
+    lake(tmp_path, onto="http://e.org/", name="o", versions=("1",))
+    (tmp_path / "o_v1" / "a.nt").write_text(
+        f"<http://e.org/predicate> <{V.RDFS_RANGE}> <http://e.org/Thing> .\n<http://e.org/predicate> <{V.RDFS_DOMAIN}> <http://e.org/S> .\n")
+    catalog = cat.all_graphs(catalog_src.read_catalog(spark, str(tmp_path)))
+    for _ in range(2):
+        path = enhance.write_enhanced_void(catalog, "g")
+        triples = src.read_ntriples(spark, path, "shared")
+        back = void_src.enhanced_void_partition(triples)
+        assert [(r["item"], r.ranges, r.domains) for r in back.collect()] == [
+            ("http://e.org/predicate", ["http://e.org/Thing"], ["http://e.org/S"])]
+        counters = {r.p.removeprefix(V.VOID): r.o for r in triples.where(F.col("s").startswith(V.VOID_SOURCE)).collect()}
+        assert (counters["triples"], counters["distinctSubjects"], counters["properties"]) == ("3", "3", "1")
+        assert "http://e.org/" in [r.o for r in triples.where(F.col("p") == V.VOID + "vocabulary").collect()]
+        assert void_job.write_graph_void(catalog, "g") == f"{tmp_path}/g_v2_analysis/void"
+    assert not [p.name for p in (tmp_path / "g_v2_analysis").iterdir() if p.name.endswith((".temp", ".old"))]
