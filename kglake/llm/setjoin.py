@@ -10,7 +10,9 @@ counts two. Whatever differs, some unit must agree (pigeonhole), so no link is l
 by cost, an estimate of how many sets share the subset, which steers around passages that many documents share.
 Sets of one size class so small that units might not suffice take every n-gram as a segment.
 
-Equal sets are one class throughout. Candidate pairs are verified on the whole sets.
+Equal sets are one class throughout. Of sets that share a signature each is first verified with one other, so near
+copies join; only sets that share a signature and are not joined are compared further, by sketches that never
+overstate a difference, and those that may link are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,12 @@ BAND_RATIO = Fraction(4, 3)
 SINGLE_SIZE = 64
 DELETION_SIZE = 256
 # n-grams per segment at the lower end of a band.
-SEGMENT_LOAD = 1.5
-CHUNK_ENTRIES = 2_000_000
-BUCKET_ENTRIES = 3_000_000
+SEGMENT_LOAD = 1.75
+CHUNK_ENTRIES = 700_000
+BUCKET_ENTRIES = 2_000_000
+LEADER_ROWS = 500_000
+# Rounds in which each set is verified with its likeliest partner only, before all that may link are.
+PARTNER_ROUNDS = 2
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -215,11 +220,11 @@ def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
 
 
 def indexed(docs: DataFrame, n: int, bands: Bands, cost, buckets: int) -> DataFrame:
-    """Signatures of all sets as rows `bucket, signatures, sets, sizes, counts, roles` of packed numbers.
+    """Signatures of all sets as rows `bucket, signatures, sets, sizes, counts` of packed numbers.
 
     A task emits each set once, however many of its rows hold it.
     """
-    schema = "bucket int, signatures binary, roles binary, sets binary, sizes binary, counts binary"
+    schema = "bucket int, signatures binary, sets binary, sizes binary, counts binary"
     names = [field.split()[0] for field in schema.split(", ")]
 
     def packed(entries: list) -> pa.RecordBatch:
@@ -235,12 +240,12 @@ def indexed(docs: DataFrame, n: int, bands: Bands, cost, buckets: int) -> DataFr
         edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             members, counts = np.unique(who[a:b], return_counts=True)
-            # 48 bits tell signatures of a bucket apart well enough: equal ones are verified.
-            short = (signature[a:b] // U(buckets)).view(np.uint8).reshape(-1, 8)[:, :6]
-            rows.append((int(bucket[a]), short.tobytes(), role[a:b].tobytes(), ids[members].tobytes(),
-                         sizes[members].tobytes(), counts.astype(np.int32).tobytes()))
+            # Two bits of role and 38 of signature: enough to tell those of a bucket apart, as equal ones are verified.
+            short = ((signature[a:b] // U(buckets)) << U(2) | role[a:b].astype(U)).view(np.uint8).reshape(-1, 8)[:, :5]
+            rows.append((int(bucket[a]), short.tobytes(), ids[members].tobytes(), sizes[members].tobytes(),
+                         counts.astype(np.int32).tobytes()))
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), kind) for c, kind in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 5))], names=names)
+            [pa.array(list(c), kind) for c, kind in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         price, seen, entries, total = cost.value, set(), [], 0
@@ -265,19 +270,17 @@ def indexed(docs: DataFrame, n: int, bands: Bands, cost, buckets: int) -> DataFr
     return docs.select("text").mapInArrow(run, schema)
 
 
-def bucket_candidates(table: pa.Table, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs `(a, b)` of a bucket to verify first, and its groups `(group, set, size, role)` for later.
+def bucket_candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs `(a, b)` of a bucket to verify first, and its groups `(leader, group, set, size, role)` for later.
 
-    Groups of up to eight sets yield their pairs of fitting sizes; of a larger group each set is paired with the
-    smallest name and the group itself is returned.
+    A set is first tried with the smallest name, the leader, of the largest group it is in.
     """
-    parts = {name: b"".join(table.column(name).to_pylist())
-             for name in ("signatures", "roles", "sets", "sizes", "counts")}
-    raw = np.frombuffer(parts["signatures"], np.uint8).reshape(-1, 6)
+    parts = {name: b"".join(table.column(name).to_pylist()) for name in ("signatures", "sets", "sizes", "counts")}
+    raw = np.frombuffer(parts["signatures"], np.uint8).reshape(-1, 5)
     wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :6] = raw
+    wide[:, :5] = raw
     signature = wide.view(U).reshape(-1)
-    role = np.frombuffer(parts["roles"], np.int8)
+    role, signature = (signature & U(3)).astype(np.int8), signature >> U(2)
     counts = np.frombuffer(parts["counts"], np.int32)
     ids = np.repeat(np.frombuffer(parts["sets"], np.int64), counts)
     sizes = np.repeat(np.frombuffer(parts["sizes"], np.int32), counts).astype(np.int64)
@@ -289,53 +292,111 @@ def bucket_candidates(table: pa.Table, t: Fraction) -> tuple[np.ndarray, np.ndar
     role = np.bitwise_or.reduceat(role, starts)
     signature, ids, sizes = signature[starts], ids[starts], sizes[starts]
     edges = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1], [True]]))
-    length = np.diff(edges)
-    looked = np.bitwise_or.reduceat(role, edges[:-1]) & 2
-    pairs, groups = [], []
-    for g in range(2, 9):  # small groups: every pair, by position in the group
-        at = edges[:-1][(length == g) & (looked > 0)]
-        for i in range(g):
-            for j in range(i + 1, g):
-                a, b = at + i, at + j
-                fits = _fits(sizes[a], sizes[b], role[a], role[b], t)
-                pairs.append(np.stack([ids[a][fits], ids[b][fits]], 1))
-    for k in np.flatnonzero((length > 8) & (looked > 0)).tolist():
-        a, b = edges[k], edges[k + 1]
-        pairs.append(np.stack([np.full(b - a - 1, ids[a]), ids[a + 1:b]], 1))
-        groups.append(np.stack([np.full(b - a, signature[a].view(np.int64)), ids[a:b], sizes[a:b],
-                                role[a:b].astype(np.int64)], 1))
-    found = np.unique(np.concatenate([np.empty((0, 2), np.int64), *pairs]), axis=0)
-    # Equal groups, as near copies make by the hundred, are one.
-    kept: dict[bytes, np.ndarray] = {}
-    for group in groups:
-        kept.setdefault(group[:, 1:].tobytes(), group)
-    return found, np.concatenate([np.empty((0, 4), np.int64), *kept.values()])
-
-
-def _fits(size_a, size_b, role_a, role_b, t: Fraction):
-    small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    one_looks = ((role_a & 2 > 0) & (role_b & 1 > 0) & (size_a >= size_b)) | (
-        (role_b & 2 > 0) & (role_a & 1 > 0) & (size_b >= size_a))
-    return one_looks & (small * t.denominator >= large * t.numerator)
-
-
-def candidates(index: DataFrame, t: Fraction) -> DataFrame:
-    """`a, b` pairs, and `grp, a, size, role` rows of larger groups, distinct within each bucket."""
-    schema = "a long, b long, grp long, size long, role long"
+    first, length = edges[:-1], np.diff(edges)
+    looked = np.bitwise_or.reduceat(role, first) & 2
+    # Groups of the same sets in the same roles, as near copies make by the hundred, are one.
+    names = np.add.reduceat(mixed(ids.view(U) ^ mixed(role.astype(U) + U(1))), first)
+    large = np.flatnonzero((length > 1) & (looked > 0))
+    large = large[np.unique(names[large], return_index=True)[1]]
+    span = length[large]
+    at = np.repeat(first[large] - np.concatenate([[0], np.cumsum(span)[:-1]]).astype(np.int64), span) + np.arange(span.sum())
+    leader = np.repeat(ids[first[large]], span)
+    groups = np.stack([leader, np.repeat(names[large].view(np.int64), span), ids[at], sizes[at], role[at].astype(np.int64)], 1)
+    best = np.lexsort((leader, -np.repeat(span, span), ids[at]))
+    best = best[np.unique(ids[at][best], return_index=True)[1]]
+    stars = np.stack([leader[best], ids[at][best]], 1)
+    return np.unique(stars[stars[:, 0] != stars[:, 1]], axis=0), groups
+
+
+def candidates(index: DataFrame) -> DataFrame:
+    """`a, b` pairs, and `leader, grp, a, size, role` rows of groups, distinct within each bucket."""
+    schema = "a long, b long, leader long, grp long, size long, role long"
     names = [field.split()[0] for field in schema.split(", ")]
 
     def whole(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        pairs, groups = bucket_candidates(table, t)
-        name = mixed(np.ascontiguousarray(groups[:, 0]).view(U) ^ U(key[0].as_py()))
-        pair_nulls, group_nulls = (pa.nulls(len(x)).cast(pa.int64()) for x in (pairs, groups))
-        parts = [[pairs[:, 0], pairs[:, 1], pair_nulls, pair_nulls, pair_nulls],
-                 [groups[:, 1], group_nulls, name.view(np.int64), groups[:, 2], groups[:, 3]]]
+        pairs, groups = bucket_candidates(table)
+        no_pair, no_group = (pa.nulls(len(x)).cast(pa.int64()) for x in (pairs, groups))
+        parts = [[pairs[:, 0], pairs[:, 1], *[no_pair] * 4],
+                 [groups[:, 2], no_group, groups[:, 0], groups[:, 1], groups[:, 3], groups[:, 4]]]
         return pa.concat_tables([pa.table(
             [c if isinstance(c, pa.Array) else pa.array(np.ascontiguousarray(c)) for c in part], names=names) for part in parts])
 
     return index.groupBy("bucket").applyInArrow(whole, schema)
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Parities of the n-grams in as many bits as at least twice their number: two sketches, the longer one
+    folded, differ in at most as many bits as their sets in n-grams."""
+    bits = 1 << max(8, (2 * len(hashes) - 1).bit_length())
+    at = np.bincount((mixed(hashes) & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(at.astype(np.uint8), bitorder="little").tobytes()
+
+
+def within(pairs: np.ndarray, sketches: dict[int, bytes], sizes: dict[int, int],
+           t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Those of `pairs` whose sketches allow the threshold, and the share of their sizes in which they differ."""
+    shorter = np.array([min(len(sketches[a]), len(sketches[b])) for a, b in pairs.tolist()], np.int64)
+    keep, share = np.zeros(len(pairs), bool), np.zeros(len(pairs))
+    for length in np.unique(shorter).tolist():
+        some = np.flatnonzero(shorter == length)
+        folded: dict[int, np.ndarray] = {}
+        for name in np.unique(pairs[some]).tolist():
+            bits = np.frombuffer(sketches[name], U)
+            folded[name] = np.bitwise_xor.reduce(bits.reshape(-1, length // 8), 0)
+        for chunk in np.array_split(some, max(1, len(some) * length // (32 << 20))):
+            a = np.stack([folded[x] for x in pairs[chunk, 0].tolist()])
+            b = np.stack([folded[x] for x in pairs[chunk, 1].tolist()])
+            differ = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+            both = np.array([sizes[x] + sizes[y] for x, y in pairs[chunk].tolist()])
+            share[chunk] = differ / np.maximum(1, both)
+            keep[chunk] = differ * (t.denominator + t.numerator) <= both * (t.denominator - t.numerator)
+    return pairs[keep], share[keep]
+
+
+def across(groups: DataFrame, sketches: DataFrame, t: Fraction, likeliest: bool = False) -> DataFrame:
+    """Pairs `a, b` of sets that share one of `groups`, are not joined and may reach the threshold.
+
+    With `likeliest` only the pair of smallest difference of each set of a leader.
+
+    Groups of one leader meet in a task, where a pair that shares many of them is compared once; leaders with
+    very many rows are spread by group. Sketches travel once for each set of a leader.
+    """
+    shares = groups.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / LEADER_ROWS).alias("spread"))
+    spread = groups.join(shares, "leader").withColumn("part", F.pmod(F.xxhash64("grp"), "spread")).drop("spread")
+    sided = spread.select("leader", "part", "set_id").distinct().join(sketches, "set_id").select(
+        F.col("leader").alias("of"), F.col("part").alias("of_part"), F.col("set_id").alias("name"), "sketch")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = dict(zip(right.column("name").to_pylist(), right.column("sketch").to_pylist()))
+        grp, ids, size, role, root = (np.asarray(left.column(c)) for c in ("grp", "set_id", "size", "role", "root"))
+        order = np.lexsort((ids, grp))
+        grp, ids, size, role, root = grp[order], ids[order], size[order], role[order], root[order]
+        edges = np.flatnonzero(np.concatenate([[True], grp[1:] != grp[:-1], [True]]))
+        found, waiting, rows = np.empty((0, 2), np.int64), [], 0
+        for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            for i in range(x, y):
+                if not role[i] & 2:
+                    continue
+                other = x + np.flatnonzero(
+                    (root[x:y] != root[i]) & (role[x:y] & 1 > 0) & (size[x:y] <= size[i])
+                    & (size[x:y] * t.denominator >= size[i] * t.numerator))
+                waiting.append(np.stack([np.minimum(ids[other], ids[i]), np.maximum(ids[other], ids[i])], 1))
+                rows += len(other)
+            if rows > 1_000_000:
+                found, waiting, rows = np.unique(np.concatenate([found, *waiting]), axis=0), [], 0
+        found = np.unique(np.concatenate([found, *waiting]), axis=0)
+        sizes = dict(zip(ids.tolist(), size.tolist()))
+        found, share = within(found, known, sizes, t)
+        if likeliest:
+            best = [np.lexsort((share, found[:, side])) for side in (0, 1)]
+            best = [o[np.unique(found[o, side], return_index=True)[1]] for side, o in enumerate(best)]
+            found = found[np.unique(np.concatenate(best))]
+        return pa.table([np.ascontiguousarray(found[:, 0]), np.ascontiguousarray(found[:, 1])], names=["a", "b"])
+
+    return spread.groupBy("leader", "part").cogroup(sided.groupBy("of", "of_part")).applyInArrow(
+        compare, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, n: int, t: Fraction) -> DataFrame:
     """Those of `pairs` (`a, b`, set ids) whose whole sets reach the threshold; `texts` has `set_id, text`."""
     up, down = t.numerator, t.denominator
@@ -382,30 +443,42 @@ def similar_sets(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3,
     total = float(cost.sum())
     index = indexed(docs, n, bands, spark.sparkContext.broadcast(cost.astype(np.float32)),
                     max(1, math.ceil(total / BUCKET_ENTRIES)))
-    found = shared.stored(candidates(index, threshold), "candidates")
+    found = shared.stored(candidates(index), "candidates")
     pairs = shared.stored(found.where("b is not null").select("a", "b").distinct(), "pairs")
-    groups = found.where("grp is not null").select("grp", F.col("a").alias("set_id"), "size", "role")
-    # One row of each class stands for it: only those that some pair names are needed, with their texts.
-    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+    groups = found.where("grp is not null").select("leader", "grp", F.col("a").alias("set_id"), "size", "role")
+    # One row of each class stands for it: only those that some pair or group names are needed, with their texts.
+    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min_by(F.struct("doc_id"), F.struct("doc_id")).alias("row"))
     named = pairs.select("a").union(pairs.select("b")).union(groups.select("set_id")).distinct().withColumnRenamed("a", "set_id")
-    wanted = classes.join(named, "set_id")
-    texts = shared.stored(docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["set_id"]).select(
-        "set_id", "text"), "texts")
+    wanted = classes.join(named, "set_id").select("set_id", F.col("row.doc_id").alias("first"))
+    texts = shared.stored(docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select(
+        "set_id", "text").dropDuplicates(["set_id"]), "texts")
     links = shared.stored(verified(pairs, texts, n, threshold), "verified")
-    # Larger groups that are not joined yet: pairs across what is joined, of fitting sizes, that were not tried.
-    joined = cc.components(links)
-    placed = groups.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "grp", "set_id", "size", "role", F.coalesce("root", "set_id").alias("root"))
-    split = placed.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("grp")
-    open_rows = placed.join(split, "grp")
-    left, right = open_rows.where("role >= 2").alias("l"), open_rows.where("role % 2 = 1").alias("r")
-    across = left.join(right, F.expr(
-        "l.grp = r.grp and l.root <> r.root and l.size >= r.size and r.size * {} >= l.size * {}".format(
-            threshold.denominator, threshold.numerator))).select(
-        F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b")).distinct()
-    later = across.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = shared.stored(verified(later, texts, n, threshold), "verified-later")
-    return sets, links.union(more)
+    open_rows, found_links = groups, [links]
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+                [sketch(shingles(text, n)) for text in batch.column(1).to_pylist()], pa.binary())], names=["set_id", "sketch"])
+
+    # Groups that are not one component yet: pairs across components that were not tried, the likeliest first.
+    for turn in range(PARTNER_ROUNDS + 1):
+        joined = cc.components(reduce(DataFrame.union, found_links))
+        placed = open_rows.select("leader", "grp", "set_id", "size", "role").join(
+            joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+            "leader", "grp", "set_id", "size", "role", F.coalesce("root", "set_id").alias("root"))
+        split = placed.groupBy("leader", "grp").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
+            "x <> y").select("leader", "grp")
+        open_rows = shared.stored(placed.join(split, ["leader", "grp"]), "open-groups")
+        if turn == 0:
+            open_texts = texts.join(open_rows.select("set_id").distinct(), "set_id", "left_semi")
+            sketches = shared.stored(open_texts.select("set_id", "text").mapInArrow(
+                sketched, "set_id long, sketch binary"), "sketches")
+        later = across(open_rows, sketches, threshold, turn < PARTNER_ROUNDS).join(
+            pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        later = shared.stored(later, "later-pairs")
+        found_links.append(shared.stored(verified(later, texts, n, threshold), "verified-later"))
+        pairs = pairs.union(later)
+    return sets, reduce(DataFrame.union, found_links)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
