@@ -18,19 +18,23 @@ from pyspark.sql import functions as F
 
 from kglake.llm import shared, tokens
 
+# The vocabulary's ids fit into two bytes.
+ID = np.dtype("<u2")
 END_ID = 50256  # the vocabulary's own end of text, which no text encodes to when its string is plain text
 FILE_BYTES = 256 << 20
 BLOCK_IDS = 1 << 20
 
 
 def write_flat(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Write the ids of every row of `docs`, each followed by `end_id`, as unsigned 32-bit little-endian files.
+    """Write the ids of every row of `docs`, each followed by `end_id`, as files of unsigned little-endian `ID`s.
+
+    An id that does not fit raises.
 
     Returns the stored table `file, ordinal, doc_id` of what was written in which order: names alone, no positions. Null and
     empty texts are the end id alone.
     """
     path = tokenizer or tokens.default_path()
-    end = np.array([end_id], np.uint32).tobytes()
+    end = np.array([end_id], ID).tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = shared.file_system(folder)
@@ -42,12 +46,15 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str | None = None, end_i
                 if out is None or size >= FILE_BYTES:
                     if out is not None:
                         out.close()
-                    name, size, ordinal = f"{uuid.uuid4().hex}.u32", 0, 0
+                    name, size, ordinal = f"{uuid.uuid4().hex}.ids", 0, 0
                     out = fs.open_output_stream(f"{root}/flat/{name}", compression=None)
-                out.write(ids + end)
+                wide = np.frombuffer(ids, np.uint32)
+                if len(wide) and wide.max() > np.iinfo(ID).max:
+                    raise ValueError("an id needs more bytes")
+                out.write(wide.astype(ID).tobytes() + end)
                 files.append(name)
                 ordinals.append(ordinal)
-                size += len(ids) + 4
+                size += ID.itemsize * (len(wide) + 1)
                 ordinal += 1
             yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(ordinals, pa.int64()), batch.column(0)],
                                              names=["file", "ordinal", "doc_id"])
@@ -70,7 +77,7 @@ def scan(spark: SparkSession, folder: str, files: DataFrame, end_id: int = END_I
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = shared.file_system(folder)
         for batch in batches:
-            sizes = [fs.get_file_info(f"{root}/flat/{name}").size // 4 for name in batch.column(0).to_pylist()]
+            sizes = [fs.get_file_info(f"{root}/flat/{name}").size // ID.itemsize for name in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=["file", "ids"])
 
     blocks = files.select("file").distinct().mapInArrow(sized, "file string, ids long").where("ids > 0").select(
@@ -81,8 +88,8 @@ def scan(spark: SparkSession, folder: str, files: DataFrame, end_id: int = END_I
         for batch in batches:
             for name, ids, block in zip(*(c.to_pylist() for c in batch.columns)):
                 with fs.open_input_file(f"{root}/flat/{name}") as source:
-                    source.seek(4 * block * block_ids)
-                    data = np.frombuffer(source.read(4 * min(block_ids, ids - block * block_ids)), np.uint32)
+                    source.seek(ID.itemsize * block * block_ids)
+                    data = np.frombuffer(source.read(ID.itemsize * min(block_ids, ids - block * block_ids)), ID)
                 at = np.flatnonzero(data == end_id)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name]), pa.array([block], pa.int64()), pa.array([len(data)], pa.int64()),
