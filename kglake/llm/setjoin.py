@@ -24,7 +24,7 @@ from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kglake.llm import components as cc
@@ -92,6 +92,11 @@ def set_id(hashes: np.ndarray) -> int:
     return int(mixed(np.array([total ^ U(len(hashes))], U)).view(np.int64)[0])
 
 
+def text_id(text: Column) -> Column:
+    """One 64-bit name for a text, whatever id its row has."""
+    return F.xxhash64(text)
+
+
 class Bands:
     """Size bands and what may differ between sets, for one threshold."""
 
@@ -188,13 +193,16 @@ def signatures(hashes: np.ndarray, cost: np.ndarray, bands: Bands) -> tuple[np.n
 
 
 def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """`doc_id, n_shingles, set_id` of each row, and the number of sets per slot of n-grams, both stored."""
-    schema = "doc_id long, n_shingles long, set_id long, slot int, sets long"
+    """`doc_id, n_shingles, set_id, text_id` of each row, and the number of sets per slot of n-grams, both stored.
+
+    `text_id` is the `text_id` of the row's text.
+    """
+    schema = "doc_id long, n_shingles long, set_id long, text_id long, slot int, sets long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << COST_BITS, np.int64)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-        names = ["doc_id", "n_shingles", "set_id", "slot", "sets"]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        names = ["doc_id", "n_shingles", "set_id", "text_id", "slot", "sets"]
         for batch in batches:
             sizes, ids = [], []
             for text in batch.column(1).to_pylist():
@@ -207,15 +215,15 @@ def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
                     np.add.at(slots, (hashes >> U(64 - COST_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, kinds[1]), pa.array(ids, kinds[2]), none.cast(kinds[3]),
-                 none.cast(kinds[4])], names=names)
+                [batch.column(0), pa.array(sizes, kinds[1]), pa.array(ids, kinds[2]), batch.column(2), none.cast(kinds[4]),
+                 none.cast(kinds[5])], names=names)
         some = np.flatnonzero(slots)
         none = pa.nulls(len(some)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(some, kinds[3]), pa.array(slots[some], kinds[4])],
-                                         names=names)
+        yield pa.RecordBatch.from_arrays(
+            [none, none, none, none, pa.array(some, kinds[4]), pa.array(slots[some], kinds[5])], names=names)
 
-    rows = shared.stored(docs.select("doc_id", "text").mapInArrow(run, schema), "sets")
-    return (rows.where("slot is null").select("doc_id", "n_shingles", "set_id"),
+    rows = shared.stored(docs.select("doc_id", "text", text_id(F.col("text")).alias("text_id")).mapInArrow(run, schema), "sets")
+    return (rows.where("slot is null").select("doc_id", "n_shingles", "set_id", "text_id"),
             rows.where("slot is not null").groupBy("slot").agg(F.sum("sets").alias("sets")))
 
 
@@ -428,7 +436,7 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, t: Fraction) -> DataFra
 
 
 def similar_sets(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> tuple[DataFrame, DataFrame]:
-    """`(doc_id, n_shingles, set_id)` of each row and the verified links `(a, b)` between set ids.
+    """`(doc_id, n_shingles, set_id, text_id)` of each row and the verified links `(a, b)` between set ids.
 
     The links join all sets that are reachable from each other: of a group of near copies each is linked with the
     group's first, and pairs within what is already joined are not spelt out.
@@ -446,12 +454,12 @@ def similar_sets(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3,
     found = shared.stored(candidates(index), "candidates")
     pairs = shared.stored(found.where("b is not null").select("a", "b").distinct(), "pairs")
     groups = found.where("grp is not null").select("leader", "grp", F.col("a").alias("set_id"), "size", "role")
-    # One row of each class stands for it: only those that some pair or group names are needed, with their texts.
-    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min_by(F.struct("doc_id"), F.struct("doc_id")).alias("row"))
+    # One text of each class stands for it, whatever ids its rows have: only those of classes that some pair or group names.
+    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
     named = pairs.select("a").union(pairs.select("b")).union(groups.select("set_id")).distinct().withColumnRenamed("a", "set_id")
-    wanted = classes.join(named, "set_id").select("set_id", F.col("row.doc_id").alias("first"))
-    texts = shared.stored(docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select(
-        "set_id", "text").dropDuplicates(["set_id"]), "texts")
+    wanted = classes.join(named, "set_id").select("set_id", "text_id")
+    each = docs.select(text_id(F.col("text")).alias("text_id"), "text").dropDuplicates(["text_id"])
+    texts = shared.stored(each.join(wanted, "text_id").select("set_id", "text"), "texts")
     links = shared.stored(verified(pairs, texts, n, threshold), "verified")
     open_rows, found_links = groups, [links]
 

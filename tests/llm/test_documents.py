@@ -171,6 +171,35 @@ def test_jaccard_join_edge_tables(empty_docs, repeated_docs):
     assert rows == {(1, 1): 3, (None, 1): 2, (None, None): 1}
 
 
+@pytest.fixture(scope="module")
+def texts_sharing_ids(spark, texts):
+    """Rows whose ids are null or repeat while their texts differ, and the same texts by rows of ids of their own."""
+    rows = [(None if k % 3 == 0 else k % 5, t) for k, (_, t, _) in enumerate(texts)]
+    return rows, spark.createDataFrame([(*row, "a", "xx", len(row[1] or "")) for row in rows],
+                                       "doc_id long, text string, source string, lang string, n_chars long").repartition(3)
+
+
+def test_jaccard_join_with_different_texts_under_one_id(texts_sharing_ids):
+    rows, frame = texts_sharing_ids
+    own = brute_components(list(enumerate(t for _, t in rows)))
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least.setdefault(own[k][1], []).extend([] if i is None else [i])
+    want = Counter((i, own[k][0], min(least[own[k][1]], default=None)) for k, (i, _) in enumerate(rows))
+    assert Counter(map(tuple, setjoin.near_duplicates(frame).collect())) == want
+
+
+def test_jaccard_links_with_different_texts_under_one_id(texts_sharing_ids):
+    rows, frame = texts_sharing_ids
+    _, links = setjoin.similar_sets(frame)
+    root = {r.node: r.root for r in setjoin.cc.components(links).collect()}
+    names = [setjoin.set_id(setjoin.shingles(t)) for _, t in rows]
+    own = brute_components(list(enumerate(t for _, t in rows)))
+    filled = [k for k in own if own[k][0]]
+    assert len({(root.get(names[k], names[k]), own[k][1]) for k in filled}) == len({own[k][1] for k in filled}) == len(
+        {root.get(names[k], names[k]) for k in filled})
+
+
 def test_signatures_cover_every_pair_within_the_bound():
     r = np.random.default_rng(2)
     t = setjoin.Fraction(3, 4)
