@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
 
 from kglake.llm import mixing, packing, private, quality, setjoin, shared
 
@@ -16,14 +14,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id; a row of each id."""
+    """Of each group of near copies one document, that of the smallest id; ids may be null or repeat."""
     shared.ship_package(spark)
-    groups = setjoin.near_duplicates(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
-    copy = F.row_number().over(W.partitionBy("doc_id").orderBy("text", "source"))
-    return kept.withColumn("__copy", copy).where("__copy = 1").select(*docs.columns)
+    return setjoin.survivors(docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -489,6 +489,27 @@ def similar_sets(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3,
     return sets, reduce(DataFrame.union, found_links)
 
 
+def survivors(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
+    """`docs` with one row of each component: of its smallest id, or a null one if no row has another.
+
+    Rows that share an id are told apart by their texts; of equal id and text the least in the other columns
+    stays. Rows without words are linked with nothing, so all of them stay.
+    """
+    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text_id": text_id(F.col("text").cast("string"))})
+    sets, links = similar_sets(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), n, threshold)
+    # By class first: partial minima keep a class of very many rows out of one task.
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id")
+    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min(row).alias("row"))
+    rooted = classes.join(cc.components(links).withColumnRenamed("node", "set_id"), "set_id", "left")
+    first = rooted.groupBy(F.coalesce("root", "set_id")).agg(F.min("row").alias("row")).select(
+        F.col("row.text_id").alias("__text_id"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", *others, "doc_id", "text")).alias("__row")
+    words = F.coalesce(F.col("text").rlike(shared.WORD), F.lit(False))
+    kept = keyed.where(words).groupBy("__text_id").agg(least).join(first, "__text_id", "left_semi")
+    return kept.select(*[F.col("__row")[c].alias(c) for c in docs.columns]).union(docs.where(~words))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
     """`doc_id, n_shingles, component_id` of each row of `docs` (`doc_id`, `text`; other columns are ignored).
 

@@ -348,6 +348,21 @@ def test_pipeline_equals_its_parts(spark, docs, texts, tokenizer):
     assert sum(p.length for p in pieces) == sum(len(ids_of(tokenizer, r.text)) for r in step.collect())
 
 
+def test_pipeline_keeps_one_document_of_each_group_whatever_the_ids(spark, texts_sharing_ids):
+    rows, frame = texts_sharing_ids
+    kept = corpus_pipeline.near_duplicates(spark, frame, "").collect()
+    own = brute_components(list(enumerate(t for _, t in rows)))
+    least, roots = {}, {}
+    for k, (i, t) in enumerate(rows):
+        roots.setdefault(t, own[k][1])
+        least.setdefault(own[k][1], []).extend([] if i is None else [i])
+    filled = [r for r in kept if shingle_set(r.text)]
+    assert sorted(roots[r.text] for r in filled) == sorted({own[k][1] for k in own if own[k][0]})
+    assert all((r.doc_id, r.text) in rows and r.doc_id == min(least[roots[r.text]], default=None) for r in filled)
+    assert Counter((r.doc_id, r.text) for r in kept if not shingle_set(r.text)) == Counter(
+        row for row in rows if not shingle_set(row[1]))
+
+
 def test_pipeline_on_an_empty_table(spark, empty_docs):
     step = empty_docs.select("doc_id", "text", "lang", "source", "n_chars")
     for name, stage in corpus_pipeline.STAGES:
