@@ -28,6 +28,8 @@ TREE_DEPTH = 5
 PAGES_AT_ONCE = 256
 # Log-odds lost where a child's label differs from its parent's.
 SWITCH_COST = 1.75
+# How training pages carry labels. Other values are those of some page's own attribute.
+LABEL, LABELS = "data-kglake-label", ("0", "1")
 
 TAG = re.compile(
     r"<!--(?:.*?--!?>|.*\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)"
@@ -138,8 +140,8 @@ def read_page(source: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
                 name = name.lower()
                 if name in ("class", "id", "role", "itemprop", "aria-label"):
                     found += [GROUP_OF[t] for t in map(str.lower, TOKEN.findall(a or b or c)) if t in GROUP_OF]
-                elif name == "data-label":
-                    label = int(a or 0)
+                elif name == LABEL and a in LABELS:
+                    label = int(a)
             groups += tuple(found)
         nodes.append(Node(tag, stack[-1], nodes[stack[-1]].depth + 1, groups, label, len(texts)))
         stack.append(len(nodes) - 1)
@@ -249,7 +251,7 @@ BODY_NAMES = ["content", "article-body", "post-content", "entry-content", "story
 
 
 def training_page(seed: int) -> str:
-    """A page of random make-up whose elements carry their label as `data-label`."""
+    """A page of random make-up whose elements carry their label as `LABEL`."""
     r = random.Random(seed)
 
     def words(low: int, high: int) -> str:
@@ -263,7 +265,7 @@ def training_page(seed: int) -> str:
 
     def element(tag: str, inner: str, label: int, name: str = "") -> str:
         attribute = f' {r.choice(["class", "class", "id"])}="{name}"' if name else ""
-        return f'<{tag}{attribute} data-label="{label}">{inner}' + ("" if tag == "p" and r.random() < 0.2 else f"</{tag}>")
+        return f'<{tag}{attribute} {LABEL}="{label}">{inner}' + ("" if tag == "p" and r.random() < 0.2 else f"</{tag}>")
 
     def links(n: int) -> str:
         return "".join(element(r.choice(["li", "li", "div"]), element("a", words(1, 4), 0), 0) for _ in range(n))

@@ -139,6 +139,13 @@ def test_supplied_page_pattern(trees):
     assert pages.extract([page, None, ""], trees) == ["Head line of it First part & more. Second part, of it. Third.", "", ""]
 
 
+def test_label_attributes_of_supplied_pages_are_ignored(trees):
+    page = "<article><h1>Head line of it</h1><p>First part, and more of it.</p><table><tr><td{}>Second part.</table></article>"
+    plain = pages.extract([page.format("")], trees)
+    for attribute in ('data-label="Price"', "data-label='9'", f'{pages.LABEL}="Price"', f'{pages.LABEL}="²"', f'{pages.LABEL}="1"'):
+        assert pages.extract([page.format(" " + attribute)], trees) == plain
+
+
 def test_decoding_never_keeps_below_clutter(trees):
     r = np.random.default_rng(3)
     for seed in range(20):
