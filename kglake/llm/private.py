@@ -27,11 +27,16 @@ NAMES = ("aeiou", "AEIOU", "bcdfghjklmnpqrstvwxyz", "BCDFGHJKLMNPQRSTVWXYZ", *GE
 
 FEMALE = "Mrs|Ms|Miss|Frau|Sra|Señora|Mme|Madame|Signora|Госпожа"
 MALE = "Mr|Herr|Sr|Señor|Monsieur|Signor|Господин"
+TITLES = rf"(?:(?:{FEMALE}|{MALE}|Dr|Prof)\.? )++"
+# A name part, with hyphens and apostrophes but for a possessive one, or an initial before another part.
+LETTERS = r"[\p{L}\p{M}]"
+JOINED = rf"(?:[-'’](?!(?<!-)s(?!{LETTERS})){LETTERS}++)"
+NAME = rf"(?:\p{{Lu}}(?:{LETTERS}++{JOINED}*+|{JOINED}++)|\p{{Lu}}\.(?= \p{{Lu}}))"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # In this order at each place of a text. Repeats are bounded or possessive: no text makes them slow.
 PATTERNS = {
     "secret": r"\b(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}\"?"
-              r"(?=[A-Za-z0-9_+/.=-]{0,127}\d)[A-Za-z0-9_+/.=-]{8,128}\"?",
+              r"(?=[A-Za-z_+/.=-]*+\d)[A-Za-z0-9_+/.=-]{8,}+\"?",
     "access_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*?\.\p{L}{2,24}(?![\p{L}\p{N}-])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
@@ -39,8 +44,8 @@ PATTERNS = {
              r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
     "number": r"(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{3}-\d{2}-\d{4})(?![\w-])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z]{0,4}\d{2,4}){3,8}\b",
-    "hex": r"\b(?=[0-9a-f]{0,63}[0-9])[0-9a-f]{32,64}\b",
-    "person": rf"\b(?:{FEMALE}|{MALE}|Dr|Prof)\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?(?!\p{{L}})",
+    "hex": r"\b(?=[a-f]*+[0-9])[0-9a-f]{32,}+\b",
+    "person": rf"\b{TITLES}{NAME}(?: {NAME})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Without any of these no pattern can match.

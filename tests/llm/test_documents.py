@@ -248,6 +248,24 @@ def test_private_data(spark, empty_docs, repeated_docs):
     assert other[1] != got[1].text
 
 
+def replaced(spark, *given):
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    return [r.text for r in sorted(private.replace_private(frame).collect())]
+
+
+def test_nothing_of_long_entities_remains(spark):
+    r = random.Random(8)
+    late = "".join(r.choices("bcdfghjk", k=150)) + "7" + "".join(r.choices("bcdfghjk", k=49))
+    mixed = "".join(r.choices("abcdefgh0123456789", k=200))
+    long_hex = "".join(r.choices("0123456789abcdef", k=128))
+    for value, text in zip((late, mixed, long_hex), replaced(spark, f"token={late} x", f"api_key: {mixed}.", f"sum {long_hex}, x")):
+        assert len(text) > len(value) and not any(value[k:k + 8] in text for k in range(len(value) - 7))
+    people = replaced(spark, "Dr Anna Maria Schmidt, x", "Ms Mary-Jane Smith x", "for Mr O'Brien.", "Prof. Dr. Anna M. Schmidt is",
+                      "Mr Smith's house", "Dr McDonald, x")
+    assert not any(n in t for t in people for n in ("Anna", "Maria", "Schmidt", "Mary", "Jane", "Smith", "Brien", "McDonald", " M."))
+    assert people[0].endswith(", x") and people[3].startswith("Prof. Dr. ") and people[4].endswith("'s house")
+
+
 def test_surrogates_are_distinct(spark):
     ips = [(f"at 10.0.{k // 250}.{k % 250} now", ) for k in range(1500)]
     mails = [(f"to a{k}@b.org or ab@c{k}.org",) for k in range(1500)]
