@@ -266,6 +266,23 @@ def test_nothing_of_long_entities_remains(spark):
     assert people[0].endswith(", x") and people[3].startswith("Prof. Dr. ") and people[4].endswith("'s house")
 
 
+def test_surrogates_keep_who_is_who(spark):
+    one, two, three, four, five = replaced(
+        spark, "Mr Smith and Mr John Smith. John Smith, Smith's; Smithers", "Dr Anna Keller", "Ms Anna Keller",
+        "Mrs. Mary Smith or Dr Mary Smith or Prof. Mary", "Dr Anna Maria Keller; Anna-Lena or Dr Anna")
+    name, given = re.fullmatch(r"Mr (\w+) and Mr (\w+o) \1\. \2 \1, \1's; Smithers", one).groups()
+    assert name != "Smith" and not given.startswith("John")
+    assert two[3:] == three[3:] and two[3:] != "Anna Keller"
+    assert re.fullmatch(rf"Mrs\. (\w+a) {name} or Dr \1 {name} or Prof\. \1", four)
+    anna, keller = two.split()[1:]
+    assert re.fullmatch(rf"Dr {anna} \w+a {keller}; {anna}-Lena or Dr {anna}", five)
+
+
+def test_untitled_mentions_are_counted(spark):
+    frame = spark.createDataFrame([("Mr John Smith. John Smith came.",), ("John Smith came.",)], "text string")
+    assert sorted(r.n_entities for r in private.replace_private(frame).collect()) == [0, 3]
+
+
 def test_surrogates_are_distinct(spark):
     ips = [(f"at 10.0.{k // 250}.{k % 250} now", ) for k in range(1500)]
     mails = [(f"to a{k}@b.org or ab@c{k}.org",) for k in range(1500)]
