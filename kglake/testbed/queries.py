@@ -86,7 +86,7 @@ on_graph(
 )
 on_graph(
     "lexical_length", lambda T: T.select("s", "o", t.lexical_length().alias("len")),
-    f"select s, o, length(o) as len from triples where p = '{V.RDFS_LABEL}'",
+    "select s, o, length(o) as len from triples",
 )
 on_graph(
     "datatype_and_language", lambda T: T.groupBy(t.has_datatype().alias("typed"), t.has_language().alias("tagged"), "o_datatype", "o_lang").agg(
@@ -1083,11 +1083,12 @@ def _stored_lake(spark, d):
     names = ["orders", "customer", "documents"]
     for name in names:
         triples_sink.write_triples_parquet(g.triples(spark, d, tables=[name]), f"{root}/{name}_v1.parquet")
-    rows = [(n, "1", "NT", "", ["a.nt"], True, f"{root}/{n}_v1") for n in names]
-    return spark.createDataFrame(
-        rows, "dir_name string, version string, format string, ontology_namespace string,"
-        " actual_file_list array<string>, is_latest boolean, graph_dir string",
-    )
+    rows = [(n, "1", "NT", ["a.nt"], "2024-01-31", f"{root}/{n}_metadata_latest") for n in names]
+    metadata = spark.createDataFrame(
+        rows, "dir_name string, version string, format string, actual_file_list array<string>,"
+        " date_importation_msd string, file_path string",
+    ).withColumns({name: F.lit(None).cast("string") for name in ("download_url", "compression", "ontology_namespace")})
+    return catalog_src.with_defaults(metadata.withColumn("file_list", F.col("actual_file_list")), root)
 
 
 @query("read_graph", "with " + g.triples_sql(["orders"]) + f" select {COLUMNS} from triples")
