@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kglake.llm import mixing, neighbours, packing, pages, private, quality, separators, setjoin, shared, token_files, warc
+from kglake.llm import fingerprints, mixing, neighbours, packing, pages, private, quality, separators, setjoin, shared, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,9 @@ def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_boosted_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return pages.main_texts(shared.table(spark, sf_dir, "pages"))
+
+
+@query("op11_hamming_balls")
+def op11_hamming_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose SimHash fingerprints differ in 4 bits or fewer."""
+    return fingerprints.near_duplicates(shared.table(spark, sf_dir, "documents"))
