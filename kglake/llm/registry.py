@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kglake.llm import fingerprints, mixing, neighbours, packing, pages, private, quality, separators, setjoin, shared, token_files, warc
+from kglake.llm import (
+    fingerprints,
+    mixing,
+    neighbours,
+    packing,
+    pages,
+    private,
+    quality,
+    resampling,
+    separators,
+    setjoin,
+    shared,
+    token_files,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +116,9 @@ def op3_boosted_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_hamming_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose SimHash fingerprints differ in 4 bits or fewer."""
     return fingerprints.near_duplicates(shared.table(spark, sf_dir, "documents"))
+
+
+@query("op12_radix_resampling")
+def op12_radix_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance for the benchmark's distribution, and the rank of those drawn."""
+    return resampling.resample(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark"))
