@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kglake.llm import (
+    audit,
     fingerprints,
     mixing,
     neighbours,
@@ -122,3 +123,10 @@ def op11_hamming_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_radix_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's importance for the benchmark's distribution, and the rank of those drawn."""
     return resampling.resample(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_filter_audit", audit.AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every source in each of their 120 orders."""
+    failed = audit.failures(shared.table(spark, sf_dir, "documents"))
+    return audit.audit(failed, shared.table(spark, sf_dir, "labels"))
