@@ -151,7 +151,7 @@ def audit(failed: DataFrame, labels: DataFrame, filters: str = FILTERS) -> DataF
     """What each filter removes, in every order of `filters`: one row per source, order and step, zeros included.
 
     `failed` has `source, doc_id, mask`; `labels` has `doc_id, quality, toxic`, where an id counts as good or toxic if any of its rows
-    says so. A null source is the empty one. Columns are `part, filter_order, step` (from 1; the step's filter is
+    says so and a null id matches none. A null source is the empty one. Columns are `part, filter_order, step` (from 1; the step's filter is
     that letter of the order) and the counts of documents: `kept`, `removed`, `redundant`, `unique_fails`, `good_lost`,
     `toxic_lost` and `shapley`, the filter's `removed` summed over all orders. An empty table gives an empty result.
     """
