@@ -10,9 +10,11 @@ counts two. Whatever differs, some unit must agree (pigeonhole), so no link is l
 by cost, an estimate of how many sets share the subset, which steers around passages that many documents share.
 Sets of one size class so small that units might not suffice take every n-gram as a segment.
 
-Equal sets are one class throughout. Of sets that share a signature each is first verified with one other, so near
-copies join; only sets that share a signature and are not joined are compared further, by sketches that never
-overstate a difference, and those that may link are verified on the whole sets.
+Equal sets are one class throughout. Of sets that share a signature each is first verified with one other, the
+leader, so near copies join. Sets that met under one leader and are not all joined are compared further, in tiles: the
+sets that look up and those that are indexed are cut into blocks of bounded size, and a tile compares two blocks.
+Sketches that never overstate a difference leave the pairs that may link; those are verified on the whole sets in the
+order of their difference, as long as their ends are not joined yet. So pairs never leave a task: links do.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kglake.llm import components as cc
 from kglake.llm import shared
@@ -41,9 +44,14 @@ DELETION_SIZE = 256
 SEGMENT_LOAD = 1.75
 CHUNK_ENTRIES = 700_000
 BUCKET_ENTRIES = 2_000_000
-LEADER_ROWS = 500_000
-# Rounds in which each set is verified with its likeliest partner only, before all that may link are.
-PARTNER_ROUNDS = 2
+# A signature that more sets may share is spread: its index entries are dealt to parts, its lookups go to all parts.
+SPREAD_SETS = 500_000
+# Blocks of a tile: at most about so many sets and so many n-grams.
+BLOCK_SETS = 1024
+BLOCK_GRAMS = 1_000_000
+PAIRS_AT_ONCE = 1 << 18
+# 64-bit names of 10 ** 11 different sets clash about 300 times.
+CLASHES = 100_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -86,14 +94,25 @@ def shingles(text: str | None, n: int = 5) -> np.ndarray:
     return np.unique(hashes)
 
 
-def set_id(hashes: np.ndarray) -> int:
-    """One 64-bit name for a set, from the sum and the size of its hashes."""
+def set_id(hashes: np.ndarray, clashing: frozenset[int] = frozenset()) -> int:
+    """One 64-bit name for a set, from the sum and the size of its hashes.
+
+    Names in `clashing`, which different sets share, are told apart by a second sum.
+    """
     total = np.add.reduce(mixed(hashes ^ U(0xD6E8FEB86659FD93)), dtype=U)
-    return int(mixed(np.array([total ^ U(len(hashes))], U)).view(np.int64)[0])
+    name = int(mixed(np.array([total ^ U(len(hashes))], U)).view(np.int64)[0])
+    if name in clashing:
+        return int(mixed(np.array([name, second_id(hashes)], np.int64).view(U)).sum(dtype=U).view(np.int64))
+    return name
+
+
+def second_id(hashes: np.ndarray) -> int:
+    """Another 64-bit name, independent of the first: together they tell sets apart."""
+    return int(np.add.reduce(mixed(hashes * U(0x9FB21C651E98DF25) ^ U(0xC2B2AE3D27D4EB4F)), dtype=U).view(np.int64))
 
 
 def text_id(text: Column) -> Column:
-    """One 64-bit name for a text, whatever id its row has."""
+    """One 64-bit name for a text, whatever id its row has; who fetches a text by it checks the text's set."""
     return F.xxhash64(text)
 
 
@@ -113,8 +132,20 @@ class Bands:
 
     @cache
     def segments(self, band: int) -> int:
-        """Number of segments of a band; 0 stands for one segment per n-gram."""
-        return 0 if self.low[band] <= SINGLE_SIZE else math.ceil(self.low[band] / SEGMENT_LOAD)
+        """Number of segments of a band; 0 stands for one segment per n-gram.
+
+        Segments must outnumber what may differ: for thresholds so low that they might not, n-grams stand alone.
+        """
+        low, high = self.low[band], self.low[band + 1] - 1
+        m = math.ceil(low / SEGMENT_LOAD)
+        if low <= SINGLE_SIZE:
+            return 0
+        for size in (low, high, math.floor(high / self.t)):
+            filled = m * (1 - math.exp(-size / m))
+            units = math.floor(self.differ * (size + min(size, high))) + 1
+            if units > 0.9 * filled:
+                return 0
+        return m
 
     @cache
     def lookups(self, size: int) -> list[tuple[int, int]]:
@@ -130,12 +161,13 @@ class Bands:
 def _subsets(hashes: np.ndarray, cost: np.ndarray, m: int, band: int, deletions: bool):
     """Subset signatures of a set in a band's segments, their costs and, if asked, one-deletion neighbours.
 
-    Returns `(signature, cost, deletion signature, owner of each deletion, cost of each owner's deletions)`.
+    Returns `(signature, cost, deletion signature, its own cost, owner of each deletion, cost of each owner's deletions)`. The cost
+    of a signature, the sets that hold its rarest n-gram, is the same for all sets that have the signature.
     """
     salt = mixed(np.array([band + 1], U))[0]
     token_cost = cost[(hashes >> U(64 - COST_BITS)).astype(np.int64)]
     if m == 0:
-        return mixed(hashes ^ U(0xA0761D6478BD642F)), token_cost, np.empty(0, U), np.empty(0, np.int64), None
+        return mixed(hashes ^ U(0xA0761D6478BD642F)), token_cost, np.empty(0, U), np.empty(0), np.empty(0, np.int64), None
     segment = (mixed(hashes ^ salt) % U(m)).astype(np.int64)
     order = np.lexsort((token_cost, segment))
     segment, token, price = segment[order], mixed(hashes[order] ^ U(0xE7037ED1A0B428DB)), token_cost[order]
@@ -146,28 +178,45 @@ def _subsets(hashes: np.ndarray, cost: np.ndarray, m: int, band: int, deletions:
     own = price[starts]
     signature = mixed(sums + names)
     if not deletions:
-        return signature, own, np.empty(0, U), np.empty(0, np.int64), None
+        return signature, own, np.empty(0, U), np.empty(0), np.empty(0, np.int64), None
     owner = np.repeat(np.arange(len(starts)), sizes)
     many = sizes[owner] > 1
     deleted = mixed(sums[owner] - token + names[owner])[many]
     second = price[np.minimum(starts + 1, len(price) - 1)]
     deletion_cost = np.where(sizes > 1, (sizes - 1) * own + second, np.inf)
-    return signature, own, deleted, owner[many], deletion_cost
-
-
-def signatures(hashes: np.ndarray, cost: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    is_first = np.zeros(len(token), bool)
+    is_first[starts] = True
+    left = np.where(is_first, second[owner], own[owner])[many]
+    return signature, own, deleted, left, owner[many], deletion_cost
+
+
+def spread(signature: np.ndarray, role: np.ndarray, cost: np.ndarray, name: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries whose signature very many sets may share, in parts: an index entry goes to one part, by its set, a lookup to all."""
+    parts = np.maximum(1, np.ceil(cost / SPREAD_SETS)).astype(np.int64)
+    if not (parts > 1).any():
+        return signature, role
+    owner = np.repeat(np.arange(len(parts)), parts)
+    part = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+    own = part == int(name) % parts[owner]
+    kept = np.where(own, role[owner], role[owner] & 2).astype(np.int8)
+    salted = np.where(parts[owner] > 1, mixed(signature[owner] + mixed(part.astype(U) + U(1))), signature[owner])
+    return salted[kept > 0], kept[kept > 0]
+
+
+def signatures(hashes: np.ndarray, cost: np.ndarray, bands: Bands, name: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """`(signature, role)` of a set: role bit 1 is an index entry, bit 2 a lookup."""
-    size, out, roles = len(hashes), [], []
+    size, out, roles, costs = len(hashes), [], [], []
     own_band = bands.of(size)
     for band, units in bands.lookups(size):
         m = bands.segments(band)
         deletions = 0 < m and bands.low[band] <= DELETION_SIZE
         if band != own_band and m == 0 and bands.segments(own_band) == 0:
             continue  # every band of single n-grams has the same signatures
-        signature, price, deleted, owner, deletion_price = _subsets(hashes, cost, m, band, deletions)
+        signature, price, deleted, deleted_price, owner, deletion_price = _subsets(hashes, cost, m, band, deletions)
         # Units in the order of their cost; ties by signature, so that the choice is a function of the set.
         prices = price if deletion_price is None else np.concatenate([price, deletion_price])
         tie = np.concatenate([signature, signature]) if deletion_price is not None else signature
+        units = min(units, len(signature)) if m == 0 else units  # all n-grams of a set miss no link
         usable = np.lexsort((tie, np.arange(len(prices)) >= len(price), prices))[:units]
         if len(usable) < units or not np.isfinite(prices[usable]).all():
             # Fewer n-gram groups than differences: reached with a chance below 1e-18 at these loads.
@@ -177,57 +226,63 @@ def signatures(hashes: np.ndarray, cost: np.ndarray, bands: Bands) -> tuple[np.n
         with_deletions = np.zeros(len(signature), bool)
         with_deletions[usable[usable >= len(price)] - len(price)] = True
         if band == own_band:
-            out.append(signature)
-            roles.append(looked | 1)
-            if len(deleted):
-                out.append(deleted)
-                roles.append(np.where(with_deletions[owner], 3, 1).astype(np.int8))
+            out += [signature, deleted]
+            roles += [looked | 1, np.where(with_deletions[owner], 3, 1).astype(np.int8)]
+            costs += [price, deleted_price]
         else:
-            out.append(signature[looked == 2])
-            roles.append(looked[looked == 2])
-            if len(deleted):
-                chosen = deleted[with_deletions[owner]]
-                out.append(chosen)
-                roles.append(np.full(len(chosen), 2, np.int8))
-    return np.concatenate(out), np.concatenate(roles)
+            some, chosen = looked == 2, with_deletions[owner]
+            out += [signature[some], deleted[chosen]]
+            roles += [looked[some], np.full(int(chosen.sum()), 2, np.int8)]
+            costs += [price[some], deleted_price[chosen]]
+    return spread(np.concatenate(out), np.concatenate(roles), np.concatenate(costs), name)
 
 
-def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """`doc_id, n_shingles, set_id, text_id` of each row, and the number of sets per slot of n-grams, both stored.
+def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, frozenset[int]]:
+    """`doc_id, n_shingles, set_id, text_id` of each row, stored, the number of sets per slot of n-grams, and the names that clashed.
 
     `text_id` is the `text_id` of the row's text.
     """
-    schema = "doc_id long, n_shingles long, set_id long, text_id long, slot int, sets long"
+    schema = "doc_id long, n_shingles long, set_id long, second long, text_id long, slot int, sets long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << COST_BITS, np.int64)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-        names = ["doc_id", "n_shingles", "set_id", "text_id", "slot", "sets"]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        names = ["doc_id", "n_shingles", "set_id", "second", "text_id", "slot", "sets"]
         for batch in batches:
-            sizes, ids = [], []
+            sizes, ids, seconds = [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingles(text, n)
                 sizes.append(len(hashes))
                 ids.append(set_id(hashes))
+                seconds.append(second_id(hashes))
                 slots += np.bincount((hashes >> U(64 - COST_BITS)).astype(np.int64), minlength=len(slots)) if len(
                     hashes) > 20_000 else 0
                 if len(hashes) <= 20_000:
                     np.add.at(slots, (hashes >> U(64 - COST_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, kinds[1]), pa.array(ids, kinds[2]), batch.column(2), none.cast(kinds[4]),
-                 none.cast(kinds[5])], names=names)
+                [batch.column(0), pa.array(sizes, kinds[1]), pa.array(ids, kinds[2]), pa.array(seconds, kinds[3]), batch.column(2),
+                 none.cast(kinds[5]), none.cast(kinds[6])], names=names)
         some = np.flatnonzero(slots)
         none = pa.nulls(len(some)).cast(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(some, kinds[4]), pa.array(slots[some], kinds[5])], names=names)
+            [none, none, none, none, none, pa.array(some, kinds[5]), pa.array(slots[some], kinds[6])], names=names)
 
     rows = shared.stored(docs.select("doc_id", "text", text_id(F.col("text")).alias("text_id")).mapInArrow(run, schema), "sets")
-    return (rows.where("slot is null").select("doc_id", "n_shingles", "set_id", "text_id"),
-            rows.where("slot is not null").groupBy("slot").agg(F.sum("sets").alias("sets")))
-
-
-def indexed(docs: DataFrame, n: int, bands: Bands, cost, buckets: int) -> DataFrame:
+    sets = rows.where("slot is null")
+    twice = sets.groupBy("set_id").agg(F.min("second").alias("x"), F.max("second").alias("y")).where("x <> y").select("set_id")
+    clashing = [r[0] for r in twice.limit(CLASHES + 1).collect()]
+    if len(clashing) > CLASHES:
+        raise RuntimeError("more names of sets clash than any number of documents explains")
+    if clashing:
+        told = F.udf(lambda name, second: int(mixed(np.array([name, second], np.int64).view(U)).sum(dtype=U).view(np.int64)), "long")
+        own = F.when(F.col("set_id").isin(clashing), told("set_id", "second")).otherwise(F.col("set_id"))
+        sets = sets.withColumn("set_id", own)
+    return (sets.select("doc_id", "n_shingles", "set_id", "text_id"),
+            rows.where("slot is not null").groupBy("slot").agg(F.sum("sets").alias("sets")), frozenset(clashing))
+
+
+def indexed(docs: DataFrame, n: int, bands: Bands, cost, buckets: int, clashing: frozenset[int] = frozenset()) -> DataFrame:
     """Signatures of all sets as rows `bucket, signatures, sets, sizes, counts` of packed numbers.
 
     A task emits each set once, however many of its rows hold it.
@@ -262,11 +317,11 @@ def indexed(docs: DataFrame, n: int, bands: Bands, cost, buckets: int) -> DataFr
                 hashes = shingles(text, n)
                 if not len(hashes):
                     continue
-                name = set_id(hashes)
+                name = set_id(hashes, clashing)
                 if name in seen:
                     continue
                 seen.add(name)
-                signature, role = signatures(hashes, price, bands)
+                signature, role = signatures(hashes, price, bands, name)
                 entries.append((signature, role, name, len(hashes)))
                 total += len(signature)
                 if total >= CHUNK_ENTRIES:
@@ -279,9 +334,10 @@ def indexed(docs: DataFrame, n: int, bands: Bands, cost, buckets: int) -> DataFr
 
 
 def bucket_candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs `(a, b)` of a bucket to verify first, and its groups `(leader, group, set, size, role)` for later.
+    """Pairs `(a, b)` of a bucket to verify first, and its cells `(leader, set, size, roles)` for later.
 
-    A set is first tried with the smallest name, the leader, of the largest group it is in.
+    A set is first tried with the smallest name, the leader, of the largest group it is in. A cell holds the sets of
+    all groups that a leader has here, so the sets of any two entries of a signature are in one cell.
     """
     parts = {name: b"".join(table.column(name).to_pylist()) for name in ("signatures", "sets", "sizes", "counts")}
     raw = np.frombuffer(parts["signatures"], np.uint8).reshape(-1, 5)
@@ -309,23 +365,28 @@ def bucket_candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     span = length[large]
     at = np.repeat(first[large] - np.concatenate([[0], np.cumsum(span)[:-1]]).astype(np.int64), span) + np.arange(span.sum())
     leader = np.repeat(ids[first[large]], span)
-    groups = np.stack([leader, np.repeat(names[large].view(np.int64), span), ids[at], sizes[at], role[at].astype(np.int64)], 1)
     best = np.lexsort((leader, -np.repeat(span, span), ids[at]))
     best = best[np.unique(ids[at][best], return_index=True)[1]]
     stars = np.stack([leader[best], ids[at][best]], 1)
-    return np.unique(stars[stars[:, 0] != stars[:, 1]], axis=0), groups
+    # All groups of a leader are one cell: a set is in it once, with all its roles.
+    order = np.lexsort((ids[at], leader))
+    leader, at = leader[order], at[order]
+    new = np.flatnonzero(np.concatenate([[True], (leader[1:] != leader[:-1]) | (ids[at][1:] != ids[at][:-1])])) if len(at) else at
+    roles = np.bitwise_or.reduceat(role[at], new) if len(at) else at
+    at, leader = at[new], leader[new]
+    cells = np.stack([leader, ids[at], sizes[at], roles.astype(np.int64)], 1)
+    return np.unique(stars[stars[:, 0] != stars[:, 1]], axis=0), cells
 
 
 def candidates(index: DataFrame) -> DataFrame:
-    """`a, b` pairs, and `leader, grp, a, size, role` rows of groups, distinct within each bucket."""
-    schema = "a long, b long, leader long, grp long, size long, role long"
+    """`a, b` pairs with null `leader`, and `leader, a, size, role` rows of cells, distinct within each bucket."""
+    schema = "a long, b long, leader long, size long, role long"
     names = [field.split()[0] for field in schema.split(", ")]
 
     def whole(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        pairs, groups = bucket_candidates(table)
-        no_pair, no_group = (pa.nulls(len(x)).cast(pa.int64()) for x in (pairs, groups))
-        parts = [[pairs[:, 0], pairs[:, 1], *[no_pair] * 4],
-                 [groups[:, 2], no_group, groups[:, 0], groups[:, 1], groups[:, 3], groups[:, 4]]]
+        pairs, cells = bucket_candidates(table)
+        no_pair, no_cell = (pa.nulls(len(x)).cast(pa.int64()) for x in (pairs, cells))
+        parts = [[pairs[:, 0], pairs[:, 1], *[no_pair] * 3], [cells[:, 1], no_cell, cells[:, 0], cells[:, 2], cells[:, 3]]]
         return pa.concat_tables([pa.table(
             [c if isinstance(c, pa.Array) else pa.array(np.ascontiguousarray(c)) for c in part], names=names) for part in parts])
 
@@ -340,174 +401,250 @@ def sketch(hashes: np.ndarray) -> bytes:
     return np.packbits(at.astype(np.uint8), bitorder="little").tobytes()
 
 
-def within(pairs: np.ndarray, sketches: dict[int, bytes], sizes: dict[int, int],
-           t: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Those of `pairs` whose sketches allow the threshold, and the share of their sizes in which they differ."""
-    shorter = np.array([min(len(sketches[a]), len(sketches[b])) for a, b in pairs.tolist()], np.int64)
-    keep, share = np.zeros(len(pairs), bool), np.zeros(len(pairs))
-    for length in np.unique(shorter).tolist():
-        some = np.flatnonzero(shorter == length)
-        folded: dict[int, np.ndarray] = {}
-        for name in np.unique(pairs[some]).tolist():
-            bits = np.frombuffer(sketches[name], U)
-            folded[name] = np.bitwise_xor.reduce(bits.reshape(-1, length // 8), 0)
-        for chunk in np.array_split(some, max(1, len(some) * length // (32 << 20))):
-            a = np.stack([folded[x] for x in pairs[chunk, 0].tolist()])
-            b = np.stack([folded[x] for x in pairs[chunk, 1].tolist()])
-            differ = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
-            both = np.array([sizes[x] + sizes[y] for x, y in pairs[chunk].tolist()])
-            share[chunk] = differ / np.maximum(1, both)
-            keep[chunk] = differ * (t.denominator + t.numerator) <= both * (t.denominator - t.numerator)
-    return pairs[keep], share[keep]
-
-
-def across(groups: DataFrame, sketches: DataFrame, t: Fraction, likeliest: bool = False) -> DataFrame:
-    """Pairs `a, b` of sets that share one of `groups`, are not joined and may reach the threshold.
-
-    With `likeliest` only the pair of smallest difference of each set of a leader.
-
-    Groups of one leader meet in a task, where a pair that shares many of them is compared once; leaders with
-    very many rows are spread by group. Sketches travel once for each set of a leader.
-    """
-    shares = groups.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / LEADER_ROWS).alias("spread"))
-    spread = groups.join(shares, "leader").withColumn("part", F.pmod(F.xxhash64("grp"), "spread")).drop("spread")
-    sided = spread.select("leader", "part", "set_id").distinct().join(sketches, "set_id").select(
-        F.col("leader").alias("of"), F.col("part").alias("of_part"), F.col("set_id").alias("name"), "sketch")
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = dict(zip(right.column("name").to_pylist(), right.column("sketch").to_pylist()))
-        grp, ids, size, role, root = (np.asarray(left.column(c)) for c in ("grp", "set_id", "size", "role", "root"))
-        order = np.lexsort((ids, grp))
-        grp, ids, size, role, root = grp[order], ids[order], size[order], role[order], root[order]
-        edges = np.flatnonzero(np.concatenate([[True], grp[1:] != grp[:-1], [True]]))
-        found, waiting, rows = np.empty((0, 2), np.int64), [], 0
-        for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            for i in range(x, y):
-                if not role[i] & 2:
-                    continue
-                other = x + np.flatnonzero(
-                    (root[x:y] != root[i]) & (role[x:y] & 1 > 0) & (size[x:y] <= size[i])
-                    & (size[x:y] * t.denominator >= size[i] * t.numerator))
-                waiting.append(np.stack([np.minimum(ids[other], ids[i]), np.maximum(ids[other], ids[i])], 1))
-                rows += len(other)
-            if rows > 1_000_000:
-                found, waiting, rows = np.unique(np.concatenate([found, *waiting]), axis=0), [], 0
-        found = np.unique(np.concatenate([found, *waiting]), axis=0)
-        sizes = dict(zip(ids.tolist(), size.tolist()))
-        found, share = within(found, known, sizes, t)
-        if likeliest:
-            best = [np.lexsort((share, found[:, side])) for side in (0, 1)]
-            best = [o[np.unique(found[o, side], return_index=True)[1]] for side, o in enumerate(best)]
-            found = found[np.unique(np.concatenate(best))]
-        return pa.table([np.ascontiguousarray(found[:, 0]), np.ascontiguousarray(found[:, 1])], names=["a", "b"])
-
-    return spread.groupBy("leader", "part").cogroup(sided.groupBy("of", "of_part")).applyInArrow(
-        compare, "a long, b long").distinct()
+def folded(sketches: list[bytes], words: int) -> np.ndarray:
+    """Sketches, each of at least `words` 64-bit words, folded to that length."""
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, U).reshape(-1, words), 0) for x in sketches])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int, t: Fraction) -> DataFrame:
-    """Those of `pairs` (`a, b`, set ids) whose whole sets reach the threshold; `texts` has `set_id, text`."""
-    up, down = t.numerator, t.denominator
+def close_pairs(left: dict, right: dict, t: Fraction) -> np.ndarray:
+    """`(i, j, difference)` of pairs that may link: of `left` and `right`, which hold arrays `root` and `size` and a list `sketch`.
 
+    Pairs have different roots, a right size of at most the left one and of at least its share, and sketches
+    that allow the threshold.
+    """
+    found = [np.empty((0, 3), np.int64)]
+    words = [np.array([len(x) // 8 for x in side["sketch"]], np.int64) for side in (left, right)]
+    for a in np.unique(words[0]).tolist():
+        for b in np.unique(words[1]).tolist():
+            some = [np.flatnonzero(w == k) for w, k in zip(words, (a, b))]
+            x, y = (folded([side["sketch"][k] for k in at.tolist()], min(a, b)) for side, at in zip((left, right), some))
+            (size_x, root_x), (size_y, root_y) = ((side["size"][at], side["root"][at]) for side, at in zip((left, right), some))
+            step = max(1, PAIRS_AT_ONCE // max(1, len(y)))
+            for k in range(0, len(x), step):
+                part = size_x[k:k + step, None]
+                i, j = np.nonzero((root_x[k:k + step, None] != root_y) & (size_y <= part) & (size_y * t.denominator >= part * t.numerator))
+                for cut in range(0, len(i), PAIRS_AT_ONCE):
+                    p, q = i[cut:cut + PAIRS_AT_ONCE] + k, j[cut:cut + PAIRS_AT_ONCE]
+                    differ = np.bitwise_count(x[p] ^ y[q]).sum(1, dtype=np.int64)
+                    keep = differ * (t.denominator + t.numerator) <= (size_x[p] + size_y[q]) * (t.denominator - t.numerator)
+                    found.append(np.stack([some[0][p[keep]], some[1][q[keep]], differ[keep]], 1))
+    return np.concatenate(found)
+
+
+def linked(x: np.ndarray, y: np.ndarray, t: Fraction) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
+    return t.denominator * both >= t.numerator * (len(x) + len(y) - both)
+
+
+TILE = ["leader", "left_block", "right_block"]
+
+
+def tiled(cells: DataFrame) -> DataFrame:
+    """Rows of `cells` (`leader, set_id, size, role, root`) as `leader, left_block, right_block, side, set_id, size, root`.
+
+    Sets that look up are the left side, indexed ones the right side. A component with many sets of a cell has blocks of its own; tiles
+    of one component alone are left out. Blocks follow counts, so no cell is ever gathered in a task.
+    """
+    sides = cells.select("leader", "set_id", "size", "root", F.explode(F.array(
+        F.when(F.col("role").bitwiseAND(F.lit(2)) > 0, F.lit(0)), F.when(F.col("role").bitwiseAND(F.lit(1)) > 0, F.lit(1)))).alias(
+        "side")).where("side is not null")
+    load = F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("size") / BLOCK_GRAMS)
+    roots = sides.groupBy("leader", "side", "root").agg(load.alias("load")).withColumn("alone", F.col("load") >= 0.5)
+    rest = roots.where("not alone").groupBy("leader", "side").agg(F.greatest(F.lit(1), F.ceil(F.sum("load"))).alias("rest"))
+    placed = roots.join(rest, ["leader", "side"], "left").select(
+        "leader", "side", "root", "alone", F.when(F.col("alone"), F.ceil("load")).otherwise(F.col("rest")).alias("parts"))
+    spread_sets = sides.join(placed, ["leader", "side", "root"])
+    # Two blocks of one name are one block, which costs time only.
+    block = F.when(F.col("alone"), F.xxhash64("root", F.pmod(F.xxhash64("set_id"), "parts"))).otherwise(
+        F.pmod(F.xxhash64("root"), "parts"))
+    named = shared.stored(spread_sets.select("leader", "side", "set_id", "size", "root", F.when(F.col("alone"), F.col("root")).alias(
+        "only"), block.alias("block")), "blocks")
+    blocks = named.groupBy("leader", "side", "block").agg(F.min("only").alias("low"), F.max("only").alias("high"), F.count("only").alias(
+        "known"), F.count(F.lit(1)).alias("n"))
+    one = F.when((F.col("known") == F.col("n")) & (F.col("low") == F.col("high")), F.col("low"))
+    left, right = (blocks.where(F.col("side") == k).select("leader", F.col("block").alias(f"{name}_block"), one.alias(f"{name}_root"))
+                   for k, name in ((0, "left"), (1, "right")))
+    tiles = shared.stored(left.join(right, "leader").where(
+        "left_root is null or right_root is null or left_root <> right_root").select(*TILE), "tiles")
+    rows = [named.where(F.col("side") == k).withColumnRenamed("block", f"{name}_block").join(tiles, ["leader", f"{name}_block"]).select(
+        *TILE, "side", "set_id", "size", "root") for k, name in ((0, "left"), (1, "right"))]
+    return rows[0].unionByName(rows[1])
+
+
+def _sides(table: pa.Table) -> list[dict]:
+    """The two sides of a tile, with their columns as arrays and lists."""
+    side, out = np.asarray(table.column("side")), []
+    for k in (0, 1):
+        some = table.filter(pa.array(side == k))
+        out.append({name: some.column(name).to_pylist() if name in ("sketch", "text") else np.asarray(some.column(name))
+                    for name in some.column_names})
+    return out
+
+
+def may_link(tiles: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
+    """Those rows of `tiles` that have a partner in their tile by their sketches."""
+    columns = [*TILE, "side", "set_id", "size", "root"]
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        pairs = close_pairs(*_sides(table), t)
+        side = np.asarray(table.column("side"))
+        rows = [np.flatnonzero(side == k)[np.unique(pairs[:, k])] for k in (0, 1)]
+        return table.select(columns).take(pa.array(np.concatenate(rows)))
+
+    schema = "leader long, left_block long, right_block long, side int, set_id long, size long, root long"
+    return tiles.join(sketches, "set_id").select(*columns, "sketch").groupBy(*TILE).applyInArrow(compare, schema)
+
+
+def verified_tiles(tiles: DataFrame, texts: DataFrame, n: int, t: Fraction) -> DataFrame:
+    """Links `a, b` between set ids that join all sets of a tile that are reachable from each other in it."""
+    def verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        left, right = _sides(table)
+        hashes = [[shingles(text, n) for text in side["text"]] for side in (left, right)]
+        for side, known in zip((left, right), hashes):
+            side["sketch"] = [sketch(x) for x in known]
+        pairs = close_pairs(left, right, t)
+        share = pairs[:, 2] / np.maximum(1, left["size"][pairs[:, 0]] + right["size"][pairs[:, 1]])
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                parent[x] = x = parent.get(parent[x], parent[x])
+            return x
+
+        roots, names, links = (left["root"].tolist(), right["root"].tolist()), (left["set_id"], right["set_id"]), []
+        for i, j, _ in pairs[np.argsort(share, kind="stable")].tolist():
+            x, y = root(roots[0][i]), root(roots[1][j])
+            if x != y and linked(hashes[0][i], hashes[1][j], t):
+                parent[max(x, y)] = min(x, y)
+                links.append((int(names[0][i]), int(names[1][j])))
+        return pa.table([pa.array([k[side] for k in links], pa.int64()) for side in (0, 1)], names=["a", "b"])
+
+    return tiles.join(texts, "set_id").groupBy(*TILE).applyInArrow(verify, "a long, b long")
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
+    """Those of `pairs` (`a, b`) whose sketches allow the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
+        for batch in batches:
+            sizes = [np.asarray(batch.column(c)) for c in (2, 3)]
+            keep = np.zeros(batch.num_rows, bool)
+            for k, (x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in (4, 5)))):
+                words = min(len(x), len(y)) // 8
+                differ = int(np.bitwise_count(folded([x], words) ^ folded([y], words)).sum())
+                keep[k] = differ * (t.denominator + t.numerator) <= int(sizes[0][k] + sizes[1][k]) * (t.denominator - t.numerator)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    one, other = (sketches.select(F.col("set_id").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+                  for c in "ab")
+    return pairs.join(one, "a").join(other, "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(
+        run, "a long, b long")
 
-        def hashes(name: int, text: str) -> np.ndarray:
-            if name not in known:
-                if len(known) > 2000:
-                    known.clear()
-                known[name] = shingles(text, n)
-            return known[name]
 
+def verified(pairs: DataFrame, texts: DataFrame, n: int, t: Fraction) -> DataFrame:
+    """Those of `pairs` (`a, b`, set ids) whose whole sets reach the threshold; `texts` has `set_id, text`."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            known: dict[int, np.ndarray] = {}
             a, b, text_a, text_b = (c.to_pylist() for c in batch.columns)
-            keep = []
-            for k in range(len(a)):
-                x, y = hashes(a[k], text_a[k]), hashes(b[k], text_b[k])
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if down * both >= up * (len(x) + len(y) - both):
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())),
-                                              batch.column(1).take(pa.array(keep, pa.int64()))], names=["a", "b"])
+            for name, text in zip(a + b, text_a + text_b):
+                if name not in known:
+                    known[name] = shingles(text, n)
+            keep = [k for k in range(len(a)) if linked(known[a[k]], known[b[k]], t)]
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     sided = pairs.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
     return sided.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def representatives(docs: DataFrame, wanted: DataFrame, n: int, clashing: frozenset[int]) -> DataFrame:
+    """`set_id, size, sketch, text` of each set of `wanted` (`set_id, text_id`), from one of its texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            rows = []
+            for want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if want in seen:
+                    continue  # copies of a text in one task
+                hashes = shingles(text, n)
+                if set_id(hashes, clashing) == want:
+                    seen.add(want)
+                    rows.append((want, len(hashes), sketch(hashes), text))
+            columns = zip(*rows) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.string()))],
+                names=["set_id", "size", "sketch", "text"])
+
+    each = docs.select(text_id(F.col("text")).alias("text_id"), "text").join(wanted, "text_id")
+    return each.select("set_id", "text").mapInArrow(run, "set_id long, size long, sketch binary, text string").dropDuplicates(["set_id"])
+
+
 def similar_sets(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> tuple[DataFrame, DataFrame]:
     """`(doc_id, n_shingles, set_id, text_id)` of each row and the verified links `(a, b)` between set ids.
 
-    The links join all sets that are reachable from each other: of a group of near copies each is linked with the
-    group's first, and pairs within what is already joined are not spelt out.
+    The links join all sets that are reachable from each other; pairs within what is already joined are not
+    spelt out. `threshold` is above 0 and at most 1.
     """
     bands = Bands(threshold)
     bands.of(1 << 31)
-    sets, slots = sets_of(docs, n)
+    sets, slots, clashing = sets_of(docs, n)
     cost = np.zeros(1 << COST_BITS)
     for slot, count in slots.collect():  # at most one row per slot, a fixed number
         cost[slot] = count
     spark = docs.sparkSession
     total = float(cost.sum())
     index = indexed(docs, n, bands, spark.sparkContext.broadcast(cost.astype(np.float32)),
-                    max(1, math.ceil(total / BUCKET_ENTRIES)))
+                    max(1, math.ceil(total / BUCKET_ENTRIES)), clashing)
     found = shared.stored(candidates(index), "candidates")
-    pairs = shared.stored(found.where("b is not null").select("a", "b").distinct(), "pairs")
-    groups = found.where("grp is not null").select("leader", "grp", F.col("a").alias("set_id"), "size", "role")
-    # One text of each class stands for it, whatever ids its rows have: only those of classes that some pair or group names.
+    pairs = found.where("leader is null").select("a", "b").distinct()
+    cells = found.where("leader is not null").groupBy("leader", F.col("a").alias("set_id")).agg(
+        F.first("size").alias("size"), F.bit_or("role").alias("role"))
+    # One text of each class stands for it, whatever ids its rows have: only those of classes that met another.
     classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
-    named = pairs.select("a").union(pairs.select("b")).union(groups.select("set_id")).distinct().withColumnRenamed("a", "set_id")
-    wanted = classes.join(named, "set_id").select("set_id", "text_id")
-    each = docs.select(text_id(F.col("text")).alias("text_id"), "text").dropDuplicates(["text_id"])
-    texts = shared.stored(each.join(wanted, "text_id").select("set_id", "text"), "texts")
-    links = shared.stored(verified(pairs, texts, n, threshold), "verified")
-    open_rows, found_links = groups, [links]
-
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
-                [sketch(shingles(text, n)) for text in batch.column(1).to_pylist()], pa.binary())], names=["set_id", "sketch"])
-
-    # Groups that are not one component yet: pairs across components that were not tried, the likeliest first.
-    for turn in range(PARTNER_ROUNDS + 1):
-        joined = cc.components(reduce(DataFrame.union, found_links))
-        placed = open_rows.select("leader", "grp", "set_id", "size", "role").join(
-            joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            "leader", "grp", "set_id", "size", "role", F.coalesce("root", "set_id").alias("root"))
-        split = placed.groupBy("leader", "grp").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
-            "x <> y").select("leader", "grp")
-        open_rows = shared.stored(placed.join(split, ["leader", "grp"]), "open-groups")
-        if turn == 0:
-            open_texts = texts.join(open_rows.select("set_id").distinct(), "set_id", "left_semi")
-            sketches = shared.stored(open_texts.select("set_id", "text").mapInArrow(
-                sketched, "set_id long, sketch binary"), "sketches")
-        later = across(open_rows, sketches, threshold, turn < PARTNER_ROUNDS).join(
-            pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        later = shared.stored(later, "later-pairs")
-        found_links.append(shared.stored(verified(later, texts, n, threshold), "verified-later"))
-        pairs = pairs.union(later)
-    return sets, reduce(DataFrame.union, found_links)
+    named = found.select(F.col("a").alias("set_id")).union(found.where("leader is null").select("b")).distinct()
+    wanted = classes.join(named, "set_id")
+    known = shared.stored(representatives(docs, wanted, n, clashing), "representatives")
+    sketches, texts = known.select("set_id", "size", "sketch"), known.select("set_id", "text")
+    stars = shared.stored(verified(likely(pairs, sketches, threshold), texts, n, threshold), "star-links")
+    placed = cells.join(cc.components(stars).withColumnRenamed("node", "set_id"), "set_id", "left").select(
+        "leader", "set_id", "size", "role", F.coalesce("root", "set_id").alias("root"))
+    placed = shared.stored(placed, "cells")
+    split = placed.groupBy("leader").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("leader")
+    tiles = tiled(placed.join(split, "leader"))
+    near = shared.stored(may_link(tiles, sketches.select("set_id", "sketch"), threshold), "near")
+    return sets, stars.union(shared.stored(verified_tiles(near, texts, n, threshold), "tile-links"))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
 
 
 def survivors(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
     """`docs` with one row of each component: of its smallest id, or a null one if no row has another.
 
     Rows that share an id are told apart by their texts; of equal id and text the least in the other columns
-    stays. Rows without words are linked with nothing, so all of them stay.
+    stays, maps compared as JSON. Rows without words are linked with nothing, so all of them stay. All columns are
+    returned as they are, whatever their names.
     """
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text_id": text_id(F.col("text").cast("string"))})
-    sets, links = similar_sets(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), n, threshold)
+    name, second, row = shared.unused(docs.columns, "text_name", "second_name", "row")
+    text = F.col("text").cast("string")
+    sets, links = similar_sets(docs.select(F.col("doc_id").cast("long"), text.alias("text")), n, threshold)
     # By class first: partial minima keep a class of very many rows out of one task.
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id")
-    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min(row).alias("row"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id"))
+    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(least.alias("row"))
     rooted = classes.join(cc.components(links).withColumnRenamed("node", "set_id"), "set_id", "left")
-    first = rooted.groupBy(F.coalesce("root", "set_id")).agg(F.min("row").alias("row")).select(
-        F.col("row.text_id").alias("__text_id"))
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", *others, "doc_id", "text")).alias("__row")
-    words = F.coalesce(F.col("text").rlike(shared.WORD), F.lit(False))
-    kept = keyed.where(words).groupBy("__text_id").agg(least).join(first, "__text_id", "left_semi")
-    return kept.select(*[F.col("__row")[c].alias(c) for c in docs.columns]).union(docs.where(~words))
+    first = rooted.groupBy(F.coalesce("root", "set_id")).agg(F.min("row").alias("row")).select(F.col("row.text_id").alias(name))
+    doc_id = F.col("doc_id").cast("long")
+    others = [F.to_json(F.struct(f.name)) if _has_map(f.dataType) else F.col(f.name) for f in docs.schema if f.name not in ("doc_id", "text")]
+    order = F.struct(*[c.alias(f"k{k}") for k, c in enumerate([doc_id.isNull(), doc_id, *others])])
+    words = F.coalesce(text.rlike(shared.WORD), F.lit(False))
+    keyed = docs.where(words).withColumns({name: text_id(text), second: F.xxhash64(F.lit(1), text)})
+    kept = keyed.groupBy(name, second).agg(F.min_by(F.struct(*docs.columns), order).alias(row)).join(first, name, "left_semi")
+    return kept.select(*[F.col(row)[c].alias(c) for c in docs.columns]).union(docs.where(~words))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> DataFrame:

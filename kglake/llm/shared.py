@@ -51,6 +51,16 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def unused(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, longer by underscores where `columns` has them already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts as no words."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
