@@ -390,27 +390,3 @@ def restriction_triples(triples: DataFrame) -> DataFrame:
         t.resource_triples(by_some, "s", F.lit(V.RDF_TYPE), "restriction"),
         t.resource_triples(by_every, "o", F.lit(V.RDF_TYPE), "filler"),
     ])
-
-
-def owl_horst_closure(triples: DataFrame) -> DataFrame:
-    """RDFS and OWL Horst rules until a round adds nothing.
-
-    Equality is kept as representatives: each round rewrites to them, so the result
-    has one sameAs link per replaced node. No rule invents a node, so the rounds end.
-    """
-    folder = storage.shared_folder(triples.sparkSession)
-    current = storage.materialize(triples.select(*t.TRIPLE_COLUMNS), folder, "given")
-    step = 0
-    while True:
-        step += 1
-        inferred = _rdfs_rounds(current, f"{folder}/{step}")
-        added = _union([
-            inverse_triples(inferred), symmetric_triples(inferred), transitive_triples(inferred),
-            functional_same_as(inferred), equivalence_triples(inferred), restriction_triples(inferred),
-        ])
-        new = storage.materialize(added.subtract(inferred), folder, f"new-{step}")
-        if step > 1 and new.isEmpty() and inferred.count() == current.count():
-            return inferred
-        widened = inferred.unionByName(new)
-        components = storage.materialize(same_as_components(widened), folder, f"components-{step}")
-        current = storage.materialize(substitute_same_as(widened, components), folder, f"round-{step}")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kglake.functions import vocab as V
 from kglake.operators import catalog as cat
+from kglake.operators import horst as owl
 from kglake.operators import inference
 
 
@@ -24,15 +25,15 @@ def select_ontologies(catalog: DataFrame, void_dataset: DataFrame, max_size: int
 
 
 def schema_triples(triples: DataFrame) -> DataFrame:
-    """The rows that can give a property a range or domain, directly or by inference.
+    """The rows that can give a property a range or domain by the RDFS rules, directly or by inference.
 
-    Classes and properties are few next to instances, so the closure runs on a fraction
-    of the graph; only a graph that redefines the schema vocabulary would need more.
+    Classes and properties are few next to instances, so the closure runs on a fraction of the graph. Rows of a predicate
+    below one of the schema's are rows of the schema too.
     """
-    wanted = inference.SCHEMA_PREDICATES + [
-        V.DCAM_RANGE_INCLUDES, V.DCAM_DOMAIN_INCLUDES, V.OWL_EQUIVALENT_CLASS, V.OWL_EQUIVALENT_PROPERTY,
-    ]
-    return triples.where(F.col("p").isin(wanted))
+    wanted = inference.SCHEMA_PREDICATES + [V.DCAM_RANGE_INCLUDES, V.DCAM_DOMAIN_INCLUDES]
+    below = inference.subproperty_closure(triples).where(F.col("dst").isin(wanted) & ~F.col("src").isin(wanted))
+    widened = triples.join(below.select(F.col("src").alias("p")).distinct(), "p", "left_semi")
+    return triples.where(F.col("p").isin(wanted)).unionByName(widened.select(*triples.columns))
 
 
 def _per_property(pairs: DataFrame, value: str, used: DataFrame, column: str) -> DataFrame:
@@ -44,10 +45,10 @@ def _per_property(pairs: DataFrame, value: str, used: DataFrame, column: str) ->
 def enhance_void(void_partition: DataFrame, triples: DataFrame, horst: bool = False) -> DataFrame:
     """The partition with `domains` and `ranges` arrays for its properties.
 
-    `triples` are those of the chosen ontologies and of the graph itself.
+    `triples` are those of the chosen ontologies and of the graph itself. OWL rules can derive a range from any triple, so with
+    `horst` the closure runs on all of them.
     """
-    schema = schema_triples(triples)
-    closure = inference.owl_horst_closure(schema) if horst else inference.rdfs_closure(schema)
+    closure = owl.owl_horst_closure(triples) if horst else inference.rdfs_closure(schema_triples(triples))
     used = void_partition.where("kind = 'property'").select("item").distinct()
     ranges = _per_property(inference.property_ranges(closure), "range", used, "ranges")
     domains = _per_property(inference.property_domains(closure), "domain", used, "domains")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kglake.functions import terms as t
 from kglake.functions import vocab as V
 from kglake.operators import catalog as cat
-from kglake.operators import inference, paths, patterns, search, stats
+from kglake.operators import horst, inference, paths, patterns, search, stats
 from kglake.operators import results as res
 from kglake.plans import enhance, explore, storage
 from kglake.plans.void_job import void_stats
@@ -23,6 +23,7 @@ from kglake.sources import tables as tables_src
 from kglake.sources import triples as triples_src
 from kglake.sources import void as void_src
 from kglake.sources import web
+from kglake.testbed import closure_sql
 from kglake.testbed import graph as g
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -467,22 +468,8 @@ on_graph(
 )
 
 
-def _counted(rows: DataFrame, *keys) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.countDistinct("s").alias("subjects"), F.countDistinct("o").alias("objects")
-    )
-
-
-_COUNTED_SQL = "count(*) as n, count(distinct s) as subjects, count(distinct o) as objects"
-_TYPE_COUNTS = f"select p, case when p = '{V.RDF_TYPE}' then o end as class, {_COUNTED_SQL}"
-
-
-def _type_counts(triples: DataFrame) -> DataFrame:
-    return _counted(triples, "p", F.when(F.col("p") == V.RDF_TYPE, F.col("o")).alias("class"))
-
-
 on_graph(
-    "rdfs_closure", lambda T: _type_counts(inference.rdfs_closure(T)),
+    "rdfs_closure", inference.rdfs_closure,
     _SC + _SP + f", wide as (select {COLUMNS} from triples union"
     " select s, s_kind, sp.dst, o, o_kind, o_datatype, o_lang from triples join sp on p = sp.src),"
     f" typed as (select * from wide union select {_resource('t.s', _A, 'd.o')} from wide t join triples d"
@@ -492,7 +479,7 @@ on_graph(
     f" on sc.src = t.o where t.p = '{V.RDF_TYPE}'"
     f" union select {_resource('src', repr(V.RDFS_SUBCLASS), 'dst')} from sc"
     f" union select {_resource('src', repr(V.RDFS_SUBPROPERTY), 'dst')} from sp)"
-    + _TYPE_COUNTS + " from closed group by all",
+    + f" select {COLUMNS} from closed",
 )
 on_graph(
     "inverse_triples", lambda T: inference.as_set(inference.inverse_triples(T)),
@@ -529,12 +516,11 @@ _REPS = (
 )
 on_graph("same_as_components", inference.same_as_components, _REPS + "select * from reps")
 on_graph(
-    "same_as_substitution", lambda T: _counted(inference.substitute_same_as(T, inference.same_as_components(T)), "p"),
-    _REPS + ", replaced as (select distinct coalesce(a.representative, s) as s, p, coalesce(b.representative, o) as o,"
+    "same_as_substitution", lambda T: inference.substitute_same_as(T, inference.same_as_components(T)),
+    _REPS + " select distinct coalesce(a.representative, s) as s, s_kind, p, coalesce(b.representative, o) as o,"
     " o_kind, o_datatype, o_lang from triples left join reps a on a.node = s"
     " left join reps b on b.node = o and o_kind <> 'literal'"
-    f" where p <> '{V.OWL_SAME_AS}' union select node, '{V.OWL_SAME_AS}', representative, 'iri', null, null from reps)"
-    f" select p, {_COUNTED_SQL} from replaced group by p",
+    f" where p <> '{V.OWL_SAME_AS}' union select {_resource('node', repr(V.OWL_SAME_AS), 'representative')} from reps",
 )
 
 
@@ -554,7 +540,7 @@ on_graph(
     + _both_ways_sql(V.OWL_EQUIVALENT_PROPERTY, V.RDFS_SUBPROPERTY),
 )
 on_graph(
-    "restriction_triples", lambda T: _type_counts(inference.as_set(inference.restriction_triples(storage.materialize(T)))),
+    "restriction_triples", lambda T: inference.as_set(inference.restriction_triples(storage.materialize(T))),
     f", r as (select a.s as r, a.o as prop, b.p as kind, b.o as v from triples a join triples b on b.s = a.s"
     f" where a.p = '{V.OWL_ON_PROPERTY}' and b.p in ('{V.OWL_HAS_VALUE}', '{V.OWL_SOME_VALUES}',"
     f" '{V.OWL_ALL_VALUES}')), ty as (select s, o from triples where p = {_A}), added as ("
@@ -564,9 +550,10 @@ on_graph(
     f" union select t.s, {_A}, r.r from triples t join r on t.p = r.prop join ty on ty.s = t.o and ty.o = r.v"
     f" where r.kind = '{V.OWL_SOME_VALUES}'"
     f" union select t.o, {_A}, r.v from triples t join r on t.p = r.prop join ty on ty.s = t.s and ty.o = r.r"
-    f" where r.kind = '{V.OWL_ALL_VALUES}') " + _TYPE_COUNTS + " from added group by all",
+    f" where r.kind = '{V.OWL_ALL_VALUES}') select {_resource('s', 'p', 'o')} from added",
 )
-on_graph("owl_horst_closure", lambda T: _type_counts(inference.owl_horst_closure(T)), None)
+# Three rounds are enough for these tables; the SQL runs two more, which add nothing.
+on_graph("owl_horst_closure", lambda T: horst.owl_horst_closure(T), closure_sql.closure(5) + f" select {COLUMNS} from closed")
 on_graph(
     "property_ranges", inference.property_ranges,
     f'select distinct s as property, o as "range" from triples where p in (\'{V.RDFS_RANGE}\', \'{V.DCAM_RANGE_INCLUDES}\')',

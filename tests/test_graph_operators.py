@@ -2,7 +2,7 @@ import pytest
 
 from kglake.functions import terms as t
 from kglake.functions import vocab as V
-from kglake.operators import inference, paths, patterns, stats
+from kglake.operators import horst, inference, paths, patterns, stats
 from kglake.plans import explore as ex
 from kglake.plans.void_job import void_stats
 from kglake.sinks import void as void_sink
@@ -162,7 +162,7 @@ def test_horst_rules(spark, tmp_path):
         f"{iri('x')} {a} {iri('R3')} .",
         f"{iri('R1')} <{V.RDFS_SUBCLASS}> {iri('Named')} .",
     ]
-    closed = inference.owl_horst_closure(graph(spark, tmp_path, facts))
+    closed = horst.owl_horst_closure(graph(spark, tmp_path, facts))
     got = {(r.s.removeprefix(EX), r.p.removeprefix(EX), r.o.removeprefix(EX)) for r in closed.collect()}
     type_ = V.RDF_TYPE
     expected = {
