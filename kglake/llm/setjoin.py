@@ -50,6 +50,8 @@ SPREAD_SETS = 500_000
 BLOCK_SETS = 1024
 BLOCK_GRAMS = 1_000_000
 PAIRS_AT_ONCE = 1 << 18
+# Bits of the filter of wanted texts, 8 MB.
+FILTER_BITS = 1 << 26
 # 64-bit names of 10 ** 11 different sets clash about 300 times.
 CLASHES = 100_000
 
@@ -238,23 +240,26 @@ def signatures(hashes: np.ndarray, cost: np.ndarray, bands: Bands, name: int = 0
 
 
 def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, frozenset[int]]:
-    """`doc_id, n_shingles, set_id, text_id` of each row, stored, the number of sets per slot of n-grams, and the names that clashed.
+    """`doc_id, n_shingles, set_id, text_id, sketch` of each row, stored, the number of sets per slot of n-grams, and the names that clashed.
 
-    `text_id` is the `text_id` of the row's text.
+    `text_id` is the `text_id` of the row's text. A task gives the `sketch` of a set with the first of its rows only.
     """
-    schema = "doc_id long, n_shingles long, set_id long, second long, text_id long, slot int, sets long"
+    schema = "doc_id long, n_shingles long, set_id long, second long, text_id long, sketch binary, slot int, sets long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = np.zeros(1 << COST_BITS, np.int64)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-        names = ["doc_id", "n_shingles", "set_id", "second", "text_id", "slot", "sets"]
+        slots, seen = np.zeros(1 << COST_BITS, np.int64), set()
+        names = ["doc_id", "n_shingles", "set_id", "second", "text_id", "sketch", "slot", "sets"]
+        kinds = [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.int64()]
         for batch in batches:
-            sizes, ids, seconds = [], [], []
+            sizes, ids, seconds, sketches = [], [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingles(text, n)
                 sizes.append(len(hashes))
                 ids.append(set_id(hashes))
                 seconds.append(second_id(hashes))
+                known = (ids[-1], seconds[-1]) in seen
+                sketches.append(None if known else sketch(hashes))
+                seen.add((ids[-1], seconds[-1]))
                 slots += np.bincount((hashes >> U(64 - COST_BITS)).astype(np.int64), minlength=len(slots)) if len(
                     hashes) > 20_000 else 0
                 if len(hashes) <= 20_000:
@@ -262,11 +267,10 @@ def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, frozenset[in
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, kinds[1]), pa.array(ids, kinds[2]), pa.array(seconds, kinds[3]), batch.column(2),
-                 none.cast(kinds[5]), none.cast(kinds[6])], names=names)
+                 pa.array(sketches, kinds[5]), none.cast(kinds[6]), none.cast(kinds[7])], names=names)
         some = np.flatnonzero(slots)
-        none = pa.nulls(len(some)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, none, pa.array(some, kinds[5]), pa.array(slots[some], kinds[6])], names=names)
+        none = [pa.nulls(len(some)).cast(kind) for kind in kinds[:6]]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(some, kinds[6]), pa.array(slots[some], kinds[7])], names=names)
 
     rows = shared.stored(docs.select("doc_id", "text", text_id(F.col("text")).alias("text_id")).mapInArrow(run, schema), "sets")
     sets = rows.where("slot is null")
@@ -278,7 +282,7 @@ def sets_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, frozenset[in
         told = F.udf(lambda name, second: int(mixed(np.array([name, second], np.int64).view(U)).sum(dtype=U).view(np.int64)), "long")
         own = F.when(F.col("set_id").isin(clashing), told("set_id", "second")).otherwise(F.col("set_id"))
         sets = sets.withColumn("set_id", own)
-    return (sets.select("doc_id", "n_shingles", "set_id", "text_id"),
+    return (sets.select("doc_id", "n_shingles", "set_id", "text_id", "sketch"),
             rows.where("slot is not null").groupBy("slot").agg(F.sum("sets").alias("sets")), frozenset(clashing))
 
 
@@ -378,19 +382,44 @@ def bucket_candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(stars[stars[:, 0] != stars[:, 1]], axis=0), cells
 
 
-def candidates(index: DataFrame) -> DataFrame:
-    """`a, b` pairs with null `leader`, and `leader, a, size, role` rows of cells, distinct within each bucket."""
-    schema = "a long, b long, leader long, size long, role long"
-    names = [field.split()[0] for field in schema.split(", ")]
+CANDIDATES = "a long, b long, leader long, size long, role long"
+
+
+def candidates(index: DataFrame, parts: int) -> DataFrame:
+    """`a, b` pairs with null `leader`, and `leader, a, size, role` rows of cells, all distinct.
+
+    Sets that are near each other meet in many buckets. A bucket's pairs and cells leave it packed, one row for each part of those to
+    be made distinct.
+    """
+    schema = "cell boolean, part int, rows binary"
 
     def whole(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        pairs, cells = bucket_candidates(table)
-        no_pair, no_cell = (pa.nulls(len(x)).cast(pa.int64()) for x in (pairs, cells))
-        parts = [[pairs[:, 0], pairs[:, 1], *[no_pair] * 3], [cells[:, 1], no_cell, cells[:, 0], cells[:, 2], cells[:, 3]]]
-        return pa.concat_tables([pa.table(
-            [c if isinstance(c, pa.Array) else pa.array(np.ascontiguousarray(c)) for c in part], names=names) for part in parts])
+        out = []
+        for is_cell, rows in zip((False, True), bucket_candidates(table)):
+            part = (mixed(rows[:, 0].astype(U) + mixed(rows[:, 1].astype(U))) % U(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                if len(some):
+                    out.append((is_cell, int(part[some[0]]), rows[some].astype(np.int64).tobytes()))
+        return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.bool_(), pa.int32(), pa.binary()))],
+                        names=["cell", "part", "rows"])
+
+    def distinct(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), np.int64)
+        names = ["a", "b", "leader", "size", "role"]
+        if not key[0].as_py():
+            rows = np.unique(rows.reshape(-1, 2), axis=0)
+            columns = {"a": rows[:, 0], "b": rows[:, 1]}
+        else:
+            rows = rows.reshape(-1, 4)
+            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+            new = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
+            columns = {"leader": rows[new, 0], "a": rows[new, 1], "size": rows[new, 2], "role": np.bitwise_or.reduceat(rows[:, 3], new)}
+        n = len(columns["a"])
+        return pa.table([pa.array(np.ascontiguousarray(columns[c])) if c in columns else pa.nulls(n, pa.int64()) for c in names], names=names)
 
-    return index.groupBy("bucket").applyInArrow(whole, schema)
+    packed = index.groupBy("bucket").applyInArrow(whole, schema)
+    return packed.groupBy("cell", "part").applyInArrow(distinct, CANDIDATES)
 
 
 def sketch(hashes: np.ndarray) -> bytes:
@@ -559,30 +588,39 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, t: Fraction) -> DataFra
     return sided.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def representatives(docs: DataFrame, wanted: DataFrame, n: int, clashing: frozenset[int]) -> DataFrame:
-    """`set_id, size, sketch, text` of each set of `wanted` (`set_id, text_id`), from one of its texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+def texts_of(docs: DataFrame, wanted: DataFrame, n: int, clashing: frozenset[int]) -> DataFrame:
+    """`set_id, text` of each set of `wanted` (`set_id, text_id`), from one of its texts.
+
+    A bitmap of fixed size, from the wanted names, keeps most other texts out of the shuffle; the join decides.
+    """
+    words = wanted.select(F.pmod("text_id", F.lit(FILTER_BITS)).alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)  # as many words at most, whatever the table
+    bits[np.asarray(words.column("word"))] = np.asarray(words.column("bits"))
+    shared_bits = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = shared_bits.value, set()
         for batch in batches:
-            rows = []
-            for want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if want in seen:
-                    continue  # copies of a text in one task
-                hashes = shingles(text, n)
-                if set_id(hashes, clashing) == want:
-                    seen.add(want)
-                    rows.append((want, len(hashes), sketch(hashes), text))
-            columns = zip(*rows) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.string()))],
-                names=["set_id", "size", "sketch", "text"])
+            names = np.asarray(batch.column(0))
+            bit = names % FILTER_BITS
+            hit = np.flatnonzero(known[bit // 64] >> (bit % 64) & 1)
+            keep = [k for k in hit.tolist() if names[k] not in seen and not seen.add(names[k])]  # copies of a text in one task go
+            yield batch.take(pa.array(keep, pa.int64()))
 
-    each = docs.select(text_id(F.col("text")).alias("text_id"), "text").join(wanted, "text_id")
-    return each.select("set_id", "text").mapInArrow(run, "set_id long, size long, sketch binary, text string").dropDuplicates(["set_id"])
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keep = [set_id(shingles(text, n), clashing) == name for name, text in zip(names, texts)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    each = docs.where("text is not null").select(text_id(F.col("text")).alias("text_id"), "text").mapInArrow(first, "text_id long, text string")
+    found = each.join(wanted, "text_id").select("set_id", "text").mapInArrow(own, "set_id long, text string")
+    return shared.stored(found.dropDuplicates(["set_id"]), "texts")
 
 
 def similar_sets(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4)) -> tuple[DataFrame, DataFrame]:
-    """`(doc_id, n_shingles, set_id, text_id)` of each row and the verified links `(a, b)` between set ids.
+    """`(doc_id, n_shingles, set_id, text_id, sketch)` of each row and the verified links `(a, b)` between set ids.
 
     The links join all sets that are reachable from each other; pairs within what is already joined are not
     spelt out. `threshold` is above 0 and at most 1.
@@ -597,24 +635,29 @@ def similar_sets(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3,
     total = float(cost.sum())
     index = indexed(docs, n, bands, spark.sparkContext.broadcast(cost.astype(np.float32)),
                     max(1, math.ceil(total / BUCKET_ENTRIES)), clashing)
-    found = shared.stored(candidates(index), "candidates")
-    pairs = found.where("leader is null").select("a", "b").distinct()
-    cells = found.where("leader is not null").groupBy("leader", F.col("a").alias("set_id")).agg(
-        F.first("size").alias("size"), F.bit_or("role").alias("role"))
-    # One text of each class stands for it, whatever ids its rows have: only those of classes that met another.
+    found = shared.stored(candidates(index, int(spark.conf.get("spark.sql.shuffle.partitions"))), "candidates")
+    pairs = found.where("leader is null").select("a", "b")
+    cells = found.where("leader is not null").select("leader", F.col("a").alias("set_id"), "size", "role")
+    # One text of each class stands for it, whatever ids its rows have.
     classes = sets.where("n_shingles > 0").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
-    named = found.select(F.col("a").alias("set_id")).union(found.where("leader is null").select("b")).distinct()
-    wanted = classes.join(named, "set_id")
-    known = shared.stored(representatives(docs, wanted, n, clashing), "representatives")
-    sketches, texts = known.select("set_id", "size", "sketch"), known.select("set_id", "text")
-    stars = shared.stored(verified(likely(pairs, sketches, threshold), texts, n, threshold), "star-links")
+    named = found.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    sketches = shared.stored(sets.where("sketch is not null").select("set_id", F.col("n_shingles").alias("size"), "sketch").join(
+        named, "set_id", "left_semi").dropDuplicates(["set_id"]), "sketches")
+
+    def texts(rows: DataFrame) -> DataFrame:
+        """The texts of the sets of `rows` (`set_id`)."""
+        return texts_of(docs, classes.join(rows.distinct(), "set_id"), n, clashing)
+
+    stars = shared.stored(likely(pairs, sketches, threshold), "star-pairs")
+    star_texts = texts(stars.select(F.col("a").alias("set_id")).union(stars.select("b")))
+    stars = shared.stored(verified(stars, star_texts, n, threshold), "star-links")
     placed = cells.join(cc.components(stars).withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "leader", "set_id", "size", "role", F.coalesce("root", "set_id").alias("root"))
     placed = shared.stored(placed, "cells")
     split = placed.groupBy("leader").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("leader")
     tiles = tiled(placed.join(split, "leader"))
     near = shared.stored(may_link(tiles, sketches.select("set_id", "sketch"), threshold), "near")
-    return sets, stars.union(shared.stored(verified_tiles(near, texts, n, threshold), "tile-links"))
+    return sets, stars.union(shared.stored(verified_tiles(near, texts(near.select("set_id")), n, threshold), "tile-links"))
 
 
 def _has_map(kind: T.DataType) -> bool:
