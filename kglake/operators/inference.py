@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from kglake.functions import terms as t
 from kglake.functions import vocab as V
+from kglake.operators import reachability
 from kglake.plans import storage
 
 SCHEMA_PREDICATES = [V.RDFS_SUBCLASS, V.RDFS_SUBPROPERTY, V.RDFS_DOMAIN, V.RDFS_RANGE]
@@ -104,6 +105,13 @@ def superclass_types(triples: DataFrame, subclasses: DataFrame) -> DataFrame:
     return t.resource_triples(wider, "s", F.lit(V.RDF_TYPE), "dst")
 
 
+def superclass_types_by_labels(triples: DataFrame, hierarchy: reachability.Index) -> DataFrame:
+    """rdfs9 from the labels of the class hierarchy: only classes that have instances are looked up, and no pairs are stored."""
+    types = triples.where(t.predicate_matches(V.RDF_TYPE) & ~t.is_literal("o")).select("s", F.col("o").alias("src"))
+    wider = types.join(hierarchy.targets(types.select(F.col("src").alias("node"))), "src").select("s", "dst")
+    return t.resource_triples(wider, "s", F.lit(V.RDF_TYPE), "dst")
+
+
 def property_ranges(triples: DataFrame) -> DataFrame:
     return pairs(triples, RANGE_PREDICATES, "property", "range")
 
@@ -235,13 +243,17 @@ def symmetric_triples(triples: DataFrame) -> DataFrame:
 
 
 def transitive_triples(triples: DataFrame) -> DataFrame:
-    """rdfp4: paths of transitive properties."""
+    """rdfp4: paths of transitive properties, from labels of their edges."""
     resources = triples.where(~t.is_literal("o"))
     transitive = _typed_properties(triples, V.OWL_TRANSITIVE)
+    # No IRI has a space, so nodes of one property are told from those of another by what stands before it.
     edges = resources.join(transitive, resources.p == transitive.property, "left_semi").select(
-        "p", F.col("s").alias("src"), F.col("o").alias("dst")
-    )
-    return t.resource_triples(transitive_closure(edges, ["p"]), "src", "p", "dst")
+        F.concat_ws(" ", "p", "s").alias("src"), F.concat_ws(" ", "p", "o").alias("dst"))
+    index = reachability.build(edges)
+    found = index.targets(index.numbers.select("node"))
+    rows = found.select(
+        F.substring_index("src", " ", 1).alias("p"), F.substring_index("src", " ", -1).alias("s"), F.substring_index("dst", " ", -1).alias("o"))
+    return t.resource_triples(rows, "s", "p", "o")
 
 
 def functional_same_as(triples: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kglake.functions import terms as t
+from kglake.operators import reachability
 from kglake.plans import storage
 from kglake.sinks.triples import walk_as_triples
 
@@ -90,33 +91,23 @@ def require_at_least(nodes: DataFrame, minimum: int) -> DataFrame:
 
 
 def hierarchy_depth(triples: DataFrame, predicate: str) -> DataFrame:
-    """`(node, depth)`: most edges from a root, for child-to-parent triples.
+    """`(node, depth)`: most edges from a root, for child-to-parent triples; null for the nodes on cycles.
 
-    Round r settles the nodes whose parents are all settled, the last of them in round
-    r - 1. Each node settles once, so an edge is used once over the whole loop.
-    Nodes on a cycle, or below one, never settle and have a null depth.
+    A cycle counts as one node, so what lies below it has a depth. Cycles are only looked for in
+    what a walk from the roots down cannot settle.
     """
     folder = storage.shared_folder(triples.sparkSession)
     edges = storage.materialize(edges_of(triples, predicate), folder, "edges")
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    parents = storage.materialize(
-        edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("parents")), folder, "parents"
-    )
-    roots = nodes.join(parents, "node", "left_anti").select("node", F.lit(0).alias("depth"))
-    settled = storage.materialize(roots, folder, "depth-0")
-    depth_paths, use_paths, depth = [f"{folder}/depth-0"], [], 0
-    while not settled.isEmpty():
-        depth += 1
-        uses = settled.join(edges, settled.node == edges.dst).groupBy(F.col("src").alias("node")).agg(
-            F.count("*").alias("uses")
-        )
-        touched = storage.materialize(uses, folder, f"uses-{depth}")
-        use_paths.append(f"{folder}/uses-{depth}")
-        total = (
-            storage.read_tables(touched, use_paths).join(touched.select("node"), "node", "left_semi")
-            .groupBy("node").agg(F.sum("uses").alias("uses"))
-        )
-        ready = total.join(parents, "node").where(F.col("uses") == F.col("parents"))
-        settled = storage.materialize(ready.select("node", F.lit(depth).alias("depth")), folder, f"depth-{depth}")
-        depth_paths.append(f"{folder}/depth-{depth}")
-    return nodes.join(storage.read_tables(settled, depth_paths), "node", "left")
+    settled = storage.materialize(reachability.layers(edges, f"{folder}/settling"), folder, "settled")
+    # Whatever is on a cycle, or below one, waits for a node that waits.
+    waiting = storage.materialize(edges.join(settled.withColumnRenamed("node", "dst"), "dst", "left_anti"), folder, "waiting")
+    if not waiting.isEmpty():
+        components = storage.materialize(reachability.strong_components(waiting, f"{folder}/strong"), folder, "components")
+        inner = storage.materialize(reachability.condensed(edges, components), folder, "condensed")
+        settled = reachability.layers(inner, f"{folder}/condensed-settling").join(components, "node", "left_anti")
+        # A node whose only edge is a loop is in no edge between components.
+        nodes = nodes.join(components.select("node", F.lit(True).alias("cyclic")), "node", "left")
+        depth = nodes.join(settled, "node", "left")
+        return depth.select("node", F.when(F.col("cyclic").isNull(), F.coalesce("layer", F.lit(0))).alias("depth"))
+    return nodes.join(settled.withColumnRenamed("layer", "depth"), "node", "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kglake.functions import terms as t
 from kglake.functions import vocab as V
 from kglake.operators import catalog as cat
-from kglake.operators import horst, inference, paths, patterns, search, stats
+from kglake.operators import horst, inference, paths, patterns, reachability, search, stats
 from kglake.operators import results as res
 from kglake.plans import enhance, explore, storage
 from kglake.plans.void_job import void_stats
@@ -190,6 +190,32 @@ on_graph("class_hierarchy_depth", stats.class_hierarchy_depth, _depth_sql(V.RDFS
 on_graph(
     "property_hierarchy_depth", stats.property_hierarchy_depth, _depth_sql(V.RDFS_SUBPROPERTY)
 )
+# Each part follows the one that squares give, so chains run into cycles.
+_NEXT_PART = "(p_partkey * p_partkey + 7) % 97"
+
+
+@query(
+    "cyclic_hierarchy_depth",
+    f"with recursive e as (select distinct p_partkey as a, {_NEXT_PART} as b from part),"
+    " nodes as (select a as n from e union select b from e),"
+    " r(x, y) as (select a, b from e union select r.x, e.b from r join e on e.a = r.y),"
+    " looped as (select x from r where x = y),"
+    # A part has one next one, so a chain ends at a part without one or at a cycle.
+    " d(n, depth) as (select n, 0 from nodes where n not in (select a from e)"
+    " union all select e.a, case when e.b in (select x from looped) then 1 else d.depth + 1 end from d join e on e.b = d.n"
+    " where e.a not in (select x from looped)),"
+    " c(n, depth) as (select a, 1 from e where b in (select x from looped) and a not in (select x from looped)"
+    " union all select e.a, c.depth + 1 from c join e on e.b = c.n)"
+    f" select concat('{g.BASE}part/P', n) as node, coalesce(max(depth), -1) as depth from"
+    " (select * from d union all select * from c union all select x, null from looped) group by node",
+)
+def _(spark, d):
+    parts = g.read_table(spark, d, "part")
+    rows = parts.select(F.expr(g.PART).alias("s"), F.expr(f"concat('{g.BASE}part/P', {_NEXT_PART})").alias("o"))
+    depth = paths.hierarchy_depth(t.resource_triples(rows, "s", F.lit(g.VOCAB + "followedBy"), "o"), g.VOCAB + "followedBy")
+    return depth.select("node", F.coalesce("depth", F.lit(-1)).alias("depth"))
+
+
 on_graph(
     "property_usage", stats.property_usage,
     "select p as property, count(*) as n from triples group by p",
@@ -461,10 +487,16 @@ on_graph(
     f"select distinct {_resource('t.o', _A, 'd.o')} from triples t join triples d on d.s = t.p"
     f" and d.p = '{V.RDFS_RANGE}' where t.o_kind <> 'literal'",
 )
-on_graph(
-    "superclass_types", lambda T: inference.as_set(inference.superclass_types(T, inference.subclass_closure(T))),
+_SUPERCLASS_SQL = (
     _SC + f"select distinct {_resource('t.s', _A, 'sc.dst')} from triples t join sc on sc.src = t.o"
-    f" where t.p = '{V.RDF_TYPE}'",
+    f" where t.p = '{V.RDF_TYPE}'"
+)
+on_graph(
+    "superclass_types", lambda T: inference.as_set(inference.superclass_types(T, inference.subclass_closure(T))), _SUPERCLASS_SQL,
+)
+on_graph(
+    "superclass_types_by_labels", lambda T: inference.as_set(inference.superclass_types_by_labels(
+        T, reachability.build(inference.pairs(T, V.RDFS_SUBCLASS)))), _SUPERCLASS_SQL,
 )
 
 

@@ -237,3 +237,30 @@ def test_enhancement_and_summary_jobs_may_run_again(spark, tmp_path):
         assert "http://e.org/" in [r.o for r in triples.where(F.col("p") == V.VOID + "vocabulary").collect()]
         assert void_job.write_graph_void(catalog, "g") == f"{tmp_path}/g_v2_analysis/void"
     assert not [p.name for p in (tmp_path / "g_v2_analysis").iterdir() if p.name.endswith((".temp", ".old"))]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_are_found_by_keys(spark):
+    """Every ending and every piece of every name, by any index, equals a comparison of all names with all texts; no nested loop."""
+    from kglake.operators import search
+
+    names = ["http://e/a#Size", "http://e/b#size", "Größe", "ab", "", "http://e/very/long/name#withAnEndingOfManyLetters", "a://#"]
+    void = spark.createDataFrame([(f"g{k % 3}", "1", "class" if k % 2 else "property", x, 1) for k, x in enumerate(names)],
+                                 "graph string, version string, kind string, item string, triples long")
+    texts = sorted({x[k:] for x in names for k in range(len(x) + 1)} | {x[2:5] for x in names} | {"no such", "SIZE", "#S"})
+    items = search.items_frame(spark, [("any", x) for x in texts])
+    for index, lengths, matches, exactly in (
+            (search.ending_index, search.ENDING_LENGTHS, str.endswith, search.t.ends_with_item),
+            (search.piece_index, search.PIECE_LENGTHS, str.__contains__, search.t.contains_item)):
+        want = {(x, text) for x in names for text in texts if matches(x, text)}
+        stored = index(search._names(void))
+        for source in (index, stored):
+            met = search._met(search._names(void), items, source, lengths, exactly)
+            rows = [(r.item, r.pattern) for r in met.collect()]
+            assert set(rows) == want and len(rows) == len(want)
+    catalog = spark.createDataFrame([("g0", "1", "/g0", True)], "dir_name string, version string, graph_dir string, is_latest boolean")
+    plan = plan_of(search.find_graphs(void, catalog, search.items_frame(spark, [("any", "ize"), ("property", "#Size")])))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
