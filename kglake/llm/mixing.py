@@ -1,6 +1,6 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
-A source's documents lie on one line per shard, in an order seeded by a hash of the document id, and the line is
+A source's documents lie on one line per shard, in an order seeded by a hash of the document's id and text, and the line is
 tiled by blocks of `block_words` words; a line read again and again goes round like a circle. Blocks go to
 sources by highest quotients `target / (2k + 1)`, and a source's blocks to its shards by the same rule over the
 shards' words. The seed picks the block at which a shard's reading starts; as the line's order is random, the
@@ -28,7 +28,7 @@ def _number(digest: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3) -> DataFrame:
-    """`source, sid, source_size, target, capped`, one row per source of `sizes` (`source, size`).
+    """`source, sid, source_size, source_rows, capped, target`, one row per source of `sizes` (`source, size`).
 
     Sources by code point, null last, weigh `weights` in turn and share all words. A target stops at
     `max_repeats` times its source's size and the excess goes to the others by weight: the common rate per
@@ -36,7 +36,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     """
     by_name = W.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("sid") % len(weights) + 1).cast("int"))
-    sources = (sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = (sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
                .withColumn("sid", (F.row_number().over(by_name) - 1).cast("long"))
                .withColumn("weight", weight.cast("long")).withColumn("most", F.col("source_size") * max_repeats))
     filling = W.orderBy(F.col("most") / F.col("weight"), "sid").rowsBetween(W.unboundedPreceding, -1)
@@ -46,7 +46,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     final = F.first(F.when(~F.col("capped"), F.col("rate")), ignorenulls=True).over(
         W.orderBy(F.col("most") / F.col("weight"), "sid").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     return rated.select(
-        "source", "sid", "source_size", "capped",
+        "source", "sid", "source_size", "source_rows", "capped",
         F.when(F.col("capped"), F.col("most").cast("double")).otherwise(final * F.col("weight")).alias("target"))
 
 
@@ -79,20 +79,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     """How many words of each row of `docs` the mixture takes.
 
     Returns `doc_id, source, size, source_size, target, taken` and where: `passes` whole readings, and the words
-    `[from1, to1)` and `[from2, to2)` of one more, numbered from 0 (both empty if none). Rows without words
+    `[from1, to1)` and `[from2, to2)` of one more, numbered from 0 (both empty if none); `h` names id and text. Rows without words
     take none; a null `doc_id` or `source` is a value like others. Repeated rows count each. Columns
     beyond `doc_id, text, source` are ignored. An empty table gives an empty result.
     """
     sizes = shared.stored(docs.select(
         "doc_id", "source", shared.word_count(F.col("text")).alias("size"),
-        _seeded(seed, F.col("doc_id")).alias("h")), "mixing")
+        _seeded(seed, F.col("doc_id"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("h")), "mixing")
     targets = shared.stored(source_targets(sizes, weights, max_repeats), "mixing-targets")
     open_targets = targets.where("not capped").withColumnRenamed("target", "votes")
     seats = F.round(F.sum("votes").over(W.partitionBy()) / block_words).cast("long")
     blocks = apportion(open_targets.select(F.lit(0).alias("one"), "sid", "votes", seats.alias("seats")),
                        ["one"], "sid", "seats").select("sid", F.col("quota").alias("blocks"))
-    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
-    placed = sizes.join(targets.select(F.col("source").alias("s"), "sid", "source_size", "target", "capped"),
+    # Rows count like words, so that very many rows without words have shards too.
+    shards = F.greatest(F.lit(1), F.ceil((F.col("source_size") + F.col("source_rows")) / shard_words)).cast("long")
+    placed = sizes.join(targets.select(F.col("source").alias("s"), "sid", "source_size", "source_rows", "target", "capped"),
                         F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn(
         "shard", F.pmod(_number(F.col("h")), shards))
     cells = placed.groupBy("sid", "shard", "capped").agg(F.sum("size").alias("votes"))
@@ -118,7 +119,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     return parts.select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("passes") * F.col("size") + F.col("to1") - F.col("from1") + F.col("to2")).alias("taken"),
-        "passes", "from1", "to1", "from2", "to2")
+        "passes", "from1", "to1", "from2", "to2", "h")
 
 
 def mixture_sql(weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3, block_words: int = 16,
@@ -142,8 +143,8 @@ def mixture_sql(weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3, block_
 
     return f"""
 with sizes as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
-    md5(concat('{seed}:', coalesce(doc_id::varchar, ''))) as h from documents),
-named as (select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as sid
+    md5(concat('{seed}:', coalesce(doc_id::varchar, ''), ':', md5(coalesce(text, '')))) as h from documents),
+named as (select source, sum(size)::bigint as source_size, count(*) as source_rows, row_number() over (order by source nulls last) - 1 as sid
     from sizes group by source),
 weighted as (select *, {weight}::bigint as weight, source_size * {max_repeats} as most from named),
 rated as (select *, (sum(source_size) over () - coalesce(sum(most) over filling, 0))::double
@@ -156,7 +157,7 @@ open_targets as (select 0 as one, sid, target as votes,
     round(sum(target) over () / {block_words})::bigint as seats from targets where not capped),
 {seats('open_targets', 'one', 'sid', 'seats', 'blocks')},
 placed as (select s.*, t.sid, t.source_size, t.target, t.capped,
-    ('0x' || substr(h, 1, 8))::bigint % greatest(1, ceil(t.source_size / {shard_words}))::bigint as shard
+    ('0x' || substr(h, 1, 8))::bigint % greatest(1, ceil((t.source_size + t.source_rows) / {shard_words}))::bigint as shard
     from sizes s join targets t on s.source is not distinct from t.source),
 cells as (select sid, shard, capped, sum(size)::bigint as votes from placed group by all),
 open_cells as (select c.*, b.quota as blocks from cells c join blocks b using (sid) where not capped),
@@ -174,35 +175,34 @@ parts as (select *, greatest(0, least(size, begins - ahead)) as from1,
     greatest(0, least(size, begins + arc - passes * line - ahead)) as to1, 0::bigint as from2,
     greatest(0, least(size, begins + arc - passes * line - line - ahead)) as to2 from lined)
 select doc_id, source, size, source_size, target, (passes * size + to1 - from1 + to2)::bigint as taken,
-    passes::bigint as passes, from1::bigint as from1, to1::bigint as to1, from2, to2::bigint as to2 from parts"""
+    passes::bigint as passes, from1::bigint as from1, to1::bigint as to1, from2, to2::bigint as to2, h from parts"""
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """`docs` as the mixture reads them: a row for each whole reading and one for each part, with `docs`'s columns.
 
-    Rows without words are not read. A part keeps its words and the white space after them. `n_chars`, where present, is the new text's.
+    Rows without words are not read. A part keeps its words and the white space after them. `n_chars`, where present, is the new
+    text's; all other columns keep their values, whatever their names.
     """
-    taken = mix(docs, **options).select(
-        "doc_id", "source", "size", "passes", F.array(
-            F.struct(F.col("from1").alias("a"), F.col("to1").alias("b")),
-            F.struct(F.col("from2").alias("a"), F.col("to2").alias("b"))).alias("parts"))
-    size = shared.word_count(F.col("text"))
-    # Rows of one id, source and size are alike for the mixture: they are matched by their number.
-    alike = W.partitionBy("doc_id", "source", "size")
-    numbered = docs.withColumn("size", size).withColumn("nth", F.row_number().over(alike.orderBy(F.xxhash64("text"))))
-    picked = taken.withColumn("nth", F.row_number().over(alike.orderBy("passes", "parts")))
-    joined = numbered.alias("d").join(
-        picked.alias("t"), F.expr("d.doc_id <=> t.doc_id and d.source <=> t.source and d.size = t.size and d.nth = t.nth"))
-    reads = F.concat(
-        F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("t.size").alias("b")), F.col("t.passes").cast("int")),
-        F.filter("t.parts", lambda p: p["a"] < p["b"]))
-    reads = F.when(F.col("t.size") > 0, reads)
-    rows = joined.select(*[F.col(f"d.{c}") for c in docs.columns], F.col("t.size").alias("__size"), F.explode(reads).alias("__read"))
-    words = F.regexp_extract_all(F.col("text"), F.lit(shared.WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    part = F.array_join(F.slice(
-        words, (F.col("__read.a") + 1).cast("int"), (F.col("__read.b") - F.col("__read.a")).cast("int")), "")
-    text = F.when((F.col("__read.a") == 0) & (F.col("__read.b") == F.col("__size")), F.col("text")).otherwise(part)
-    out = rows.withColumn("text", text)
+    h, part_source, nth, size, reads, read = shared.unused(docs.columns, "h", "part_source", "nth", "words", "reads", "read")
+    taken = mix(docs, seed=seed, **options)
+    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b")), F.col("passes").cast("int"))
+    parts = F.filter(F.array(F.struct(F.col("from1").alias("a"), F.col("to1").alias("b")),
+                             F.struct(F.col("from2").alias("a"), F.col("to2").alias("b"))), lambda p: p["a"] < p["b"])
+    # Rows of one id, text and source are alike for the mixture: they are matched by their number, which spreads them too.
+    alike = W.partitionBy("h", "source").orderBy("passes", "from1", "to1", "from2", "to2")
+    picked = taken.where("size > 0").select(
+        F.col("h").alias(h), F.col("source").alias(part_source), F.col("size").alias(size), F.concat(whole, parts).alias(reads),
+        F.row_number().over(alike).alias(nth))
+    text = F.col("text").cast("string")
+    named = docs.withColumn(h, _seeded(seed, F.col("doc_id"), F.md5(F.coalesce(text, F.lit("")))))
+    numbered = named.withColumn(nth, F.row_number().over(W.partitionBy(h, "source").orderBy(h)))
+    joined = numbered.join(picked, [h, nth]).where(F.col("source").eqNullSafe(F.col(part_source)))
+    rows = joined.select(*docs.columns, size, F.explode(reads).alias(read))
+    found = F.regexp_extract_all(text, F.lit(shared.WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    a, b = F.col(read)["a"], F.col(read)["b"]
+    part = F.array_join(F.slice(found, (a + 1).cast("int"), (b - a).cast("int")), "")
+    out = rows.withColumn("text", F.when((a == 0) & (b == F.col(size)), text).otherwise(part))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)

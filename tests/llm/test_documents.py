@@ -102,6 +102,33 @@ def test_mixed_documents_hold_the_words_taken(docs):
     assert got == {k: v for k, v in taken.items() if v}
 
 
+def test_mixed_documents_keep_every_other_column(spark, texts):
+    """Columns of any name keep their values, also where ids are null or repeat."""
+    names = ("size", "nth", "h", "read", "reads", "words", "passes", "from1", "part_source", "at", "__size", "no_id", "__id")
+    rows = [(None if i % 4 == 0 else i % 7, t, s, f"{i}") for i, t, s in texts]
+    frame = spark.createDataFrame(rows + rows[:9], "doc_id long, text string, source string, mine string")
+    frame = frame.withColumns({name: F.concat(F.lit(name), F.col("mine")) for name in names}).repartition(3)
+    own = {r[3]: r for r in rows}
+    total = Counter()
+    for r in mixing.mixed_documents(frame).collect():
+        assert all(r[name] == name + r.mine for name in names)
+        assert (r.doc_id, r.source) == (own[r.mine][0], own[r.mine][2]) and r.text in (own[r.mine][1] or "")
+        total[r.doc_id, r.source] += len(WORD.findall(r.text))
+    taken = Counter()
+    for r in mixing.mix(frame).collect():
+        taken[r.doc_id, r.source] += r.taken
+    assert total == +taken
+
+
+def test_shards_split_null_ids_and_rows_without_words(spark):
+    """Rows of one id, or without words, lie on many shards: only equal texts of one id share a place."""
+    rows = [(None, f"a{k} b" if k % 2 else " ") for k in range(400)]
+    frame = spark.createDataFrame([(i, t + " " * (k % 50), "s") for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string")
+    got = mixing.mix(frame, shard_words=20)
+    per_shard = got.groupBy(F.pmod(F.conv(F.substring("h", 1, 8), 16, 10).cast("long"), F.lit(40))).count().collect()
+    assert len(per_shard) > 25 and max(r[1] for r in per_shard) < 60
+
+
 def test_mixing_edge_tables(empty_docs, repeated_docs):
     assert mixing.mix(empty_docs).count() == 0
     rows = mixing.mix(repeated_docs).collect()
