@@ -108,13 +108,15 @@ def scan(spark: SparkSession, folder: str, files: DataFrame, end_id: int = END_I
         "open_from", F.coalesce(F.max(F.col("begin") + F.col("last_end") + 1).over(earlier), F.lit(0))).withColumn(
         "is_last", F.count(F.lit(1)).over(later) == 0)
     whole = found.select("file", "block", "at").join(placed, ["file", "block"])
-    ends = F.transform("at", lambda p: p + F.col("begin") + 1)
-    marks = F.concat(F.array("open_from"), ends, F.when(F.col("is_last"), F.array(
+    # Blocks are few and short as rows, however many documents they hold: they are dealt out before the documents appear.
+    dealt = whole.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "block")
+    ends = F.concat(F.transform("at", lambda p: p + F.col("begin") + 1), F.when(F.col("is_last"), F.array(
         F.col("begin") + F.col("n"))).otherwise(F.array().cast("array<bigint>")))
-    spans = F.transform(F.slice(marks, F.lit(2), F.size(marks)), lambda m, i: F.struct(
-        (F.col("ended") + i).alias("ordinal"), F.element_at(marks, i + 1).alias("start"),
-        (m - F.element_at(marks, i + 1)).alias("n_tokens"), (i < F.col("ends")).alias("complete")))
-    return whole.select("file", F.explode(spans).alias("s")).select("file", "s.*").where("n_tokens > 0")
+    spans = F.arrays_zip(F.concat(F.array("open_from"), ends).alias("start"), ends.alias("stop"))
+    rows = dealt.select("file", "ended", "ends", F.posexplode(spans).alias("i", "s")).where("s.stop is not null")
+    return rows.select(
+        "file", (F.col("ended") + F.col("i")).alias("ordinal"), F.col("s.start").alias("start"),
+        (F.col("s.stop") - F.col("s.start")).alias("n_tokens"), (F.col("i") < F.col("ends")).alias("complete")).where("n_tokens > 0")
 
 
 def token_counts(docs: DataFrame, folder: str, tokenizer: str | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -384,6 +385,22 @@ def test_separator_scan(spark, docs, texts, tokenizer, empty_docs, repeated_docs
     assert separators.token_counts(repeated_docs, shared.new_folder(spark, "scan")).count() == 6
 
 
+def test_a_block_of_very_many_documents(spark, tmp_path):
+    """A million ids in one block, two of each document: the scan does not grow with the square of a block's documents."""
+    (tmp_path / "flat").mkdir()
+    ids = np.full(1 << 20, 7, separators.ID)
+    ids[1::2] = separators.END_ID
+    ids[-1] = 7  # the last document has no end
+    ids.tofile(tmp_path / "flat" / "a.ids")
+    began = time.time()
+    found = separators.scan(spark, f"file://{tmp_path}", spark.createDataFrame([("a.ids",)], "file string"))
+    got = found.agg(F.count("*"), F.min("n_tokens"), F.max("n_tokens"), F.sum("n_tokens"), F.sum((~F.col("complete")).cast("int")),
+                    F.countDistinct("ordinal"), F.max("ordinal"), F.sum("start")).first()
+    n = 1 << 19
+    assert tuple(got) == (n, 2, 2, 1 << 20, 1, n, n - 1, n * (n - 1))
+    assert time.time() - began < 60
+
+
 def test_scan_reports_an_unfinished_document(spark):
     folder = shared.new_folder(spark, "scan")
     fs, root = shared.file_system(folder)
