@@ -189,7 +189,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
 
     schema = "vec_id long, v array<float>, lists array<int>"
     posted = shared.stored(rows.select("vec_id", "v").mapInArrow(on_lists(False), schema), "posted")
-    asked = rows.where("asks").select("vec_id", "v").mapInArrow(on_lists(True), schema)
+    asked = shared.stored(rows.where("asks").select("vec_id", "v").mapInArrow(on_lists(True), schema), "asked")
     # Lists fill parts of bounded size in turn; a list beyond that has parts of its own.
     sizes = dict(posted.select(F.explode("lists").alias("list")).groupBy("list").count().collect())
     spans, base, room = [], 0, PART_VECTORS
@@ -205,14 +205,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
             base, room = base + 1, PART_VECTORS
         spans.append((c, base, 1))
         room -= n
-    blocks = max(1, math.ceil(dims["q"] / QUERY_BLOCK))
     table = F.broadcast(spark.createDataFrame(spans, "list int, base int, parts int"))  # a row per centroid
+    on_part = asked.select("vec_id", "v", F.explode("lists").alias("list")).join(table, "list").select(
+        "vec_id", "v", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("parts") - 1)).alias("part")).distinct()
+    # A part is copied for each block of the queries that read it, not of all; one that no query reads stays where it is.
+    loads = shared.stored(on_part.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks")), "loads")
+    asks = on_part.join(loads, "part").select("vec_id", "v", "part", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"))
     base_part = posted.select("vec_id", "v", F.explode("lists").alias("list")).join(table, "list").select(
-        "vec_id", "v", (F.col("base") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("part")).distinct()
-    data = base_part.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asks = asked.select("vec_id", "v", F.explode("lists").alias("list")).join(table, "list").select(
-        "vec_id", "v", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("parts") - 1)).alias("part")).distinct(
-    ).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+        "vec_id", "v", (F.col("base") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("part"))
+    data = base_part.join(loads, "part").distinct().select(
+        "vec_id", "v", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         return best_of(left, right, k)

@@ -155,18 +155,14 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, steps: int = EM_STEPS) ->
     return rates, good, posterior
 
 
-def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """`docs` with `MEASURES`, the votes as `vote_<rule>`, `base_failed`, `p_quality` and `kept`.
+def _voted(docs: DataFrame) -> DataFrame:
+    return measure(docs).select("*", *[v.alias(f"vote_{k}") for k, v in votes().items()])
 
-    A null text is an empty one: it fails the base rule and no other rule says anything of it. Repeated rows
-    are judged each. Columns of `docs` with those names are replaced. An empty table gives an empty result.
-    """
-    rules = votes()
-    names = [f"vote_{name}" for name in rules]
-    added = {*MEASURES, *names, "base_failed", "p_quality", "kept"}
-    plain = docs.select(*[c for c in docs.columns if c not in added])
-    measured = shared.stored(measure(plain).select("*", *[v.alias(f"vote_{k}") for k, v in rules.items()]), "quality")
-    found = measured.groupBy(*names).count().orderBy(*names).collect()  # at most 3 ** rules patterns
+
+def _verdicts(measured: DataFrame, voted: DataFrame, threshold: float) -> DataFrame:
+    """`measured` with `base_failed`, `p_quality` and `kept`, by the beliefs that the votes of `voted` lead to."""
+    names = [f"vote_{name}" for name in votes()]
+    found = voted.groupBy(*names).count().orderBy(*names).collect()  # at most 3 ** rules patterns
     patterns = np.array([row[:-1] for row in found], np.int64).reshape(-1, len(names))
     _, _, posterior = estimate(patterns, np.array([row[-1] for row in found], float))
     code = sum((F.col(name) * 3 ** k for k, name in enumerate(names)), F.lit(0))
@@ -177,3 +173,26 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     return (measured.withColumn("code", code.cast("int")).join(F.broadcast(table), "code").drop("code")
             .withColumn("base_failed", failed)
             .withColumn("kept", ~failed & (F.col("p_quality") >= threshold)))
+
+
+def judge(docs: DataFrame, threshold: float = 0.5, with_text: bool = True) -> DataFrame:
+    """`docs` with `MEASURES`, the votes as `vote_<rule>`, `base_failed`, `p_quality` and `kept`.
+
+    A null text is an empty one: it fails the base rule and no other rule says anything of it. Repeated rows
+    are judged each. Columns of `docs` with those names are replaced. An empty table gives an empty result. Rows are stored with
+    their measures; without `with_text` their texts are not, nor returned.
+    """
+    added = {*MEASURES, *[f"vote_{name}" for name in votes()], "base_failed", "p_quality", "kept"}
+    measured = _voted(docs.select(*[c for c in docs.columns if c not in added]))
+    measured = shared.stored(measured if with_text else measured.drop("text"), "quality")
+    return _verdicts(measured, measured, threshold)
+
+
+def kept_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of `docs` that `judge` keeps, with all their columns as they are, whatever their names.
+
+    Texts are measured twice, once for the votes and once for the verdicts, so no text is stored.
+    """
+    voted = shared.stored(_voted(docs.select("text")).select(*[f"vote_{name}" for name in votes()]), "votes")
+    measured = _voted(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    return _verdicts(measured, voted, threshold).where("kept").select("row.*")

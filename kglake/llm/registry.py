@@ -76,7 +76,7 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_weak_supervision_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base measures and the verdict of the rules together."""
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.judge(docs).select(
+    return quality.judge(docs, with_text=False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "p_quality")
 

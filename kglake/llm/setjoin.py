@@ -686,7 +686,9 @@ def survivors(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(3, 4))
     order = F.struct(*[c.alias(f"k{k}") for k, c in enumerate([doc_id.isNull(), doc_id, *others])])
     words = F.coalesce(text.rlike(shared.WORD), F.lit(False))
     keyed = docs.where(words).withColumns({name: text_id(text), second: F.xxhash64(F.lit(1), text)})
-    kept = keyed.groupBy(name, second).agg(F.min_by(F.struct(*docs.columns), order).alias(row)).join(first, name, "left_semi")
+    # With both names the texts stay where the grouping has put them.
+    first = keyed.select(name, second).distinct().join(first, name, "left_semi")
+    kept = keyed.groupBy(name, second).agg(F.min_by(F.struct(*docs.columns), order).alias(row)).join(first, [name, second], "left_semi")
     return kept.select(*[F.col(row)[c].alias(c) for c in docs.columns]).union(docs.where(~words))
 
 

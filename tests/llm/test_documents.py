@@ -176,6 +176,17 @@ def test_quality_verdicts_and_edge_tables(spark, docs, texts, empty_docs, repeat
     assert quality.judge(repeated_docs).count() == 6
 
 
+def test_kept_documents_are_those_judged_kept(docs):
+    """Columns named like measures keep their values, and no text is needed to judge."""
+    own = docs.withColumn("n_words", F.lit("mine")).withColumn("row", F.lit("r")).withColumn("vote_letters", F.col("doc_id"))
+    kept = quality.kept_documents(own)
+    assert kept.columns == own.columns
+    rows = kept.collect()
+    want = {r.doc_id for r in quality.judge(docs.select("doc_id", "text"), with_text=False).where("kept").collect()}
+    assert {r.doc_id for r in rows} == want and len(rows) == len(want) > 0
+    assert all(r.n_words == "mine" and r.kept == "k" and r.vote_letters == r.doc_id for r in rows)
+
+
 def test_estimate_finds_the_accuracies():
     r = np.random.default_rng(1)
     good = r.random(6000) < 0.8
