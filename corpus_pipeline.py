@@ -10,7 +10,7 @@ from kglake.llm import mixing, packing, private, quality, setjoin, shared
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose rules together speak for quality; null, empty and short texts go."""
     shared.ship_package(spark)
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
