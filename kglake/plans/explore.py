@@ -46,7 +46,10 @@ def explore(taxonomy: DataFrame, others: DataFrame, super_taxon: str, minimum: i
         paths.require_at_least(taxa, minimum)
     graph = taxonomy.unionByName(others).unionByName(walk_as_triples(taxa, super_taxon))
     columns = ["pmid", "pmidTitle", "compound", "cousinId"]
-    found = [patterns.bgp(graph, article_patterns(term), columns) for term in SUBJECT_TERMS]
+    # Both queries share all patterns but one: the graph is scanned once for all of them.
+    queries = [article_patterns(term) for term in SUBJECT_TERMS]
+    matches = patterns.match_all(graph, [p for query in queries for p in query])
+    found = [patterns.bgp(matches, query, columns) for query in queries]
     return storage.materialize(found[0].unionByName(found[1]), name="articles")
 
 

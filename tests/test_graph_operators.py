@@ -186,3 +186,31 @@ def test_rdfs_closure_with_extended_schema(spark, tmp_path):
     for row in [("tom", "Animal"), ("tom", "Thing"), ("ann", "Person")]:
         assert (row[0], V.RDF_TYPE, row[1]) in got
     assert ("text", V.RDF_TYPE, "Thing") not in got and ("Cat", V.RDFS_SUBCLASS, "Animal") in got
+
+
+def test_patterns_matched_in_one_scan(spark, tmp_path):
+    """Stored matches give what separate scans give; the graph is read once for all patterns, small sides cut large ones."""
+    facts = [f"{iri(f's{k}')} {iri('p')} {iri(f's{k % 7}')} ." for k in range(40)]
+    facts += [f'{iri(f"s{k}")} <{V.RDFS_LABEL}> "label {k % 5}" .' for k in range(40)] + [f"{iri('s3')} {iri('q')} {iri('s4')} ."] * 2
+    facts += [f"{iri('s4')} {iri('p')} {iri('s4')} .", f'{iri("s4")} {iri("q")} "text" .']
+    g = graph(spark, tmp_path, facts)
+    p, q = EX + "p", EX + "q"
+    queries = [
+        [("?a", p, "?b"), ("?c", q, "?b")], [("?a", p, "?b"), ("?b", V.RDFS_LABEL, "?l"), ("?c", V.RDFS_LABEL, "?l"), ("?c", q, "?d")],
+        [("?a", q, "?x"), ("?a", p, "?b"), ("?b", p, "?b")], [("?a", p, EX + "s1"), ("?a", V.RDFS_LABEL, t.Literal("label 1"))],
+        [("?a", "?r", "?b"), ("?b", q, "?c")], [(EX + "s3", q, "?b"), ("?b", p, "?c")],
+    ]
+    matches = patterns.match_all(g, [x for query in queries for x in query])
+    for query in queries:
+        for distinct in (True, False):
+            got = patterns.bgp(matches, query, distinct=distinct).collect()
+            assert sorted(map(tuple, got)) == sorted(map(tuple, patterns.bgp(g, query, distinct=distinct).collect()))
+    from kglake.plans import storage
+
+    stored = storage.materialize(g)
+    wanted = [x for query in queries for x in query]
+    assert patterns._tagged(stored, wanted)._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert matches.counts[("?c", q, "?b")] == 3
+    assert patterns._join_order([("?a", p, "?b"), ("?c", q, "?b")], matches.counts)[0] == ("?c", q, "?b")
+    plan = patterns.bgp(matches, queries[2])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
