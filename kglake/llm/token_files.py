@@ -87,10 +87,11 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
 def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Replace `file, part_start` of `rows` by `start`, the ids of all documents before; `files` are all rows written.
 
-    The prefix sum runs over one row per file.
+    The prefix sum runs over one row per file, in the order of the numbers in their names, which have more digits the more files there are.
     """
     sizes = files.groupBy("file").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("n"))
-    before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    number = F.regexp_extract("file", r"part-(\d+)[^/]*$", 1).cast("long")
+    before = W.orderBy(number, "file").rowsBetween(W.unboundedPreceding, -1)
     base = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     others = [c for c in rows.columns if c not in ("doc_id", "file", "part_start")]
     return rows.join(base, "file").select("doc_id", (F.col("base") + F.col("part_start")).alias("start"), *others)

@@ -14,6 +14,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ INDEX_SCHEMA = ("page_id long, url string, payload_digest string, record_type st
 READ_SCHEMA = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
                " refers_to long, payload binary")
 RECORD_ID = "urn:page:"
+ENCODED = "X-Target-URI-Encoding"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 256 << 20
 GAP_BYTES = 64 << 10
@@ -51,7 +53,11 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, payload_d
         ("Content-Length", str(len(block))),
     ]
     if url is not None:
-        fields.append(("WARC-Target-URI", " ".join(url.splitlines())))
+        # A field is one line. An address that is none is percent-encoded, which another field tells.
+        one_line = len(url.splitlines()) < 2 and url == url.strip()
+        fields.append(("WARC-Target-URI", url if one_line else quote(url, safe="")))
+        if not one_line:
+            fields.append((ENCODED, "percent"))
     if refers_to is not None:
         fields += [("WARC-Refers-To", f"<{RECORD_ID}{refers_to}>"), ("WARC-Profile", REVISIT_PROFILE)]
     head = "WARC/1.1\r\n" + "".join(f"{name}: {value}\r\n" for name, value in fields) + "\r\n"
@@ -73,7 +79,9 @@ def parse_record(raw: bytes) -> dict:
         text = fields.get(name, "").strip("<>").removeprefix(RECORD_ID)
         return int(text) if text else None
 
-    return {"page_id": page("WARC-Record-ID"), "url": fields.get("WARC-Target-URI"), "payload_bytes": size,
+    url = fields.get("WARC-Target-URI")
+    url = unquote(url) if ENCODED in fields else url
+    return {"page_id": page("WARC-Record-ID"), "url": url, "payload_bytes": size,
             "payload_digest": named, "record_type": fields["WARC-Type"], "refers_to": page("WARC-Refers-To"),
             "payload": payload if fields["WARC-Type"] == "response" else None}
 

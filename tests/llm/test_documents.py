@@ -375,6 +375,13 @@ def test_orc_tokens_round_trip(spark, docs, texts, tokenizer, tmp_path):
     assert "PushedFilters: [In(doc_id, [3,7])]" in found._jdf.queryExecution().toString()
 
 
+def test_files_of_tokens_go_by_their_numbers(spark):
+    """Names of more than five digits sort before shorter ones as text."""
+    rows = [(k, f"file:/x/part-{number:05d}-a1-c000.zstd.orc", 0, 10) for k, number in enumerate([2, 99999, 100000, 100001])]
+    frame = spark.createDataFrame(rows, "doc_id long, file string, part_start long, n_tokens long")
+    assert {r.doc_id: r.start for r in token_files.with_starts(frame, frame).collect()} == {0: 0, 1: 10, 2: 20, 3: 30}
+
+
 def test_orc_edge_tables(spark, empty_docs, repeated_docs, tmp_path):
     token_files.write_tokens(empty_docs, f"file://{tmp_path}/a")
     assert token_files.read_tokens(spark, f"file://{tmp_path}/a").count() == 0

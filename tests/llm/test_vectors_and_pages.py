@@ -89,6 +89,14 @@ def test_archive_round_trip(spark):
     assert warc.read_index(spark, folder).count() == len(rows)
 
 
+@pytest.mark.parametrize("url", ["http://a/b?c=%0A&d=é", "http://a/\r\nX: y", "a\nb", " http://a ", "", "x\u2028y%20", "\n", None])
+def test_addresses_come_back_unchanged(url):
+    raw = warc.record_bytes(7, url, b"<p>", warc.digest(b"<p>"), None, "2024-01-01T00:00:00Z")
+    head = raw.partition(b"\r\n\r\n")[0].decode()
+    assert all(len(line.splitlines()) == 1 for line in head.split("\r\n"))
+    assert warc.parse_record(raw)["url"] == url
+
+
 def test_archive_edge_tables(spark):
     schema = "page_id long, url string, html string"
     folder = shared.new_folder(spark, "warc")
