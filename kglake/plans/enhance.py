@@ -36,8 +36,10 @@ def schema_triples(triples: DataFrame) -> DataFrame:
     return triples.where(F.col("p").isin(wanted)).unionByName(widened.select(*triples.columns))
 
 
-def _per_property(pairs: DataFrame, value: str, used: DataFrame, column: str) -> DataFrame:
-    """The sorted values of each used property."""
+def _per_property(pairs: DataFrame, value: str, used: DataFrame, column: str, equal: DataFrame | None = None) -> DataFrame:
+    """The sorted values of each used property; those of `property` are also those of the ones that it has `replaced`."""
+    if equal is not None:
+        pairs = pairs.unionByName(pairs.join(equal, "property").select(F.col("replaced").alias("property"), value))
     rows = pairs.join(used, pairs.property == used.item, "left_semi")
     return rows.groupBy(F.col("property").alias("item")).agg(F.array_sort(F.collect_set(value)).alias(column))
 
@@ -49,9 +51,11 @@ def enhance_void(void_partition: DataFrame, triples: DataFrame, horst: bool = Fa
     `horst` the closure runs on all of them.
     """
     closure = owl.owl_horst_closure(triples) if horst else inference.rdfs_closure(schema_triples(triples))
+    # A property that equals another one has its ranges: the closure states them of the least of the equal ones.
+    equal = inference.pairs(closure, V.OWL_SAME_AS, "replaced", "property") if horst else None
     used = void_partition.where("kind = 'property'").select("item").distinct()
-    ranges = _per_property(inference.property_ranges(closure), "range", used, "ranges")
-    domains = _per_property(inference.property_domains(closure), "domain", used, "domains")
+    ranges = _per_property(inference.property_ranges(closure), "range", used, "ranges", equal)
+    domains = _per_property(inference.property_domains(closure), "domain", used, "domains", equal)
     none = F.array().cast("array<string>")
     enhanced = void_partition.join(domains, "item", "left").join(ranges, "item", "left")
     is_property = F.col("kind") == "property"

@@ -34,15 +34,19 @@ def _lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     return lines.where(~F.col("value").rlike(BLANK_LINE))
 
 
-def _fields(line: Column) -> Column:
-    """The seven fields of a statement, or null where the line is none.
+def _rewritten(lines: DataFrame) -> DataFrame:
+    """`lines` with `fields`: a statement as its seven fields with line feeds between them, which no line can contain.
 
-    A line is matched once: the match is rewritten to its fields with line feeds between them, which
-    no line can contain. Readers of statements and of rejects share this one condition.
+    Readers of statements and of rejects share `_is_statement`. The explode of one value keeps the match in a step of its own:
+    without it the optimizer copies the regular expression into every filter and column that asks for it.
     """
-    rewritten = F.regexp_replace(line, NTRIPLES_LINE, "$1\n$2\n$3\n$4\n$5\n$6\n$7")
-    statement = (F.instr(rewritten, "\n") > 0) & ~rewritten.rlike(BAD_ESCAPE)
-    return F.when(statement, F.split(rewritten, "\n"))
+    rewritten = F.regexp_replace("value", NTRIPLES_LINE, "$1\n$2\n$3\n$4\n$5\n$6\n$7")
+    return lines.select("*", F.explode(F.array(rewritten)).alias("fields"))
+
+
+def _is_statement() -> Column:
+    escapes = F.contains("fields", F.lit("\\")) & F.col("fields").rlike(BAD_ESCAPE)
+    return (F.instr("fields", "\n") > 0) & ~escapes
 
 
 def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes: str = "file") -> DataFrame:
@@ -52,11 +56,14 @@ def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes:
     file, so `blank_nodes="file"` qualifies them; "shared" keeps them as
     they are, for part files of one graph.
     """
-    rows = _lines(spark, paths).select("file_path", _fields(F.col("value")).alias("f")).where("f is not null")
+    rows = _rewritten(_lines(spark, paths)).where(_is_statement()).select("file_path", F.split("fields", "\n").alias("f"))
     f = [F.col("f")[i] for i in range(7)]
 
+    def unescaped(token):
+        return F.when(F.contains(token, F.lit("\\")), t.unescape_literal(token)).otherwise(token)
+
     def iri(token):
-        return t.unescape_literal(F.substr(token, F.lit(2), F.length(token) - 2))
+        return unescaped(F.substr(token, F.lit(2), F.length(token) - 2))
 
     def bnode(token):
         if blank_nodes == "shared":
@@ -71,7 +78,7 @@ def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes:
         F.when(s_is_iri, iri(f[0])).otherwise(bnode(f[0])).alias("s"),
         F.when(s_is_iri, t.IRI).otherwise(t.BNODE).alias("s_kind"),
         iri(f[1]).alias("p"),
-        F.when(f[2] != "", iri(f[2])).when(f[3] != "", bnode(f[3])).otherwise(t.unescape_literal(f[4])).alias("o"),
+        F.when(f[2] != "", iri(f[2])).when(f[3] != "", bnode(f[3])).otherwise(unescaped(f[4])).alias("o"),
         o_kind.alias("o_kind"),
         F.when(literal, datatype).alias("o_datatype"),
         F.when(literal & (f[5] != ""), f[5]).alias("o_lang"),
@@ -80,7 +87,7 @@ def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes:
 
 def ntriples_rejects(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Lines that are neither a statement, nor blank, nor a comment, with their file."""
-    return _lines(spark, paths).where(_fields(F.col("value")).isNull())
+    return _rewritten(_lines(spark, paths)).where(~_is_statement()).drop("fields")
 
 
 def read_triples_parquet(spark: SparkSession, *paths: str) -> DataFrame:

@@ -121,3 +121,17 @@ def test_one_latest_version_of_each_graph(spark):
     added = catalog.withColumn("version", F.explode(F.array(F.lit("2099-01"), F.lit("2099-02"))))
     registered = cat.register_version(catalog, added, "2099-03-01 00:00:00")
     assert [r.version for r in cat.latest_graphs(registered).collect()] == ["2099-02"]
+
+
+def test_a_line_is_matched_once(spark, tmp_path):
+    """The optimizer does not copy the line's regular expression into filters and columns."""
+    path = tmp_path / "lines.nt"
+    path.write_text('<http://e/s> <http://e/p> "a\\tb" .\nno statement\n<http://e/s> <http://e/p> "\\u12" .\n')
+    from kglake.sources import triples as readers
+
+    read = readers.read_ntriples(spark, f"file://{path}")
+    assert [r.o for r in read.collect()] == ["a\tb"]
+    assert [r.value for r in readers.ntriples_rejects(spark, f"file://{path}").select("value").collect()] == [
+        "no statement", '<http://e/s> <http://e/p> "\\u12" .']
+    for frame in (read, readers.ntriples_rejects(spark, f"file://{path}")):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("$7") == 1
