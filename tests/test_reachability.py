@@ -41,7 +41,6 @@ def random_edges(seed, nodes, count, forward):
 
 
 GRAPHS = {
-    "diamonds": {("d", "b"), ("d", "c"), ("b", "a"), ("c", "a"), ("e", "d"), ("e", "x"), ("y", "x"), ("f", "c"), ("f", "y")},
     "cycles": {("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("e", "d"), ("f", "a"), ("e", "g"), ("h", "h"), ("h", "f"), ("g", "i")},
     "acyclic": random_edges(1, 25, 60, True),
     "cyclic": random_edges(2, 25, 34, False),
