@@ -4,9 +4,9 @@ All rules are rows of one table, keyed by the predicate or the class that sets t
 composed into them. A round scans the facts once, joined with that table:
 
 * rules on one triple (rdfs2, 3, 7, 9, rdfp3, 8, 14) fire for new triples, and for known ones only under rules that
-  are new themselves;
-* rules on two triples (rdfp4, 15, 16) leave one row per triple with the node at which it meets another, and the two sides are
-  joined where one of them is new; functional properties (rdfp1, 2) are grouped by the same rows.
+  are new themselves; rules on predicates are composed over inverses too, so what one of them derives sets off none again;
+* rules on two triples (rdfp4, 15, 16) leave one stored row per triple with the node at which it meets another, and new rows are
+  joined with all of the other side, known ones with new ones only; functional properties (rdfp1, 2) are grouped by the same rows.
 
 What the schema alone entails (rdfs5, 11, rdfp9, 10, 12, 13) is derived when a round brings schema triples. Equality (rdfp6, 7, 11) is
 kept as representatives: when a round brings new links, known triples that mention a replaced node are rewritten and count as
@@ -35,6 +35,11 @@ SCHEMA_PREDICATES = inf.SCHEMA_PREDICATES + [
 VALUE = ["value", "value_kind", "value_datatype", "value_lang"]
 # Rules whose triple waits for another one; the rest derive from one triple.
 MEETING = ["path", "some", "some_class", "all", "all_class", "functional", "inverse_functional"]
+# Rules keyed by the predicate that derive from one triple, those of them that give it another predicate, and those that give types.
+SINGLE = ["super", "same", "inverse", "domain", "subject", "range"]
+TURNS = ["super", "same", "inverse"]
+TYPES = ["domain", "subject", "range", "superclass"]
+WAIT = ["family", "tag", "filler", "node", "side", "payload", "out"]
 RULE_COLUMNS = ["keyed_by", "key", "rule", "target", *VALUE]
 
 
@@ -75,6 +80,27 @@ def _entailed_by_schema(schema: DataFrame, classes: DataFrame, properties: DataF
     return _union(parts)
 
 
+def _over_inverses(supers: DataFrame, inverses: DataFrame) -> DataFrame | None:
+    """`src, dst, turned`: predicates that a triple of `src` with a resource as object also has, by a path with an inverse; none without inverses.
+
+    `turned` tells that subject and object change places. Paths within `supers` alone, which is closed, are left out.
+    """
+    inverses = storage.materialize(inverses.distinct(), name="inverses")
+    if inverses.isEmpty():
+        return None
+    ends = inverses.select(F.col("src").alias("dst")).distinct()
+    steps = inverses.withColumn("turn", F.lit(1)).unionByName(supers.join(ends, "dst", "left_semi").withColumn("turn", F.lit(0)))
+    sided = steps.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+        F.concat_ws(" ", "side", "src").alias("src"), F.concat_ws(" ", (F.col("side") + F.col("turn")) % 2, "dst").alias("dst"))
+    reached = inf.transitive_closure(sided.distinct()).where(F.col("src").startswith("0 ")).select(
+        F.expr("substr(src, 3)").alias("src"), F.expr("substr(dst, 3)").alias("dst"), F.col("dst").startswith("1 ").alias("turned"))
+    above = reached.join(supers.select(F.col("src").alias("dst"), F.col("dst").alias("super")), "dst").select(
+        "src", F.col("super").alias("dst"), "turned")
+    known = supers.withColumn("turned", F.lit(False))
+    every = reached.unionByName(above).distinct().where("turned or src <> dst")
+    return storage.materialize(every.join(known, ["src", "dst", "turned"], "left_anti"), name="over-inverses")
+
+
 def rules_of(schema: DataFrame, classes: DataFrame, properties: DataFrame) -> DataFrame:
     """`RULE_COLUMNS` of every rule instance of a schema: what sets it off, its target, and the value it gives or waits for."""
     null = F.lit(None).cast("string")
@@ -99,15 +125,16 @@ def rules_of(schema: DataFrame, classes: DataFrame, properties: DataFrame) -> Da
 
     value = [F.col(c) for c in VALUE]
     inverse = inf.pairs(schema, V.OWL_INVERSE_OF)
+    opposite = inverse.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    mirrored = marked(V.OWL_SYMMETRIC).select("src", F.col("src").alias("dst"))
+    supers = properties.where(can_be_predicate("dst") & (F.col("src") != F.col("dst")))
+    domains, ranges = (inf._widened(inf.pairs(schema, p), classes, properties) for p in (V.RDFS_DOMAIN, V.RDFS_RANGE))
+    over = _over_inverses(supers, _union([inverse, opposite, mirrored]).where(can_be_predicate("src") & can_be_predicate("dst")))
     has, some, every = (restrictions(filler) for filler in (V.OWL_HAS_VALUE, V.OWL_SOME_VALUES, V.OWL_ALL_VALUES))
     some, every = (frame.where(F.col("value_kind") != t.LITERAL) for frame in (some, every))
     parts = [
-        rows(properties.where(can_be_predicate("dst") & (F.col("src") != F.col("dst"))), "p", "src", "super", "dst"),
-        rows(inf._widened(inf.pairs(schema, V.RDFS_DOMAIN), classes, properties), "p", "src", "domain", "dst"),
-        rows(inf._widened(inf.pairs(schema, V.RDFS_RANGE), classes, properties), "p", "src", "range", "dst"),
-        rows(inverse.where(can_be_predicate("dst")), "p", "src", "inverse", "dst"),
-        rows(inverse.where(can_be_predicate("src")), "p", "dst", "inverse", "src"),
-        rows(marked(V.OWL_SYMMETRIC), "p", "src", "inverse", "src"),
+        rows(supers, "p", "src", "super", "dst"),
+        rows(domains, "p", "src", "domain", "dst"), rows(ranges, "p", "src", "range", "dst"),
         rows(marked(V.OWL_TRANSITIVE), "p", "src", "path", "src"),
         rows(marked(V.OWL_FUNCTIONAL), "p", "src", "functional", "src"),
         rows(marked(V.OWL_INVERSE_FUNCTIONAL), "p", "src", "inverse_functional", "src"),
@@ -116,14 +143,32 @@ def rules_of(schema: DataFrame, classes: DataFrame, properties: DataFrame) -> Da
         rows(some, "p", "property", "some", "target", value), rows(some, "c", "value", "some_class", "target", value),
         rows(every, "p", "property", "all", "target", value), rows(every, "c", "target", "all_class", "target", value),
     ]
+    if over is not None:
+        def types(turned: bool, of: DataFrame) -> DataFrame:
+            through = over.where(F.col("turned") == turned).select("src", F.col("dst").alias("via"))
+            return through.join(of.select(F.col("src").alias("via"), "dst"), "via").select("src", "dst")
+
+        parts += [
+            rows(over.where("not turned"), "p", "src", "same", "dst"), rows(over.where("turned"), "p", "src", "inverse", "dst"),
+            rows(types(False, domains).unionByName(types(True, ranges)), "p", "src", "subject", "dst"),
+            rows(types(False, ranges).unionByName(types(True, domains)), "p", "src", "range", "dst"),
+        ]
     return _union(parts).distinct()
 
 
+def set_off(rules: DataFrame, facts: DataFrame) -> DataFrame:
+    """Those of `rules` whose key is a predicate or a class in `facts`: few, however many properties a schema declares."""
+    types = facts.where(t.predicate_matches(V.RDF_TYPE) & ~t.is_literal("o")).select(F.lit("c").alias("keyed_by"), F.col("o").alias("key"))
+    keys = facts.select(F.lit("p").alias("keyed_by"), F.col("p").alias("key")).distinct().unionByName(types.distinct())
+    return rules.join(keys, ["keyed_by", "key"], "left_semi")
+
+
 def hits(facts: DataFrame, rules: DataFrame) -> DataFrame:
     """Facts joined with the rules they set off: a derived triple, or a row that waits for its other side.
 
-    `rules` has `rule_is_new`, `facts` has `fact_is_new`. Columns: the triple's, `family, tag, filler, node, side, payload, out`, and
-    `is_new`. One scan of the facts.
+    `rules` has `rule_is_new`, `facts` has `fact_is_new`. Columns: the triple's, `family, tag, filler, node, side, payload, out`,
+    `is_new`, and `turned, typed`: whether a rule of `TURNS` or `TYPES` gave the triple. Where facts have these two, rules that are not new
+    do not fire on what they lead to from the triple before. One scan of the facts.
     """
     type_of = t.predicate_matches(V.RDF_TYPE) & ~t.is_literal("o")
     keys = F.array(F.struct(F.lit("p").alias("keyed_by"), F.col("p").alias("key")),
@@ -131,19 +176,22 @@ def hits(facts: DataFrame, rules: DataFrame) -> DataFrame:
     rows = facts.select("*", F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("k")).select("*", "k.*").drop("k").join(
         rules, ["keyed_by", "key"])
     rule, resource = F.col("rule"), F.col("o_kind") != t.LITERAL
+    if "turned" in facts.columns:
+        done = (F.col("turned") & rule.isin(SINGLE)) | (F.col("typed") & (rule == "superclass"))
+        rows = rows.where(F.col("rule_is_new") | ~done)
     same_value = reduce(Column.__and__, (F.col(o).eqNullSafe(F.col(v)) for o, v in zip(t.OBJECT_COLUMNS, VALUE)))
-    fires = F.when(rule.isin("range", "inverse", "path", "some", "all", "functional", "inverse_functional"), resource).when(
+    fires = F.when(rule.isin("range", "inverse", "same", "subject", "path", "some", "all", "functional", "inverse_functional"), resource).when(
         rule == "has", same_value).otherwise(F.lit(True))
     null = F.lit(None).cast("string")
     turned = rule.isin("range", "inverse")
     subject = F.when(turned, F.col("o")).otherwise(F.col("s"))
     target = [F.col("target"), t.kind_of(F.col("target")), null, null]
     objects = [
-        F.when(rule == "super", F.col(o)).when(rule == "inverse", s).when(rule == "given", F.col(v)).otherwise(x)
+        F.when(rule.isin("super", "same"), F.col(o)).when(rule == "inverse", s).when(rule == "given", F.col(v)).otherwise(x)
         for o, v, s, x in zip(t.OBJECT_COLUMNS, VALUE, (F.col("s"), F.col("s_kind"), null, null), target)]
     triple = F.struct(
         subject.alias("s"), t.kind_of(subject).alias("s_kind"),
-        F.when(rule.isin("super", "inverse", "given"), F.col("target")).otherwise(F.lit(V.RDF_TYPE)).alias("p"),
+        F.when(rule.isin(*TURNS, "given"), F.col("target")).otherwise(F.lit(V.RDF_TYPE)).alias("p"),
         *(c.alias(name) for c, name in zip(objects, t.OBJECT_COLUMNS)))
 
     def meet(family: str, node: str, side: int, payload=null, filler=None, out=null) -> Column:
@@ -161,27 +209,32 @@ def hits(facts: DataFrame, rules: DataFrame) -> DataFrame:
              .when(rule == "inverse_functional", F.array(meet("inverse functional", "o", 0, "s"))))
     found = rows.where(fires).select(
         F.when(~rule.isin(MEETING), triple).alias("triple"), F.explode_outer(waits).alias("wait"),
-        (F.col("fact_is_new") | F.col("rule_is_new")).alias("is_new"))
-    return found.where("is_new or triple is null").select("triple.*", "wait.*", "is_new")
+        (F.col("fact_is_new") | F.col("rule_is_new")).alias("is_new"), rule.isin(TURNS).alias("turned"), rule.isin(TYPES).alias("typed"))
+    return found.where("is_new or triple is null").select("triple.*", "wait.*", "is_new", "turned", "typed")
 
 
-def entailed(found: DataFrame) -> DataFrame:
-    """Triples derived from stored `hits`."""
-    waiting = found.where("family is not null").select("family", "tag", "filler", "node", "side", "payload", "out", "is_new")
+def entailed(new: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Triples that stored rows of `WAIT` derive where they meet: `new` ones with all, `known` ones with new ones only."""
     keys = ["family", "tag", "filler", "node"]
-    pairs = waiting.where(~F.col("family").endswith("functional"))
-    left, right = (pairs.where(F.col("side") == k).select(*keys, *(F.col(c).alias(f"{c}_{k}") for c in ("payload", "out", "is_new")))
-                   for k in (0, 1))
-    met = left.join(right, keys).where("is_new_0 or is_new_1")
+
+    def side(frame: DataFrame, k: int) -> DataFrame:
+        pairs = frame.where((F.col("side") == k) & ~F.col("family").endswith("functional"))
+        return pairs.select(*keys, *(F.col(c).alias(f"{c}_{k}") for c in ("payload", "out")))
+
+    def functional(frame: DataFrame) -> DataFrame:
+        return frame.where(F.col("family").endswith("functional")).select(*keys, "payload")
+
+    met, values = side(new, 0).join(side(new, 1), keys), functional(new)
+    if known is not None:
+        met = _union([met, side(new, 0).join(side(known, 1), keys), side(known, 0).join(side(new, 1), keys)])
+        values = values.unionByName(functional(known).join(values.select(*keys).distinct(), keys, "left_semi"))
     is_path = F.col("family") == "path"
     by_two = t.resource_triples(
         met, "payload_0", F.when(is_path, F.col("tag")).otherwise(F.lit(V.RDF_TYPE)),
         F.when(is_path, F.col("payload_1")).when(F.col("family") == "some", F.col("tag")).otherwise(F.col("out_0")))
-    values = waiting.where(F.col("family").endswith("functional"))
-    least = values.groupBy(*keys).agg(F.min("payload").alias("least"), F.max("is_new").alias("touched")).where("touched")
+    least = values.groupBy(*keys).agg(F.min("payload").alias("least"))
     equal = values.join(least, keys).where("payload <> least")
-    return _union([found.where("family is null").select(*t.TRIPLE_COLUMNS), by_two,
-                   t.resource_triples(equal, "payload", F.lit(V.OWL_SAME_AS), "least")]).distinct()
+    return by_two.unionByName(t.resource_triples(equal, "payload", F.lit(V.OWL_SAME_AS), "least"))
 
 
 def _same_triple(a: DataFrame, b: DataFrame) -> Column:
@@ -236,61 +289,87 @@ def closure_in_rounds(triples: DataFrame) -> DataFrame:
         return storage.materialize(frame, folder, name)
 
     def numbered(frame: DataFrame, number: int) -> DataFrame:
-        return frame.select(*t.TRIPLE_COLUMNS, F.lit(number).alias("round"))
-
-    delta = keep(numbered(inf.as_set(triples), 0), "round-0")
+        return frame.select(*t.TRIPLE_COLUMNS, F.lit(number).alias("round"), "turned", "typed")
+
+    def given(frame: DataFrame) -> DataFrame:
+        return frame.select(*t.TRIPLE_COLUMNS, F.lit(False).alias("turned"), F.lit(False).alias("typed"))
+
+    links = keep(inf.pairs(triples, V.OWL_SAME_AS), "given-links")
+    if links.isEmpty():
+        links, first = None, triples
+    else:
+        links = keep(inf.connected_components(links), "links-0")
+        first = normal(triples, links).select(*t.TRIPLE_COLUMNS).unionByName(
+            t.resource_triples(links, "node", F.lit(V.OWL_SAME_AS), "representative"))
+    delta = keep(numbered(given(inf.as_set(first)), 0), "round-0")
     known: list[DataFrame] = []
     schema: list[DataFrame] = []
-    rules = links = None
-    if not delta.where(t.predicate_matches(V.OWL_SAME_AS) & ~t.is_literal("o")).isEmpty():
-        known, links, delta = _rewritten([], None, delta, keep, 0)
+    waits: list[DataFrame] = []  # rows of `WAIT` of known facts
+    rules = None
     schema_moved, number = False, 0
     while not delta.isEmpty():
         number += 1
         fresh_schema = keep(delta.where(is_schema()).select(*t.TRIPLE_COLUMNS), f"schema-{number}")
-        by_schema = []
-        fresh_rules = rules.limit(0) if rules is not None else None
+        by_schema, fresh = [], None
         if schema_moved or rules is None or not fresh_schema.isEmpty():
             schema.append(fresh_schema)
             rows = _union(schema)
             classes = _hierarchy(rows, V.RDFS_SUBCLASS, V.OWL_EQUIVALENT_CLASS)
             properties = _hierarchy(rows, V.RDFS_SUBPROPERTY, V.OWL_EQUIVALENT_PROPERTY)
-            by_schema = [_entailed_by_schema(rows, classes, properties, links)]
+            by_schema = [given(_entailed_by_schema(rows, classes, properties, links))]
             before, rules = rules, keep(rules_of(rows, classes, properties), f"rules-{number}")
-            fresh_rules = rules if before is None else keep(rules.subtract(before), f"fresh-rules-{number}")
-        found = [hits(delta.withColumn("fact_is_new", F.lit(True)), rules.withColumn("rule_is_new", F.lit(False)))]
+            fresh = keep(rules.subtract(before), f"fresh-rules-{number}") if known else None
+        old = rules if fresh is None else rules.subtract(fresh)
+        tagged = old.withColumn("rule_is_new", F.lit(False))
+        if fresh is not None:
+            tagged = tagged.unionByName(fresh.withColumn("rule_is_new", F.lit(True)))
+        meeting = F.col("rule").isin(MEETING)
+        found = [(delta.withColumn("fact_is_new", F.lit(True)), keep(set_off(tagged, delta), f"set-off-{number}"))]
         if known:
-            # Known facts meet the rules that are new, and those whose other side may be.
-            waiting = rules.where(F.col("rule").isin(MEETING)).subtract(fresh_rules).withColumn("rule_is_new", F.lit(False))
-            again = fresh_rules.withColumn("rule_is_new", F.lit(True)).unionByName(waiting)
-            found.append(hits(_union(known).withColumn("fact_is_new", F.lit(False)), again))
-        stored = keep(_union(found), f"hits-{number}")
-        candidates = keep(_union([entailed(stored), *by_schema]).select(*t.TRIPLE_COLUMNS).distinct(), f"candidates-{number}")
+            everything = _union(known).select(*t.TRIPLE_COLUMNS, F.lit(False).alias("fact_is_new"))
+            if not waits:  # a rewriting has changed them
+                again = keep(set_off(old.where(meeting).withColumn("rule_is_new", F.lit(False)), everything), f"waiting-{number}")
+                waits = [keep(hits(everything, again).select(*WAIT), f"known-waits-{number}")]
+            if fresh is not None and not fresh.isEmpty():
+                found.append((everything, keep(set_off(fresh.withColumn("rule_is_new", F.lit(True)), everything), f"late-{number}")))
+        new_waits = keep(_union([hits(facts, by.where(meeting)).select(*WAIT) for facts, by in found]), f"waits-{number}")
+        single = [hits(facts, by.where(~meeting)).select(*t.TRIPLE_COLUMNS, "turned", "typed") for facts, by in found]
+        candidates = _union([*single, given(entailed(new_waits, _union(waits) if waits else None)), *by_schema])
+        waits.append(new_waits)
+        flags = [F.max("turned").alias("turned"), F.max("typed").alias("typed")]
+        if not known:
+            # The first candidates are about as many as the facts: both meet in one grouping.
+            met = candidates.withColumn("seen", F.lit(False)).unionByName(delta.select(
+                *t.TRIPLE_COLUMNS, "turned", "typed", F.lit(True).alias("seen")))
+            fresh_facts = met.groupBy(*t.TRIPLE_COLUMNS).agg(*flags, F.max("seen").alias("seen")).where("not seen")
+        else:
+            candidates = keep(candidates.groupBy(*t.TRIPLE_COLUMNS).agg(*flags), f"candidates-{number}")
+            fresh_facts = unseen(candidates, [*known, delta])
         known.append(delta)
-        new = keep(numbered(unseen(candidates, known), number), f"round-{number}")
+        new = keep(numbered(fresh_facts, number), f"round-{number}")
         schema_moved = False
         if new.where(t.predicate_matches(V.OWL_SAME_AS) & ~t.is_literal("o") & (F.col("s") != F.col("o"))).isEmpty():
             delta = new
         else:
-            known, links, delta = _rewritten(known, links, new, keep, number)
+            known, links, delta = _rewritten(known, new, keep, number)
             schema = [keep(_union(known).where(is_schema()).select(*t.TRIPLE_COLUMNS), f"known-schema-{number}")]
-            schema_moved = True
-    return _union(known) if known else delta
+            schema_moved, waits = True, []
+    return _union(known).drop("turned", "typed") if known else delta.drop("turned", "typed")
+
 
+def _rewritten(known: list[DataFrame], new: DataFrame, keep, number: int):
+    """`known, links, delta` after new equalities: what they change counts as new, the rest of the known stays known.
 
-def _rewritten(known: list[DataFrame], links: DataFrame | None, new: DataFrame, keep, number: int):
-    """`known, links, delta` after new equalities: what they change counts as new, the rest stays known."""
-    everything = _union([*known, new.select(*t.TRIPLE_COLUMNS, "round")])
-    links = keep(inf.same_as_components(everything), f"links-{number}")
-    old = keep(normal(_union(known), links), f"normal-{number}") if known else None
-    fresh = normal(new, links).select(*t.TRIPLE_COLUMNS)
+    Only what changed is looked for among the rest; new triples that did not change are a set apart from the known as they are.
+    """
+    links = keep(inf.same_as_components(_union([*known, new])), f"links-{number}")
+    old = keep(normal(_union(known), links), f"normal-{number}")
+    fresh = keep(normal(new, links), f"fresh-{number}")
+    kept, same = (frame.where("not changed").drop("changed") for frame in (old, fresh))
     linked = t.resource_triples(links, "node", F.lit(V.OWL_SAME_AS), "representative")
-    candidates = [fresh, linked] + ([old.where("changed").select(*t.TRIPLE_COLUMNS)] if known else [])
-    candidates = keep(_union(candidates).distinct(), f"moved-{number}")
-    if not known:
-        return [], links, keep(candidates.withColumn("round", F.lit(number)), f"delta-{number}")
-    kept = old.where("not changed").select(*t.TRIPLE_COLUMNS, "round")
-    return [kept], links, keep(unseen(candidates, [kept]).withColumn("round", F.lit(number)), f"delta-{number}")
+    moved = keep(_union([linked, *(frame.where("changed").select(*t.TRIPLE_COLUMNS) for frame in (old, fresh))]).distinct(), f"moved-{number}")
+    moved = unseen(moved, [kept, same]).select("*", F.lit(number).alias("round"), F.lit(False).alias("turned"), F.lit(False).alias("typed"))
+    return [kept], links, same.unionByName(keep(moved, f"delta-{number}"))
 
 
 def owl_horst_closure(triples: DataFrame) -> DataFrame:
