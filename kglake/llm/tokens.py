@@ -42,6 +42,34 @@ def default_path() -> str:
     return public_tokenizers.path(DEFAULT_FILE)
 
 
+class Chunks(dict):
+    """Ids of chunks; a chunk that is not there is encoded when asked for, so a text is cut and looked up once."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.model = tokenizer.model.tokenize
+        self.cut = regex.compile(PIECE).findall
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        return array("I", [token.id for token in self.model(piece.encode().decode("latin-1").translate(LETTERS))]).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if word.isascii() and word.isalpha():  # one piece
+            ids = self._piece(chunk)
+        else:
+            pieces, found = self.pieces, []
+            for piece in self.cut(chunk):
+                known = pieces.get(piece)
+                if known is None:
+                    known = pieces[piece] = self._piece(piece)
+                found.append(known)
+            ids = b"".join(found)
+        self[chunk] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids as bytes; one per worker and tokenizer file."""
 
@@ -55,9 +83,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = special_as_text
         self.special = [] if special_as_text else [
             str(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cut = regex.compile(PIECE).findall
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.chunks = Chunks(self.tokenizer)
 
     @classmethod
     def of(cls, path: str, special_as_text: bool = False) -> "Encoder":
@@ -74,30 +100,11 @@ class Encoder:
             return b""
         if UNSAFE.search(text) or any(token in text for token in self.special):
             return self.whole(text)
-        found = CHUNK.findall(text)
-        try:
-            return b"".join(map(self.chunks.__getitem__, found))
-        except KeyError:
-            self._learn(found)
-            return b"".join(map(self.chunks.__getitem__, found))
-
-    def _learn(self, found: list[str]) -> None:
         if len(self.chunks) > MEMORY_CHUNKS:
-            self.chunks = {}
-        if len(self.pieces) > MEMORY_PIECES:
-            self.pieces = {}
-        chunks, pieces = self.chunks, self.pieces
-        cut, model = self.cut, self.tokenizer.model.tokenize
-        for chunk in found:
-            if chunk not in chunks:
-                ids = []
-                for piece in cut(chunk):
-                    known = pieces.get(piece)
-                    if known is None:
-                        known = pieces[piece] = array("I", [
-                            token.id for token in model(piece.encode().decode("latin-1").translate(LETTERS))]).tobytes()
-                    ids.append(known)
-                chunks[chunk] = b"".join(ids)
+            self.chunks = Chunks(self.tokenizer)
+        elif len(self.chunks.pieces) > MEMORY_PIECES:
+            self.chunks.pieces = {}
+        return b"".join(map(self.chunks.__getitem__, CHUNK.findall(text)))
 
 
 def encoded(texts, path: str, special_as_text: bool = False) -> Iterator[bytes]:

@@ -465,3 +465,17 @@ def test_pipeline_on_an_empty_table(spark, empty_docs):
     for name, stage in corpus_pipeline.STAGES:
         step = shared.stored(stage(spark, step, ""), name)
     assert step.count() == 0
+
+
+def test_a_chunk_is_encoded_when_it_is_first_asked_for(tokenizer):
+    """One look-up per chunk: a text with unknown chunks is not cut again, and known chunks are not looked through."""
+    from kglake.llm import tokens
+
+    encoder = tokens.Encoder(tokens.default_path(), False)
+    for text in ("plain words, don't stop", "plain  stop\n\n été 42 words", " 's'll x"):
+        assert encoder.encode(text) == encoder.whole(text)
+    asked = []
+    model = encoder.chunks.model
+    encoder.chunks.model = lambda piece: asked.append(piece) or model(piece)
+    assert encoder.encode("plain words new") == encoder.whole("plain words new")
+    assert len(asked) == 1
