@@ -173,7 +173,9 @@ def _rdfs_round(triples: DataFrame, schema: DataFrame, folder: str) -> DataFrame
         )
         subproperties = subproperty_closure(schema)
     subclasses = subclass_closure(schema)
-    effects = storage.materialize(_effects(schema, subclasses, subproperties), folder, "effects")
+    # Only effects of predicates that triples have are stored, however many properties a schema declares: so many fit a broadcast.
+    used = triples.select(F.col("p").alias("predicate")).distinct()
+    effects = storage.materialize(_effects(schema, subclasses, subproperties).join(used, "predicate", "left_semi"), folder, "effects")
     return as_set(_union([
         triples,
         _apply_effects(triples, effects),

@@ -214,3 +214,19 @@ def test_patterns_matched_in_one_scan(spark, tmp_path):
     assert patterns._join_order([("?a", p, "?b"), ("?c", q, "?b")], matches.counts)[0] == ("?c", q, "?b")
     plan = patterns.bgp(matches, queries[2])._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_effects_of_unused_properties_are_not_stored(spark, monkeypatch):
+    """Properties that no triple has stay out of the table that facts are joined with."""
+    from kglake.functions import terms as t
+    from kglake.functions import vocab as V
+    from kglake.operators import inference
+
+    stored = {}
+    keep = inference.storage.materialize
+    monkeypatch.setattr(inference.storage, "materialize", lambda df, folder=None, name="table": stored.setdefault(name, keep(df, folder, name)))
+    rows = [(f"http://e/p{k}", V.RDFS_DOMAIN, "http://e/C") for k in range(50)] + [("http://e/x", "http://e/p7", "http://e/y")]
+    facts = spark.createDataFrame(rows, "s string, p string, o string")
+    inference._rdfs_round(t.resource_triples(facts, "s", "p", "o"), t.resource_triples(facts.where(f"p = '{V.RDFS_DOMAIN}'"), "s", "p", "o"),
+                          inference.storage.shared_folder(spark)).count()
+    assert [r.predicate for r in stored["effects"].collect()] == ["http://e/p7"]
