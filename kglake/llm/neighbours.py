@@ -179,17 +179,19 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
                 else:
                     yield part, lists.homes(lists.lifted(x))
 
-    def on_lists(asked: bool):
+    def on_lists(spans: dict[int, tuple[int, int]] | None = None):
+        """The lists of each vector or, given the first part and the number of parts of each list, the parts that each query reads."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, homes in parts(batches, asked):
+            for part, homes in parts(batches, spans is not None):
+                if spans is not None:
+                    homes = [read_parts(h, spans) for h in homes]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([h.tolist() for h in homes], pa.list_(pa.int32()))],
-                    names=["vec_id", "v", "lists"])
+                    names=["vec_id", "v", "lists" if spans is None else "parts"])
         return run
 
     schema = "vec_id long, v array<float>, lists array<int>"
-    posted = shared.stored(rows.select("vec_id", "v").mapInArrow(on_lists(False), schema), "posted")
-    asked = shared.stored(rows.where("asks").select("vec_id", "v").mapInArrow(on_lists(True), schema), "asked")
+    posted = shared.stored(rows.select("vec_id", "v").mapInArrow(on_lists(), schema), "posted")
     # Lists fill parts of bounded size in turn; a list beyond that has parts of its own.
     sizes = dict(posted.select(F.explode("lists").alias("list")).groupBy("list").count().collect())
     spans, base, room = [], 0, PART_VECTORS
@@ -206,8 +208,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
         spans.append((c, base, 1))
         room -= n
     table = F.broadcast(spark.createDataFrame(spans, "list int, base int, parts int"))  # a row per centroid
-    on_part = asked.select("vec_id", "v", F.explode("lists").alias("list")).join(table, "list").select(
-        "vec_id", "v", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("parts") - 1)).alias("part")).distinct()
+    # A query has a row per part, not per list: a part holds very many lists.
+    asked = rows.where("asks").select("vec_id", "v").mapInArrow(
+        on_lists({c: (base, count) for c, base, count in spans}), "vec_id long, v array<float>, parts array<int>")
+    on_part = shared.stored(asked, "asked").select("vec_id", "v", F.explode("parts").alias("part"))
     # A part is copied for each block of the queries that read it, not of all; one that no query reads stays where it is.
     loads = shared.stored(on_part.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks")), "loads")
     asks = on_part.join(loads, "part").select("vec_id", "v", "part", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"))
@@ -226,6 +230,11 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def read_parts(lists: np.ndarray, spans: dict[int, tuple[int, int]]) -> np.ndarray:
+    """The parts, each once, that hold `lists`."""
+    return np.array(sorted({part for c in lists.tolist() for part in range(spans[c][0], sum(spans[c]))}), np.int32)
+
+
 def best_of(data: pa.Table, asks: pa.Table, k: int) -> pa.Table:
     """Each query's `k` best of the vectors of a part, by exact scores and then ids."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])

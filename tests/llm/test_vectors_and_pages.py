@@ -176,3 +176,14 @@ def test_page_edge_tables(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert Counter((x.page_id, x.n_chars == len(x.text)) for x in got.collect()) == {(1, True): 1, (2, True): 2, (None, True): 1}
     assert pages.main_texts(spark.createDataFrame([], schema), 60).count() == 0
+
+
+def test_a_query_reads_each_part_once():
+    """Parts of a query's lists are found before rows are copied: many lists in one part make one row."""
+    import numpy as np
+
+    from kglake.llm import neighbours
+
+    spans = {c: (0, 1) for c in range(200)} | {200: (1, 3)}
+    assert neighbours.read_parts(np.arange(200), spans).tolist() == [0]
+    assert neighbours.read_parts(np.array([3, 200]), spans).tolist() == [0, 1, 2, 3]
