@@ -8,8 +8,6 @@ distinct vote patterns and their counts, at most 3 to the power of the number of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,6 +26,8 @@ START = ((0.3, 0.6, 0.1), (0.01, 0.39, 0.6))
 PRIOR_GOOD = 0.8
 EM_STEPS = 100
 SMOOTHING = 1.0
+# Texts of a batch that are Python strings at a time.
+SLICE = 512
 
 
 def repeated_words(ids: np.ndarray, distinct: int, window: int = WINDOW) -> int:
@@ -72,19 +72,16 @@ def measure_text(text: str | None) -> tuple[int, ...]:
 def measure(docs: DataFrame) -> DataFrame:
     """`docs` with the `MEASURES` of each row's whole text; clashing columns of `docs` are replaced."""
     names = [c for c in docs.columns if c not in MEASURES]
-    schema = docs.select(*names).schema
-    for name in MEASURES:
-        schema = schema.add(name, "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            rows = [measure_text(text) for text in batch.column(at).to_pylist()]
-            columns = list(zip(*rows)) if rows else [()] * len(MEASURES)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(list(c), pa.int64()) for c in columns]],
-                                             names=[*names, *MEASURES])
-
-    return docs.select(*names).mapInArrow(run, schema)
+
+    @F.arrow_udf(", ".join(f"{name} long" for name in MEASURES))
+    def run(texts: pa.Array) -> pa.Array:
+        rows = (measure_text(text) for at in range(0, len(texts), SLICE) for text in texts.slice(at, SLICE).to_pylist())
+        flat = np.fromiter((value for row in rows for value in row), np.int64, len(texts) * len(MEASURES)).reshape(-1, len(MEASURES))
+        return pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(len(MEASURES))], names=list(MEASURES))
+
+    # Texts alone go to Python; the rows wait in Spark. An indeterminate column is not computed again by a filter above it.
+    found = docs.select(*names, F.struct(run.asNondeterministic()("text").alias("of")).alias("measures_"))
+    return found.select(*names, *[F.col("measures_")["of"][name].alias(name) for name in MEASURES])
 
 
 def base_failed() -> Column:
