@@ -245,17 +245,12 @@ def symmetric_triples(triples: DataFrame) -> DataFrame:
 
 
 def transitive_triples(triples: DataFrame) -> DataFrame:
-    """rdfp4: paths of transitive properties, from labels of their edges."""
+    """rdfp4: paths of transitive properties."""
     resources = triples.where(~t.is_literal("o"))
     transitive = _typed_properties(triples, V.OWL_TRANSITIVE)
-    # No IRI has a space, so nodes of one property are told from those of another by what stands before it.
     edges = resources.join(transitive, resources.p == transitive.property, "left_semi").select(
-        F.concat_ws(" ", "p", "s").alias("src"), F.concat_ws(" ", "p", "o").alias("dst"))
-    index = reachability.build(edges)
-    found = index.targets(index.numbers.select("node"))
-    rows = found.select(
-        F.substring_index("src", " ", 1).alias("p"), F.substring_index("src", " ", -1).alias("s"), F.substring_index("dst", " ", -1).alias("o"))
-    return t.resource_triples(rows, "s", "p", "o")
+        "p", F.col("s").alias("src"), F.col("o").alias("dst"))
+    return t.resource_triples(reachability.closure(edges), "src", "p", "dst")
 
 
 def functional_same_as(triples: DataFrame) -> DataFrame:

@@ -250,3 +250,55 @@ def build(edges: DataFrame) -> Index:
     numbers = every.join(own.select(F.col("node").alias("component"), F.col("low").alias("number")), "component").select(
         "node", "component", "number", "cyclic")
     return Index(keep(numbers, "numbers"), keep(blocks.select("component", "b.*").distinct(), "blocks"), lengths)
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """`p, src, dst`: all pairs joined by a path of edges of one `p`, each once, for `edges` with these columns.
+
+    Sources, the nodes that no edge leads to, are taken off while they have at least half of the edges left: their pairs are their edges
+    and the pairs of their targets, one join per layer from the last one taken off to the first. Only what is left is labelled, so
+    the many nodes at the rim of a graph get no labels. The first layer's pairs, as a rule most of all, are not stored.
+    """
+    folder = storage.shared_folder(edges.sparkSession)
+
+    def keep(frame: DataFrame, name: str) -> DataFrame:
+        return storage.materialize(frame, folder, name)
+
+    rest = keep(edges.select("p", "src", "dst"), "given")
+    taken = []
+    while True:
+        led_to = rest.select("p", F.col("dst").alias("src")).distinct().withColumn("inner", F.lit(True))
+        # One shuffle by source serves the join, the removal of repeats and the window.
+        marked = rest.select("p", "src", "dst").join(led_to, ["p", "src"], "left").select(
+            "p", "src", "dst", F.coalesce("inner", F.lit(False)).alias("inner")).distinct()
+        marked = keep(marked.withColumn("several", F.count(F.lit(1)).over(W.partitionBy("p", "src")) > 1), f"marked-{len(taken)}")
+        inner, outer = marked.agg(F.count_if("inner"), F.count_if(~F.col("inner"))).first()
+        if outer < inner or not outer:
+            rest = marked
+            break
+        taken.append(marked.where("not inner").drop("inner"))
+        rest = marked.where("inner")
+        if not inner:
+            break
+    # No IRI has a space, so nodes of one property are told from those of another by what stands before it.
+    labels = build(rest.select(F.concat_ws(" ", "p", "src").alias("src"), F.concat_ws(" ", "p", "dst").alias("dst")))
+    found = labels.targets(labels.numbers.select("node"))
+    below = keep(found.select(F.substring_index("src", " ", 1).alias("p"), *(
+        F.substring_index(c, " ", -1).alias(c) for c in ("src", "dst"))), "pairs-core")
+    paths = [f"{folder}/pairs-core"]
+    for k in range(len(taken) - 1, -1, -1):
+        known = storage.read_tables(below, paths)
+        further = known.select("p", F.col("src").alias("via"), F.col("dst").alias("far"))
+
+        def led(layer: DataFrame) -> DataFrame:
+            # A target on a cycle leads to itself, which its edge says already.
+            more = layer.withColumnRenamed("dst", "via").join(further, ["p", "via"]).where("far <> via")
+            return layer.select("p", "src", "dst").unionByName(more.select("p", "src", F.col("far").alias("dst")))
+
+        # Only a source with several targets can have a pair twice.
+        own = led(taken[k].where("not several")).unionByName(led(taken[k].where("several")).distinct())
+        if k == 0:
+            return known.unionByName(own)
+        keep(own, f"pairs-{k}")
+        paths.append(f"{folder}/pairs-{k}")
+    return below

@@ -81,3 +81,23 @@ def test_components(spark):
 def test_no_edges(spark):
     index = rc.build(frame(spark, {("a", "b")}).where("false"))
     assert index.targets(spark.createDataFrame([("a",)], "node string")).count() == 0
+
+
+def test_closure_takes_sources_off_before_it_labels(spark, monkeypatch):
+    """A star of chains with two properties, repeats, a source of several targets, and a cycle that sources lead to."""
+    edges = {("p", f"leaf{k}", f"mid{k % 3}") for k in range(30)} | {("p", f"mid{k}", "top") for k in range(3)}
+    edges |= {("p", "leaf0", "mid1"), ("p", "leaf0", "top"), ("q", "top", "leaf0"), ("q", "leaf0", "q0")}
+    cycles = edges | {("p", "top", "c"), ("p", "c", "d"), ("p", "d", "c"), ("p", "rim", "c"), ("p", "rim2", "d"), ("p", "d", "e")}
+    labelled, build = [], rc.build
+
+    def watched(rows):
+        labelled.append(rows.count())
+        return build(rows)
+
+    monkeypatch.setattr(rc, "build", watched)
+    for rows in (edges, cycles):
+        given = spark.createDataFrame(sorted(rows) * 2, "p string, src string, dst string").repartition(3)
+        got = [tuple(r) for r in rc.closure(given).collect()]
+        want = {(p, a, b) for p in "pq" for a, b in closure({(s, o) for q, s, o in rows if q == p})}
+        assert set(got) == want and len(got) == len(want)
+    assert labelled[0] == 0 and labelled[1] <= 6
