@@ -230,3 +230,27 @@ def test_effects_of_unused_properties_are_not_stored(spark, monkeypatch):
     inference._rdfs_round(t.resource_triples(facts, "s", "p", "o"), t.resource_triples(facts.where(f"p = '{V.RDFS_DOMAIN}'"), "s", "p", "o"),
                           inference.storage.shared_folder(spark)).count()
     assert [r.predicate for r in stored["effects"].collect()] == ["http://e/p7"]
+
+
+def test_a_walk_scans_its_edges_instead_of_shuffling_them(spark, monkeypatch):
+    iris = [("a", "b"), ("a", "b"), ("c", "b"), ("d", "c"), ("b", "d"), ("e", "f")]
+    rows = [(EX + s, t.IRI, EX + "p", EX + o, t.IRI, None, None) for s, o in iris]
+    rows += [(EX + s, t.IRI, EX + "q", "one", t.LITERAL, V.XSD_STRING, None) for s in ("d", "g")]
+    graph = spark.createDataFrame(rows, t.TRIPLE_SCHEMA)
+    stored, materialize = {}, paths.storage.materialize
+
+    def watched(frame, folder, name):
+        stored[name] = (frame._jdf.queryExecution().executedPlan().toString(), frame.count())
+        return materialize(frame, folder, name)
+
+    monkeypatch.setattr(paths.storage, "materialize", watched)
+    for first in (1, 1000):  # with and without the filter
+        monkeypatch.setattr(paths, "FILTER_FROM", first)
+        back = {(r.node[len(EX):], r.hops) for r in paths.reachable_any(graph, EX + "b", paths.BACKWARD).collect()}
+        assert back == {("a", 1), ("c", 1), ("d", 2)}
+        assert "Exchange" not in stored["edges"][0] and stored["edges"][1] == 6  # as given, without literals
+    back = {(r.node[len(EX):], r.hops) for r in paths.reachable_any(graph, '"one"', paths.BACKWARD, 2).collect()}
+    assert back == {("d", 1), ("g", 1), ("b", 2)}
+    assert paths.reachable_any(graph, EX + "g", paths.BACKWARD).isEmpty()
+    ahead = {(r.node, r.hops) for r in paths.reachable_any(graph, EX + "c", paths.FORWARD).collect()}
+    assert ahead == {(EX + "b", 1), (EX + "d", 2), ('"one"', 3)}
