@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Rows per stored file. A reader packs files into tasks by their bytes and 4 MB for each, so small ones bound the rows of a task however
+# well they compress, and with them what its aggregates hold.
+ROWS_PER_FILE = 100_000
+
 _local_base: list[str] = []
 
 
@@ -38,7 +42,7 @@ def materialize(df: DataFrame, folder: str | None = None, name: str = "table") -
     """
     folder = folder or shared_folder(df.sparkSession)
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -264,3 +264,13 @@ def test_names_are_found_by_keys(spark):
     catalog = spark.createDataFrame([("g0", "1", "/g0", True)], "dir_name string, version string, graph_dir string, is_latest boolean")
     plan = plan_of(search.find_graphs(void, catalog, search.items_frame(spark, [("any", "ize"), ("property", "#Size")])))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_stored_tables_bound_the_rows_of_a_file(spark, tmp_path, monkeypatch):
+    """Rows that compress to nothing would all be one task's: what its aggregates hold follows rows, not bytes."""
+    from kglake.plans import storage
+
+    monkeypatch.setattr(storage, "ROWS_PER_FILE", 10)
+    stored = storage.materialize(spark.range(25).coalesce(1), str(tmp_path), "rows")
+    assert sorted(r.n for r in stored.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) == [5, 10, 10]
+    assert sorted(r.id for r in stored.collect()) == list(range(25))
