@@ -111,32 +111,40 @@ def escape_iri(term: Column) -> Column:
     return F.when(term.rlike(_NOT_IN_IRI), escaped).otherwise(term)
 
 
-def _iri_reference(term: Column) -> Column:
-    return F.concat(F.lit("<"), escape_iri(term), F.lit(">"))
+def _iri_reference(term: Column, escape: bool = True) -> Column:
+    return F.concat(F.lit("<"), escape_iri(term) if escape else term, F.lit(">"))
 
 
-def format_resource(term: Column, kind: Column) -> Column:
-    return F.when(kind == BNODE, term).otherwise(_iri_reference(term))
+def format_resource(term: Column, kind: Column, escape: bool = True) -> Column:
+    return F.when(kind == BNODE, term).otherwise(_iri_reference(term, escape))
 
 
-def format_object() -> Column:
-    """The object as an N-Triples term; plain strings carry no datatype suffix."""
+def format_object(escape: bool = True) -> Column:
+    """The object as an N-Triples term; plain strings carry no datatype suffix. Without `escape` its IRIs need none."""
     suffix = (
         F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), F.col("o_lang")))
         .when(F.col("o_datatype") == V.XSD_STRING, F.lit(""))
-        .otherwise(F.concat(F.lit("^^"), _iri_reference(F.col("o_datatype"))))
+        .otherwise(F.concat(F.lit("^^"), _iri_reference(F.col("o_datatype"), escape)))
     )
     literal = F.concat(F.lit('"'), escape_literal(F.col("o")), F.lit('"'), suffix)
-    return F.when(is_literal("o"), literal).otherwise(format_resource(F.col("o"), F.col("o_kind")))
+    return F.when(is_literal("o"), literal).otherwise(format_resource(F.col("o"), F.col("o_kind"), escape))
 
 
 def format_line() -> Column:
-    """The statement as an N-Triples line; a triple that lacks a term fails instead of becoming a broken line."""
-    line = F.concat(
-        format_resource(F.col("s"), F.col("s_kind")), F.lit(" "), _iri_reference(F.col("p")), F.lit(" "),
-        format_object(), F.lit(" ."),
-    )
-    return F.when(line.isNull(), F.raise_error(F.lit("a triple without subject, predicate or object"))).otherwise(line)
+    """The statement as an N-Triples line; a triple that lacks a term fails instead of becoming a broken line.
+
+    One match over all its IRIs tells whether any needs escapes; few do. `coalesce` asks for the line once.
+    """
+    def line(escape: bool) -> Column:
+        return F.concat(
+            format_resource(F.col("s"), F.col("s_kind"), escape), F.lit(" "), _iri_reference(F.col("p"), escape),
+            F.lit(" "), format_object(escape), F.lit(" ."),
+        )
+
+    datatype = F.when(F.col("o_datatype") != V.XSD_STRING, F.col("o_datatype"))
+    iris = F.concat_ws("", "s", "p", F.when(is_literal("o"), datatype).otherwise(F.col("o")))
+    made = F.when(iris.rlike(_NOT_IN_IRI), line(True)).otherwise(line(False))
+    return F.coalesce(made, F.raise_error(F.lit("a triple without subject, predicate or object")))
 
 
 def term_to_string() -> Column:

@@ -135,3 +135,19 @@ def test_a_line_is_matched_once(spark, tmp_path):
         "no statement", '<http://e/s> <http://e/p> "\\u12" .']
     for frame in (read, readers.ntriples_rejects(spark, f"file://{path}")):
         assert frame._jdf.queryExecution().optimizedPlan().toString().count("$7") == 1
+
+
+def test_lines_are_made_once_and_escaped_where_needed(spark):
+    """A null check that repeats the line computes every escape twice; IRIs without odd characters take one match in all."""
+    schema = t.TRIPLE_SCHEMA
+    rows = [("http://e/s", "iri", "http://e/p", "http://e/o", "iri", None, None), ("_:b", "bnode", "http://e/p", 'a"b', "literal", V.XSD_STRING, None),
+            ("http://e/s", "iri", "http://e/p", "a b", "literal", V.RDF_LANG_STRING, "en"), ("http://e/ s", "iri", "http://e/p", "_:b", "bnode", None, None),
+            ("http://e/s", "iri", "http://e/<p", "x", "literal", "http://e/d", None), ("http://e/s", "iri", "http://e/p", "http://e/{o", "iri", None, None),
+            ("http://e/s", "iri", "http://e/p", "a\\b", "literal", "http://e/|d", None)]
+    lines = spark.createDataFrame(rows, schema).repartition(1).select(t.format_line().alias("line"))
+    assert {r.line for r in lines.collect()} == {
+        "<http://e/s> <http://e/p> <http://e/o> .", '_:b <http://e/p> "a\\"b" .', '<http://e/s> <http://e/p> "a b"@en .',
+        "<http://e/\\u0020s> <http://e/p> _:b .", '<http://e/s> <http://e/\\u003Cp> "x"^^<http://e/d> .',
+        "<http://e/s> <http://e/p> <http://e/\\u007Bo> .", '<http://e/s> <http://e/p> "a\\\\b"^^<http://e/\\u007Cd> .'}
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("http://www.w3.org/2001/XMLSchema#string") <= 3 and "isnull(concat" not in plan
