@@ -184,11 +184,22 @@ def all_vocabularies(triples: DataFrame) -> DataFrame:
     return used.select(t.namespace(F.col("term")).alias("ns")).distinct()
 
 
-def term_usage(triples: DataFrame, by: list[str] | None = None) -> DataFrame:
+def triple_digest() -> Column:
+    """128 bits that name a triple, as two hashes from different seeds; a null and an empty string differ.
+
+    Among a billion triples the chance that two share them is below 10^-20.
+    """
+    nulls = [F.col(c).isNull() for c in t.TRIPLE_COLUMNS]
+    first, second = (F.xxhash64(F.lit(seed), *nulls, *t.TRIPLE_COLUMNS) for seed in (0, 1))
+    return F.struct(first.alias("first"), second.alias("second"))
+
+
+def term_usage(triples: DataFrame, by: list[str] | None = None, with_triples: bool = False) -> DataFrame:
     """How often each IRI is a subject, predicate, object and class, in one pass over the triples.
 
     The summary counters, both partitions and the vocabularies all follow from this table.
-    Its partial aggregates run before the shuffle, so a hub term costs one row per task.
+    Its partial aggregates run before the shuffle, so a hub term costs one row per task. `with_triples` adds a row
+    without a term for each distinct triple, told apart by `triple_digest`.
     """
     by = by or []
 
@@ -197,14 +208,22 @@ def term_usage(triples: DataFrame, by: list[str] | None = None) -> DataFrame:
         flags = [F.lit(1 if position == other else 0).cast("bigint").alias(f"as_{other}") for other in "spo"]
         return F.struct(term.alias("term"), *flags, is_class.cast("bigint").alias("as_class"))
 
-    uses = F.array(
+    uses = [
         use(F.when(t.is_iri("s"), F.col("s")), "s"),
         use(F.col("p"), "p"),
         use(F.when(t.is_iri("o"), F.col("o")), "o", (F.col("p") == V.RDF_TYPE).cast("int")),
-    )
-    rows = triples.select(*by, F.explode(uses).alias("u")).select(*by, "u.*").where("term is not null")
+    ]
     counts = [F.sum(c).alias(c) for c in ("as_s", "as_p", "as_o", "as_class")]
-    return rows.groupBy(*by, "term").agg(*counts)
+    if not with_triples:
+        rows = triples.select(*by, F.explode(F.array(*uses)).alias("u")).select(*by, "u.*").where("term is not null")
+        return rows.groupBy(*by, "term").agg(*counts)
+    uses.append(use(F.lit(None).cast("string"), "triple"))
+    hashed = triples.select(*by, "s", "s_kind", "p", "o", "o_kind", triple_digest().alias("d"))
+    rows = hashed.select(*by, "d", F.posexplode(F.array(*uses)).alias("position", "u"))
+    is_triple = F.col("position") == len(uses) - 1
+    rows = rows.where(F.col("u.term").isNotNull() | is_triple).select(
+        *by, "u.*", *(F.when(is_triple, F.col(f"d.{half}")).alias(half) for half in ("first", "second")))
+    return rows.groupBy(*by, "term", "first", "second").agg(*counts).drop("first", "second")
 
 
 def usage_partition(usage: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -25,19 +25,20 @@ class VoidStats:
 
 
 def void_stats(triples: DataFrame, graph: str | None = None, version: str = "") -> VoidStats:
-    """All summary statistics from two passes over the triples.
+    """All summary statistics from one pass over the triples.
 
-    The first groups terms; its result is stored once, because counters, partitions and
-    vocabularies all read it. The second counts distinct triples. Triples with `graph` and
+    It groups terms and digests of triples; the result is stored once, because counters, partitions and
+    vocabularies all read it. A distinct triple is stored as a row without a term, which compresses to nothing. Triples with `graph` and
     `version` columns are summarised per graph; otherwise pass the graph's name, and an
     empty graph still gets its row of zeros.
     """
     if graph is not None:
         triples = triples.withColumn("graph", F.lit(graph)).withColumn("version", F.lit(version))
-    usage = storage.materialize(stats.term_usage(triples, BY), name="term_usage")
+    stored = storage.materialize(stats.term_usage(triples, BY, with_triples=True), name="term_usage")
+    usage = stored.where("term is not null")
     vocabularies = usage.select(*BY, t.namespace(F.col("term")).alias("ns")).distinct()
     listed = vocabularies.groupBy(*BY).agg(F.array_sort(F.collect_list("ns")).alias("vocabularies"))
-    counted = triples.select(*BY, *t.TRIPLE_COLUMNS).distinct().groupBy(*BY).agg(F.count("*").alias("triples"))
+    counted = stored.where("term is null").groupBy(*BY).agg(F.count("*").alias("triples"))
     dataset = stats.usage_totals(usage, BY).join(counted, BY).join(listed, BY, "left").withColumn(
         "is_valid", F.lit(True)
     )
