@@ -369,6 +369,11 @@ def _instances(triples: DataFrame) -> DataFrame:
     return rows.select(F.col("s").alias("instance"), F.col("o").alias("class"))
 
 
+def _instances_of(triples: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """Instances of the classes in a column of a stored table; the others are dropped before anything is shuffled."""
+    return _instances(triples).join(classes.select(F.col(name).alias("class")), "class", "left_semi")
+
+
 def restriction_triples(triples: DataFrame) -> DataFrame:
     """rdfp14a/b, rdfp15 and rdfp16: hasValue, someValuesFrom and allValuesFrom."""
     types = _instances(triples)
@@ -386,12 +391,12 @@ def restriction_triples(triples: DataFrame) -> DataFrame:
     some = _restrictions(triples, V.OWL_SOME_VALUES).select("restriction", "property", F.col("value").alias("filler"))
     some_rows = resources.join(some, F.col("p") == F.col("property"))
     by_some = some_rows.join(
-        types, (F.col("o") == F.col("instance")) & (F.col("filler") == F.col("class")), "left_semi"
+        _instances_of(triples, some, "filler"), (F.col("o") == F.col("instance")) & (F.col("filler") == F.col("class")), "left_semi"
     ).select("s", "restriction")
     every = _restrictions(triples, V.OWL_ALL_VALUES).select("restriction", "property", F.col("value").alias("filler"))
     every_rows = resources.join(every, F.col("p") == F.col("property"))
     by_every = every_rows.join(
-        types, (F.col("s") == F.col("instance")) & (F.col("restriction") == F.col("class")), "left_semi"
+        _instances_of(triples, every, "restriction"), (F.col("s") == F.col("instance")) & (F.col("restriction") == F.col("class")), "left_semi"
     ).select("o", "filler")
     return _union([
         t.resource_triples(by_value, "s", F.lit(V.RDF_TYPE), "restriction"),

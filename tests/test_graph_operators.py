@@ -254,3 +254,19 @@ def test_a_walk_scans_its_edges_instead_of_shuffling_them(spark, monkeypatch):
     assert paths.reachable_any(graph, EX + "g", paths.BACKWARD).isEmpty()
     ahead = {(r.node, r.hops) for r in paths.reachable_any(graph, EX + "c", paths.FORWARD).collect()}
     assert ahead == {(EX + "b", 1), (EX + "d", 2), ('"one"', 3)}
+
+
+def test_restrictions_shuffle_instances_of_their_classes_only(spark, tmp_path):
+    """Instances of every class went to the joins: rows that compress well and fill one task."""
+    from kglake.functions import terms as t
+    from kglake.functions import vocab as V
+    from kglake.operators import inference
+
+    e = "http://e/"
+    facts = [("R1", V.OWL_ON_PROPERTY, "p"), ("R1", V.OWL_SOME_VALUES, "C"), ("R2", V.OWL_ON_PROPERTY, "p"), ("R2", V.OWL_ALL_VALUES, "D"),
+             ("c", V.RDF_TYPE, "C"), ("x", V.RDF_TYPE, "X"), ("r", V.RDF_TYPE, "R2"), ("a", e + "p", "c"), ("b", e + "p", "x"), ("r", e + "p", "x")]
+    rows = [(e + s, "iri", p, e + o, "iri", None, None) for s, p, o in facts]
+    spark.createDataFrame(rows, t.TRIPLE_SCHEMA).write.parquet(str(tmp_path / "g"))
+    found = inference.restriction_triples(spark.read.parquet(str(tmp_path / "g")))
+    assert {(r.s, r.p, r.o) for r in found.collect()} == {(e + "a", V.RDF_TYPE, e + "R1"), (e + "x", V.RDF_TYPE, e + "D")}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 4
