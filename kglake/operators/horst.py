@@ -9,8 +9,8 @@ composed into them. A round scans the facts once, joined with that table:
   joined with all of the other side, known ones with new ones only; functional properties (rdfp1, 2) are grouped by the same rows.
 
 What the schema alone entails (rdfs5, 11, rdfp9, 10, 12, 13) is derived when a round brings schema triples. Equality (rdfp6, 7, 11) is
-kept as representatives: when a round brings new links, known triples that mention a replaced node are rewritten and count as
-new, and all others stay known. Each triple carries the round in which it came.
+kept as representatives: what given triples make equal is replaced before the first round, and when a round brings new links, known triples that
+mention a replaced node are rewritten and count as new, and all others stay known. Each triple carries the round in which it came.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ SINGLE = ["super", "same", "inverse", "domain", "subject", "range"]
 TURNS = ["super", "same", "inverse"]
 TYPES = ["domain", "subject", "range", "superclass"]
 WAIT = ["family", "tag", "filler", "node", "side", "payload", "out"]
+# Predicates of what the schema alone entails.
+SCHEMA_HEADS = [V.RDFS_SUBCLASS, V.OWL_EQUIVALENT_CLASS, V.RDFS_SUBPROPERTY, V.OWL_EQUIVALENT_PROPERTY]
 RULE_COLUMNS = ["keyed_by", "key", "rule", "target", *VALUE]
 
 
@@ -156,43 +158,76 @@ def rules_of(schema: DataFrame, classes: DataFrame, properties: DataFrame) -> Da
     return _union(parts).distinct()
 
 
-def set_off(rules: DataFrame, facts: DataFrame) -> DataFrame:
-    """Those of `rules` whose key is a predicate or a class in `facts`: few, however many properties a schema declares."""
+def keys_of(facts: DataFrame) -> DataFrame:
+    """`keyed_by, key`: the predicates and classes in `facts`."""
     types = facts.where(t.predicate_matches(V.RDF_TYPE) & ~t.is_literal("o")).select(F.lit("c").alias("keyed_by"), F.col("o").alias("key"))
-    keys = facts.select(F.lit("p").alias("keyed_by"), F.col("p").alias("key")).distinct().unionByName(types.distinct())
+    return facts.select(F.lit("p").alias("keyed_by"), F.col("p").alias("key")).distinct().unionByName(types.distinct())
+
+
+def set_off(rules: DataFrame, keys: DataFrame) -> DataFrame:
+    """Those of `rules` whose key is one of `keys`: few, however many properties a schema declares."""
     return rules.join(keys, ["keyed_by", "key"], "left_semi")
 
 
+def _head() -> Column:
+    """The predicate of what a rule derives."""
+    rule = F.col("rule")
+    return F.when(rule.isin(*TURNS, "given", "path"), F.col("target")).when(
+        rule.isin("functional", "inverse_functional"), F.lit(V.OWL_SAME_AS)).otherwise(F.lit(V.RDF_TYPE))
+
+
+def with_heads(rules: DataFrame, keys: DataFrame) -> DataFrame:
+    """`rules` that facts with `keys` set off, with `head`, the predicate of what they derive, and `sole`.
+
+    A rule of `TURNS` is `sole` if it alone leads to a predicate that no fact has. It keeps different triples different, so what it
+    derives from a set is a set, without looking for repeats.
+    """
+    headed = rules.withColumn("head", _head())
+    alone = headed.groupBy("head").agg(F.count("*").alias("n")).where("n = 1").select("head")
+    used = keys.where("keyed_by = 'p'").select(F.col("key").alias("head"))
+    sole = headed.where(F.col("rule").isin(TURNS) & ~F.col("head").isin(SCHEMA_HEADS)).join(alone, "head", "left_semi").join(
+        used, "head", "left_anti").select("head", F.lit(True).alias("is_sole"))
+    return headed.join(sole, "head", "left").withColumn("sole", F.coalesce("is_sole", F.lit(False))).drop("is_sole")
+
+
 def hits(facts: DataFrame, rules: DataFrame) -> DataFrame:
-    """Facts joined with the rules they set off: a derived triple, or a row that waits for its other side.
+    """Facts joined with the rules that they set off and that fire. One scan of the facts.
 
-    `rules` has `rule_is_new`, `facts` has `fact_is_new`. Columns: the triple's, `family, tag, filler, node, side, payload, out`,
-    `is_new`, and `turned, typed`: whether a rule of `TURNS` or `TYPES` gave the triple. Where facts have these two, rules that are not new
-    do not fire on what they lead to from the triple before. One scan of the facts.
+    `rules` has `rule_is_new`, `facts` has `fact_is_new`. Where facts have `turned, typed`, whether a rule of `TURNS` or `TYPES` gave the
+    triple, rules that are not new do not fire on what they lead to from the triple before.
     """
     type_of = t.predicate_matches(V.RDF_TYPE) & ~t.is_literal("o")
-    keys = F.array(F.struct(F.lit("p").alias("keyed_by"), F.col("p").alias("key")),
-                   F.when(type_of, F.struct(F.lit("c").alias("keyed_by"), F.col("o").alias("key"))))
-    rows = facts.select("*", F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("k")).select("*", "k.*").drop("k").join(
-        rules, ["keyed_by", "key"])
+    by_predicate, by_class = (F.struct(F.lit(by).alias("keyed_by"), F.col(c).alias("key")) for by, c in (("p", "p"), ("c", "o")))
+    keys = F.when(type_of, F.array(by_predicate, by_class)).otherwise(F.array(by_predicate))
+    rows = facts.select("*", F.explode(keys).alias("k")).select("*", "k.*").drop("k").join(rules, ["keyed_by", "key"])
     rule, resource = F.col("rule"), F.col("o_kind") != t.LITERAL
     if "turned" in facts.columns:
         done = (F.col("turned") & rule.isin(SINGLE)) | (F.col("typed") & (rule == "superclass"))
         rows = rows.where(F.col("rule_is_new") | ~done)
     same_value = reduce(Column.__and__, (F.col(o).eqNullSafe(F.col(v)) for o, v in zip(t.OBJECT_COLUMNS, VALUE)))
-    fires = F.when(rule.isin("range", "inverse", "same", "subject", "path", "some", "all", "functional", "inverse_functional"), resource).when(
-        rule == "has", same_value).otherwise(F.lit(True))
-    null = F.lit(None).cast("string")
-    turned = rule.isin("range", "inverse")
-    subject = F.when(turned, F.col("o")).otherwise(F.col("s"))
+    return rows.where(F.when(
+        rule.isin("range", "inverse", "same", "subject", "path", "some", "all", "functional", "inverse_functional"), resource).when(
+        rule == "has", same_value).otherwise(F.lit(True)))
+
+
+def derived(fired: DataFrame) -> DataFrame:
+    """The triples of rules on one triple, given their `hits`, where fact or rule is new, with `turned, typed`."""
+    rule, null = F.col("rule"), F.lit(None).cast("string")
+    swapped = rule.isin("range", "inverse")
     target = [F.col("target"), t.kind_of(F.col("target")), null, null]
     objects = [
         F.when(rule.isin("super", "same"), F.col(o)).when(rule == "inverse", s).when(rule == "given", F.col(v)).otherwise(x)
         for o, v, s, x in zip(t.OBJECT_COLUMNS, VALUE, (F.col("s"), F.col("s_kind"), null, null), target)]
-    triple = F.struct(
-        subject.alias("s"), t.kind_of(subject).alias("s_kind"),
+    return fired.where(F.col("fact_is_new") | F.col("rule_is_new")).select(
+        F.when(swapped, F.col("o")).otherwise(F.col("s")).alias("s"),
+        F.when(swapped, F.col("o_kind")).otherwise(F.col("s_kind")).alias("s_kind"),
         F.when(rule.isin(*TURNS, "given"), F.col("target")).otherwise(F.lit(V.RDF_TYPE)).alias("p"),
-        *(c.alias(name) for c, name in zip(objects, t.OBJECT_COLUMNS)))
+        *(c.alias(name) for c, name in zip(objects, t.OBJECT_COLUMNS)), rule.isin(TURNS).alias("turned"), rule.isin(TYPES).alias("typed"))
+
+
+def waiting(fired: DataFrame) -> DataFrame:
+    """The rows of `WAIT` of rules on two triples, given their `hits`."""
+    rule, null = F.col("rule"), F.lit(None).cast("string")
 
     def meet(family: str, node: str, side: int, payload=null, filler=None, out=null) -> Column:
         payload = F.col(payload) if isinstance(payload, str) else payload
@@ -207,10 +242,7 @@ def hits(facts: DataFrame, rules: DataFrame) -> DataFrame:
              .when(rule == "all_class", F.array(meet("all", "s", 1)))
              .when(rule == "functional", F.array(meet("functional", "s", 0, "o")))
              .when(rule == "inverse_functional", F.array(meet("inverse functional", "o", 0, "s"))))
-    found = rows.where(fires).select(
-        F.when(~rule.isin(MEETING), triple).alias("triple"), F.explode_outer(waits).alias("wait"),
-        (F.col("fact_is_new") | F.col("rule_is_new")).alias("is_new"), rule.isin(TURNS).alias("turned"), rule.isin(TYPES).alias("typed"))
-    return found.where("is_new or triple is null").select("triple.*", "wait.*", "is_new", "turned", "typed")
+    return fired.select(F.explode(waits).alias("wait")).select("wait.*")
 
 
 def entailed(new: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -226,8 +258,16 @@ def entailed(new: DataFrame, known: DataFrame | None) -> DataFrame:
 
     met, values = side(new, 0).join(side(new, 1), keys), functional(new)
     if known is not None:
-        met = _union([met, side(new, 0).join(side(known, 1), keys), side(known, 0).join(side(new, 1), keys)])
-        values = values.unionByName(functional(known).join(values.select(*keys).distinct(), keys, "left_semi"))
+        rule = ["family", "tag", "filler"]
+        asked = storage.materialize(new.select(*rule, "side").distinct(), name="asked")
+
+        def met_by(k: int) -> DataFrame:
+            """Known rows of side `k` that have new ones of their rule on the other side: the rest is not shuffled."""
+            return side(known, k).join(asked.where(F.col("side") != k).select(*rule), rule, "left_semi")
+
+        met = _union([met, side(new, 0).join(met_by(1), keys), met_by(0).join(side(new, 1), keys)])
+        known_values = functional(known).join(asked.select(*rule).distinct(), rule, "left_semi")
+        values = values.unionByName(known_values.join(values.select(*keys).distinct(), keys, "left_semi"))
     is_path = F.col("family") == "path"
     by_two = t.resource_triples(
         met, "payload_0", F.when(is_path, F.col("tag")).otherwise(F.lit(V.RDF_TYPE)),
@@ -238,13 +278,22 @@ def entailed(new: DataFrame, known: DataFrame | None) -> DataFrame:
 
 
 def _same_triple(a: DataFrame, b: DataFrame) -> Column:
-    return reduce(Column.__and__, (a[c].eqNullSafe(b[c]) for c in t.TRIPLE_COLUMNS))
+    """The same triple by its digest `k`, which is cheap to sort by, and then by all columns."""
+    return reduce(Column.__and__, (a[c].eqNullSafe(b[c]) for c in t.TRIPLE_COLUMNS), a["k"] == b["k"])
 
 
 def unseen(candidates: DataFrame, facts: list[DataFrame]) -> DataFrame:
-    """Those of `candidates` that no frame of `facts` has. Facts are met by the candidates, so where these are few, nothing of the facts moves."""
-    seen = _union([f.select(*t.TRIPLE_COLUMNS).join(candidates, _same_triple(f, candidates), "left_semi") for f in facts])
-    return candidates.join(seen, _same_triple(candidates, seen), "left_anti")
+    """Those of `candidates` that no frame of `facts` has. Facts with other predicates are left out before they meet, and where the candidates
+    are few, nothing of the facts moves."""
+    def keyed(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("k", F.xxhash64(*t.TRIPLE_COLUMNS))
+
+    heads = storage.materialize(candidates.select("p").distinct(), name="heads")
+    candidates = keyed(candidates)
+    of_heads = _union([f.select(*t.TRIPLE_COLUMNS) for f in facts]).join(heads, "p", "left_semi").select(*t.TRIPLE_COLUMNS)
+    met = keyed(of_heads)
+    seen = met.join(candidates, _same_triple(met, candidates), "left_semi")
+    return candidates.join(seen, _same_triple(candidates, seen), "left_anti").drop("k")
 
 
 def normal(facts: DataFrame, links: DataFrame) -> DataFrame:
@@ -277,6 +326,36 @@ def normal(facts: DataFrame, links: DataFrame) -> DataFrame:
         F.when(t.is_literal("o"), F.lit(t.LITERAL)).otherwise(t.kind_of(F.col("o"))).alias("o_kind"), "o_datatype", "o_lang", "changed", *rest)
 
 
+def given_equality(triples: DataFrame, keep) -> DataFrame | None:
+    """`node, representative` of what given sameAs triples and the given values of functional properties make equal; none without any.
+
+    Only those triples are looked at, until they make no more equal, so the graph is rewritten once, as it is first stored. What
+    only derived triples make equal is left to the rounds.
+    """
+    same, mark = t.predicate_matches(V.OWL_SAME_AS) & ~t.is_literal("o"), t.predicate_matches(V.RDF_TYPE) & t.is_iri("o")
+    marks = mark & F.col("o").isin(V.OWL_FUNCTIONAL, V.OWL_INVERSE_FUNCTIONAL)
+    stated = keep(triples.where(same | marks).select(*t.TRIPLE_COLUMNS), "stated")
+    marked = keep(stated.where(marks).select(F.col("s").alias("property")).distinct(), "marked")
+    found, links, values, number = inf.pairs(stated, V.OWL_SAME_AS), None, None, 0
+    if not marked.isEmpty():
+        rows = triples.where(~t.is_literal("o") & (F.col("p") != V.OWL_SAME_AS)).select(*t.TRIPLE_COLUMNS)
+        rows = rows.join(marked, rows.p == marked.property, "left_semi").unionByName(stated.where(marks))
+        values = keep(rows.distinct(), "values-0")
+    while True:
+        if values is not None:
+            found = found.unionByName(inf.pairs(inf.functional_same_as(values), V.OWL_SAME_AS))
+        found = keep(found, f"found-{number}")
+        if found.isEmpty():
+            return links
+        equal = found if links is None else found.unionByName(links.select(F.col("node").alias("src"), F.col("representative").alias("dst")))
+        links = keep(inf.connected_components(equal), f"given-links-{number}")
+        if values is None:
+            return links
+        number += 1
+        values = keep(normal(values, links).select(*t.TRIPLE_COLUMNS).distinct(), f"values-{number}")
+        found = found.limit(0)
+
+
 def closure_in_rounds(triples: DataFrame) -> DataFrame:
     """The triples and all that the rules entail, as a set over representatives, each with the `round` it came in (given ones: 0).
 
@@ -294,11 +373,8 @@ def closure_in_rounds(triples: DataFrame) -> DataFrame:
     def given(frame: DataFrame) -> DataFrame:
         return frame.select(*t.TRIPLE_COLUMNS, F.lit(False).alias("turned"), F.lit(False).alias("typed"))
 
-    links = keep(inf.pairs(triples, V.OWL_SAME_AS), "given-links")
-    if links.isEmpty():
-        links, first = None, triples
-    else:
-        links = keep(inf.connected_components(links), "links-0")
+    links, first = given_equality(triples, keep), triples
+    if links is not None:
         first = normal(triples, links).select(*t.TRIPLE_COLUMNS).unionByName(
             t.resource_triples(links, "node", F.lit(V.OWL_SAME_AS), "representative"))
     delta = keep(numbered(given(inf.as_set(first)), 0), "round-0")
@@ -324,25 +400,35 @@ def closure_in_rounds(triples: DataFrame) -> DataFrame:
         if fresh is not None:
             tagged = tagged.unionByName(fresh.withColumn("rule_is_new", F.lit(True)))
         meeting = F.col("rule").isin(MEETING)
-        found = [(delta.withColumn("fact_is_new", F.lit(True)), keep(set_off(tagged, delta), f"set-off-{number}"))]
+        keys = keep(keys_of(delta), f"keys-{number}")
+        found = [(delta.withColumn("fact_is_new", F.lit(True)), keep(with_heads(set_off(tagged, keys), keys), f"set-off-{number}"))]
         if known:
             everything = _union(known).select(*t.TRIPLE_COLUMNS, F.lit(False).alias("fact_is_new"))
             if not waits:  # a rewriting has changed them
-                again = keep(set_off(old.where(meeting).withColumn("rule_is_new", F.lit(False)), everything), f"waiting-{number}")
-                waits = [keep(hits(everything, again).select(*WAIT), f"known-waits-{number}")]
+                again = set_off(old.where(meeting).withColumn("rule_is_new", F.lit(False)), keys_of(everything))
+                waits = [keep(waiting(hits(everything, keep(again, f"waiting-{number}"))), f"known-waits-{number}")]
             if fresh is not None and not fresh.isEmpty():
-                found.append((everything, keep(set_off(fresh.withColumn("rule_is_new", F.lit(True)), everything), f"late-{number}")))
-        new_waits = keep(_union([hits(facts, by.where(meeting)).select(*WAIT) for facts, by in found]), f"waits-{number}")
-        single = [hits(facts, by.where(~meeting)).select(*t.TRIPLE_COLUMNS, "turned", "typed") for facts, by in found]
-        candidates = _union([*single, given(entailed(new_waits, _union(waits) if waits else None)), *by_schema])
+                late = set_off(fresh.withColumn("rule_is_new", F.lit(True)), keys_of(everything))
+                found.append((everything, keep(late, f"late-{number}")))
+        new_waits = keep(_union([waiting(hits(facts, by.where(meeting))) for facts, by in found]), f"waits-{number}")
+        by_two = given(entailed(new_waits, _union(waits) if waits else None))
         waits.append(new_waits)
         flags = [F.max("turned").alias("turned"), F.max("typed").alias("typed")]
         if not known:
-            # The first candidates are about as many as the facts: both meet in one grouping.
-            met = candidates.withColumn("seen", F.lit(False)).unionByName(delta.select(
+            # The first candidates are about as many as the facts: both meet in one grouping, but for facts with predicates that no candidate
+            # has, and candidates that need not look for repeats.
+            (facts, by), = found
+            single = derived(hits(facts, by.where(~meeting & ~F.col("sole"))))
+            heads = by.where("not sole").select(F.col("head").alias("p")).unionByName(
+                delta.sparkSession.createDataFrame([(p,) for p in SCHEMA_HEADS], "p string"))
+            rivals = delta.join(keep(heads.distinct(), f"heads-{number}"), "p", "left_semi")
+            met = _union([single, by_two, *by_schema]).withColumn("seen", F.lit(False)).unionByName(rivals.select(
                 *t.TRIPLE_COLUMNS, "turned", "typed", F.lit(True).alias("seen")))
-            fresh_facts = met.groupBy(*t.TRIPLE_COLUMNS).agg(*flags, F.max("seen").alias("seen")).where("not seen")
+            fresh_facts = met.groupBy(*t.TRIPLE_COLUMNS).agg(*flags, F.max("seen").alias("seen")).where("not seen").drop("seen")
+            fresh_facts = fresh_facts.unionByName(derived(hits(facts, by.where("sole"))))
         else:
+            single = [derived(hits(facts, by.where(~meeting))) for facts, by in found]
+            candidates = _union([*single, by_two, *by_schema])
             candidates = keep(candidates.groupBy(*t.TRIPLE_COLUMNS).agg(*flags), f"candidates-{number}")
             fresh_facts = unseen(candidates, [*known, delta])
         known.append(delta)

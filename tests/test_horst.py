@@ -191,3 +191,32 @@ def test_known_rows_meet_new_ones_only(spark):
     assert rows(got) == closed(set(facts))
     assert rows(got.where("round = 1")) >= {("http://e/y", "http://e/j", "http://e/x"), ("http://e/y", A, "http://e/C")}
     assert not rows(got.where("round > 1")) & {x for x in rows(got) if x[0] in ("http://e/x", "http://e/y")}
+
+
+def test_given_values_are_made_equal_before_the_first_round(spark):
+    """The graph is stored over representatives at once, also where one equality leads to the next."""
+    facts = [("http://e/f", A, V.OWL_FUNCTIONAL), ("http://e/g", A, V.OWL_INVERSE_FUNCTIONAL), ("http://e/x", "http://e/f", "http://e/a"),
+             ("http://e/x", "http://e/f", "http://e/b"), ("http://e/y", "http://e/g", "http://e/b"), ("http://e/z", "http://e/g", "http://e/a"),
+             ("http://e/z", "http://e/h", "http://e/b"), ("http://e/b", SAME, "http://e/c"), ("http://e/x", "http://e/f", '"text')]
+    got = horst.closure_in_rounds(frame(spark, facts))
+    assert rows(got) == closed(set(facts))
+    assert got.count() == len(closed(set(facts)))
+    assert {("http://e/z", SAME, "http://e/y"), ("http://e/y", "http://e/h", "http://e/a")} <= rows(got.where("round = 0"))
+    assert got.where("round > 0").isEmpty()
+
+
+def test_only_a_predicate_with_one_rule_and_no_facts_is_left_out_of_the_grouping(spark):
+    """One rule leads to `one`, two lead to `both`, and a fact has `used`: each triple comes once."""
+    facts = [("http://e/p", SUBP, "http://e/one"), ("http://e/p", SUBP, "http://e/both"), ("http://e/q", V.OWL_INVERSE_OF, "http://e/both"),
+             ("http://e/q", SUBP, "http://e/used"), ("http://e/r", SUBP, SUB), ("http://e/x", "http://e/p", "http://e/y"),
+             ("http://e/y", "http://e/q", "http://e/x"), ("http://e/y", "http://e/used", "http://e/x"), ("http://e/C", "http://e/r", "http://e/D"),
+             ("http://e/x", A, "http://e/C")]
+    given = frame(spark, facts * 2)
+    schema = given.where(horst.is_schema())
+    rules = horst.rules_of(schema, horst._hierarchy(schema, SUB, V.OWL_EQUIVALENT_CLASS), horst._hierarchy(schema, SUBP, V.OWL_EQUIVALENT_PROPERTY))
+    keys = horst.keys_of(given)
+    sole = horst.with_heads(horst.set_off(rules, keys), keys).where("sole")
+    assert {r.head for r in sole.collect()} == {"http://e/one"}
+    got = horst.closure_in_rounds(given)
+    assert rows(got) == closed(set(facts))
+    assert got.count() == len(closed(set(facts)))
