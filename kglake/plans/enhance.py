@@ -155,7 +155,7 @@ def write_enhanced_void(catalog: DataFrame, name: str, version: str = "", void_d
     source = F.lit(V.VOID_SOURCE + row["graph_dir"])
     path = output_dir or f"{row['graph_dir']}_analysis/enhanced_void"
     temporary = f"{path}.{uuid.uuid4().hex}.temp"
-    write_ntriples(enhanced_as_triples(enhanced).unionByName(summary_as_triples(summary.dataset, source)), temporary)
+    write_ntriples(enhanced_as_triples(enhanced).unionByName(summary_as_triples(summary.dataset, source)), temporary, compression="none")
     if not ntriples_rejects(spark, temporary).isEmpty():
         raise ValueError(f"the summary in {temporary} has lines that are no statements")
     storage.replace_path(spark, temporary, path)

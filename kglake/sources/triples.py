@@ -31,7 +31,9 @@ BLANK_LINE = r"^\s*(?:#.*)?$"
 def _lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file_path"))
-    return lines.where(~F.col("value").rlike(BLANK_LINE))
+    # What a statement begins with spares it the match.
+    first = F.col("value").substr(1, 1)
+    return lines.where((first == "<") | (first == "_") | ~F.col("value").rlike(BLANK_LINE))
 
 
 def _rewritten(lines: DataFrame) -> DataFrame:
@@ -56,14 +58,15 @@ def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes:
     file, so `blank_nodes="file"` qualifies them; "shared" keeps them as
     they are, for part files of one graph.
     """
-    rows = _rewritten(_lines(spark, paths)).where(_is_statement()).select("file_path", F.split("fields", "\n").alias("f"))
+    rows = _rewritten(_lines(spark, paths)).where(_is_statement()).select("file_path", "fields", F.split("fields", "\n").alias("f"))
+    # Few lines have an escape. The decoder is a large expression: stated once, within a lambda, it leaves the code of all other lines small
+    # enough to be compiled. Blank node labels, fields 0 and 3, are not decoded.
+    decoded = F.transform("f", lambda token, i: F.when((i == 3) | ((i == 0) & ~token.startswith("<")), token).otherwise(t.unescape_literal(token)))
+    rows = rows.select("file_path", F.when(F.contains("fields", F.lit("\\")), decoded).otherwise(F.col("f")).alias("f"))
     f = [F.col("f")[i] for i in range(7)]
 
-    def unescaped(token):
-        return F.when(F.contains(token, F.lit("\\")), t.unescape_literal(token)).otherwise(token)
-
     def iri(token):
-        return unescaped(F.substr(token, F.lit(2), F.length(token) - 2))
+        return F.substr(token, F.lit(2), F.length(token) - 2)
 
     def bnode(token):
         if blank_nodes == "shared":
@@ -78,7 +81,7 @@ def read_ntriples(spark: SparkSession, paths: str | Iterable[str], blank_nodes:
         F.when(s_is_iri, iri(f[0])).otherwise(bnode(f[0])).alias("s"),
         F.when(s_is_iri, t.IRI).otherwise(t.BNODE).alias("s_kind"),
         iri(f[1]).alias("p"),
-        F.when(f[2] != "", iri(f[2])).when(f[3] != "", bnode(f[3])).otherwise(unescaped(f[4])).alias("o"),
+        F.when(f[2] != "", iri(f[2])).when(f[3] != "", bnode(f[3])).otherwise(f[4]).alias("o"),
         o_kind.alias("o_kind"),
         F.when(literal, datatype).alias("o_datatype"),
         F.when(literal & (f[5] != ""), f[5]).alias("o_lang"),

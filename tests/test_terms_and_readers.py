@@ -151,3 +151,36 @@ def test_lines_are_made_once_and_escaped_where_needed(spark):
         "<http://e/s> <http://e/p> <http://e/\\u007Bo> .", '<http://e/s> <http://e/p> "a\\\\b"^^<http://e/\\u007Cd> .'}
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("http://www.w3.org/2001/XMLSchema#string") <= 3 and "isnull(concat" not in plan
+
+
+def test_ntriples_are_stored_compressed_in_small_files(spark, tmp_path, monkeypatch):
+    """Plain text of a large graph takes over ten times the tables' size; a compressed file cannot be split, so it is kept small."""
+    from kglake.plans import storage
+
+    monkeypatch.setattr(storage, "ROWS_PER_FILE", 1000)
+    subject = F.concat(F.lit("http://ex.org/vocabulary/order/O"), "id")
+    given = t.resource_triples(spark.range(0, 4000, 1, 1), subject, F.lit("http://ex.org/vocabulary#within"), F.lit("_:customer"))
+    sizes = {}
+    for compression in ("gzip", "none"):
+        path = tmp_path / compression
+        sink.write_ntriples(given, str(path), compression)
+        files = [p for p in path.iterdir() if p.name.startswith("part-")]
+        assert len(files) == 4
+        sizes[compression] = sum(p.stat().st_size for p in files)
+        back = src.read_ntriples(spark, str(path), "shared")
+        assert back.count() == 4000 and back.exceptAll(given).isEmpty()
+    assert sizes["gzip"] * 5 < sizes["none"]
+    sink.write_ntriples(given, str(tmp_path / "default"))
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "default").iterdir() if p.name.startswith("part-"))
+
+
+def test_the_decoder_is_stated_once_and_labels_are_kept(spark, tmp_path):
+    """Six copies of it made the reader's code too large to be compiled. Escapes of blank node labels are none."""
+    path = tmp_path / "g.nt"
+    path.write_text('_:a\\tb <http://e/p\\u0041> _:c\\td .\n<http://e/\\u0042> <http://e/p> "_:\\t\\u0043"^^<http://e/\\u0044> .\n'
+                    '  <http://e/s> <http://e/p> <http://e/o> .\n \t\n  # <http://e/s> <http://e/p> <http://e/o> .\n')
+    read = src.read_ntriples(spark, str(path), "shared")
+    assert {(r.s, r.p, r.o, r.o_datatype) for r in read.collect()} == {
+        ("_:a\\tb", "http://e/pA", "_:c\\td", None), ("http://e/B", "http://e/p", "_:\tC", "http://e/D"), ("http://e/s", "http://e/p", "http://e/o", None)}
+    assert src.ntriples_rejects(spark, str(path)).isEmpty()
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
